@@ -7,12 +7,13 @@ from tierstar.functions.cast import (
     try_seconds,
     try_unsigned_byte,
 )
-from tierstar.functions.text import clean_text, fixed, fixed_upper, limited
+from tierstar.functions.text import clean_text, filled, fixed, fixed_upper, limited, unquoted
 
 __all__ = [
     "clean_text",
     "date_key",
     "day_name",
+    "filled",
     "fixed",
     "fixed_upper",
     "is_weekend",
@@ -24,4 +25,5 @@ __all__ = [
     "try_money",
     "try_seconds",
     "try_unsigned_byte",
+    "unquoted",
 ]

@@ -1,7 +1,8 @@
 """Safe casts of cleaned text: what does not parse becomes NULL and never fails the job.
 
 Each pattern below names the accepted spelling, because Spark's own parsers also take forms
-such as ``1e3`` for a decimal, ``NaN`` for a double or ``2017`` for a timestamp.
+such as ``1e3`` for a decimal, ``NaN`` for a double or ``2017`` for a timestamp. Asking first is
+also the fast way: a failed cast raises and catches an exception inside Spark, row by row.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ def try_float(c: Column) -> Column:
 def try_seconds(c: Column) -> Column:
     """Zone-free timestamp rounded to the nearest second."""
     t = F.trim(c)
-    nudged = t.try_cast("timestamp_ntz") + F.expr("interval 500 milliseconds")
-    return _if_spelled(t, DATE_TIME, F.date_trunc("second", nudged).cast("timestamp_ntz"))
+    exact = t.try_cast("timestamp_ntz")
+    rounded = F.date_trunc("second", exact + F.expr("interval 500 milliseconds")).cast("timestamp_ntz")
+    return _if_spelled(t, DATE_TIME, F.when(F.contains(t, F.lit(".")), rounded).otherwise(exact))
 
 
 def try_date(c: Column) -> Column:

@@ -6,13 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def clean_text(c: Column) -> Column:
-    """Trim outer blanks, drop every double quote, and turn what is empty or all blank into NULL.
+def unquoted(c: Column) -> Column:
+    """Trim outer blanks and drop every double quote; blanks that stood inside the quotes stay."""
+    return F.replace(F.trim(c), F.lit('"'), F.lit(""))
+
+
+def filled(c: Column) -> Column:
+    """NULL for text that is empty or all blank."""
+    return F.when(F.rtrim(c) != "", c)
 
-    Blanks that stood inside the quotes stay, unless nothing else is left.
-    """
-    unquoted = F.replace(F.trim(c), F.lit('"'), F.lit(""))
-    return F.when(F.rtrim(unquoted) != "", unquoted)
+
+def clean_text(c: Column) -> Column:
+    """The baseline for every text column: unquoted, and NULL where nothing but blanks is left."""
+    return filled(unquoted(c))
 
 
 def limited(c: Column, size: int) -> Column:

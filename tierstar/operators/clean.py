@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstar.functions import clean_text
+from tierstar.functions import filled, unquoted
 from tierstar.operators.dedup import first_per_key
 from tierstar.schemas import TableSpec
 
@@ -18,18 +18,20 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 def clean(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Clean, type and filter one raw table; keep one row per key where the spec asks for it.
 
-    Without deduplication this is a single map-only stage. With it there is one shuffle, and the
-    rank limit runs before that shuffle, so a key with very many copies sends one row per map task.
+    Text is unquoted in a projection of its own, so that typing, which looks at it several times,
+    does not repeat that work. Without deduplication this is a single map-only stage. With it there
+    is one shuffle, and the rank limit runs before that shuffle, so a key with very many copies
+    sends one row per map task.
     """
-    typed = [c.typed(clean_text(F.col(c.raw))).alias(c.name) for c in spec.columns]
+    names = [c.name for c in spec.columns]
+    texts = [unquoted(F.col(c.raw)).alias(f"_text_{c.name}") for c in spec.columns]
+    typed = [c.typed(F.col(f"_text_{c.name}")).alias(c.name) for c in spec.columns]
     if spec.best_first is None:
-        return require(raw.select(*typed), *spec.required)
+        return require(raw.select(*texts).select(*typed), *spec.required)
 
+    raws = [F.col(c.raw).alias(f"_raw_{c.raw}") for c in spec.columns]
     # Copies are recognised by the whole cleaned key text, before it is cut to its column size.
-    key_text = [clean_text(F.col(spec.column(k).raw)).alias(f"_key_{k}") for k in spec.key]
-    # Direction lives in the sort below, the ranking expressions themselves are kept as they are.
-    candidates = raw.select("*", *[t.alias(f"_typed_{c.name}") for t, c in zip(typed, spec.columns)], *key_text)
-    candidates = require(candidates, *[f"_typed_{c}" for c in spec.required])
-    ties = [F.col(f"_typed_{c.name}") for c in spec.columns]
-    kept = first_per_key(candidates, [f"_key_{k}" for k in spec.key], spec.best_first(), ties)
-    return kept.select(*[F.col(f"_typed_{c.name}").alias(c.name) for c in spec.columns])
+    keys = {f"_key_{k}": filled(F.col(f"_text_{k}")) for k in spec.key}
+    candidates = raw.select(*raws, *texts).select("*", *typed).withColumns(keys)
+    candidates = require(candidates, *spec.required)
+    return first_per_key(candidates, list(keys), spec.best_first(), [F.col(c) for c in names]).select(*names)

@@ -17,6 +17,7 @@ from tierstar.operators.aggregates import (
     payments_per_order,
     union_distinct,
 )
+from tierstar.operators.clean import require
 from tierstar.operators.joins import enrich, heavy_keys, split_join
 from tierstar.operators.keys import dense_key, derive_date, resolve_date, resolve_key
 from tierstar.operators.quality import Rule, any_null, negative, orphan_check, row_checks, run_checks, unique_check
@@ -156,6 +157,9 @@ def build_fact(
     the payment. Without ``dim_date`` the calendar keys are computed from the days, which gives
     what joining the calendar would. Orders with very many lines are split over several tasks.
     """
+    # A line without an order id cannot join; saying so once gives every use of the counts the same
+    # plan, so Spark shuffles them once and reuses the exchange.
+    items = require(items, "order_id")
     counts = items_per_order(items)
     header = order_header(orders, counts, payments, reviews, dim_customers, dim_date)
     lines = _date_role(items, dim_date, "shipping_limit_date", "shipping_limit_date_key")

@@ -58,7 +58,7 @@ def load_gold(store: LayerStore, run: RunInfo, clean: Mapping[str, DataFrame]) -
     rows = store.stage(
         run, "gold", "fact_order_rows", fact_rows.withColumn("order_month_key", gold.order_month_key()), ["order_month_key"]
     )
-    keyed = position_key(rows.df, "fact_order_key")
+    keyed = position_key(rows.df, ["order_id", "order_item_id"], "fact_order_key")
     staged["fact_orders"] = store.stage(run, "gold", "fact_orders", keyed, ["order_month_key"], rebalance=False)
     star["fact_orders"] = conform(staged["fact_orders"].df, STAR["fact_orders"])
 

@@ -18,12 +18,12 @@ from tierstar import functions as fn
 
 CORRUPT = "_corrupt_record"
 
-# kind -> (column expression on cleaned text, Spark type)
+# kind -> (column expression on unquoted text, Spark type); blank text fits no other type by itself
 KINDS: dict[str, tuple[Callable[[Column, int], Column], T.DataType]] = {
-    "fixed": (fn.fixed, T.StringType()),
-    "fixed_upper": (fn.fixed_upper, T.StringType()),
-    "limited": (fn.limited, T.StringType()),
-    "text": (lambda c, _: c, T.StringType()),
+    "fixed": (lambda c, n: fn.fixed(fn.filled(c), n), T.StringType()),
+    "fixed_upper": (lambda c, n: fn.fixed_upper(fn.filled(c), n), T.StringType()),
+    "limited": (lambda c, n: fn.limited(fn.filled(c), n), T.StringType()),
+    "text": (lambda c, _: fn.filled(c), T.StringType()),
     "int": (lambda c, _: fn.try_int(c), T.IntegerType()),
     "unsigned_byte": (lambda c, _: fn.try_unsigned_byte(c), T.ShortType()),
     "money": (lambda c, _: fn.try_money(c), T.DecimalType(10, 2)),
@@ -44,8 +44,8 @@ class ColumnSpec:
     def raw(self) -> str:
         return self.raw_name or self.name
 
-    def typed(self, cleaned: Column) -> Column:
-        return KINDS[self.kind][0](cleaned, self.size)
+    def typed(self, text: Column) -> Column:
+        return KINDS[self.kind][0](text, self.size)
 
     @property
     def spark_type(self) -> T.DataType:
@@ -54,7 +54,7 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One source table. ``best_first`` orders rows of equal key by their *raw* columns."""
+    """One source table. ``best_first`` orders rows of equal key; it may use typed and raw columns."""
 
     name: str
     columns: tuple[ColumnSpec, ...]
@@ -75,23 +75,27 @@ class TableSpec:
         return next(c for c in self.columns if c.name == name)
 
 
+def raw(column: str) -> Column:
+    """A raw column beside the typed ones, while rows of equal key are being ranked."""
+    return F.col(f"_raw_{column}")
+
+
 def _identifier(name: str) -> ColumnSpec:
     return ColumnSpec(name, "fixed", 32)
 
 
 def _best_place() -> list[Column]:
     """Rows that carry both raw coordinates (parseable or not) come first, then by raw city."""
-    both = F.col("geolocation_lat").isNotNull() & F.col("geolocation_lng").isNotNull()
-    return [F.when(both, 0).otherwise(1), F.col("geolocation_city").asc_nulls_first()]
+    both = raw("geolocation_lat").isNotNull() & raw("geolocation_lng").isNotNull()
+    return [F.when(both, 0).otherwise(1), raw("geolocation_city").asc_nulls_first()]
 
 
 def _latest_answer() -> list[Column]:
     """Rows with a non-blank raw answer time first (quotes count as text), then latest answer, then latest creation."""
-    answer, created = F.col("review_answer_timestamp"), F.col("review_creation_date")
     return [
-        F.when(F.trim(answer) != "", 0).otherwise(1),
-        fn.try_seconds(fn.clean_text(answer)).desc_nulls_last(),
-        fn.try_seconds(fn.clean_text(created)).desc_nulls_last(),
+        F.when(F.trim(raw("review_answer_timestamp")) != "", 0).otherwise(1),
+        F.col("review_answer_timestamp").desc_nulls_last(),
+        F.col("review_creation_date").desc_nulls_last(),
     ]
 
 
