@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+import pyarrow as pa
+
 from tierstar.schemas import TABLES
 
 
@@ -11,9 +13,15 @@ def rows(df, *order):
 
 def raw_table(spark, name, *lines):
     """Raw rows from tuples of text; short tuples are filled with NULL."""
-    schema = TABLES[name].raw_schema()
-    width = len(schema.fields)
-    return spark.createDataFrame([tuple(line) + (None,) * (width - len(line)) for line in lines], schema)
+    names = [c.raw for c in TABLES[name].columns]
+    filled = [tuple(line) + (None,) * (len(names) - len(line)) for line in lines]
+    columns = {n: pa.array([line[i] for line in filled], pa.string()) for i, n in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns))
+
+
+def table(spark, **columns):
+    """A small table from lists of values."""
+    return spark.createDataFrame(pa.table(columns))
 
 
 def shop(spark, **replace):

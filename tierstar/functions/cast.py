@@ -41,10 +41,15 @@ def try_float(c: Column) -> Column:
 
 
 def try_seconds(c: Column) -> Column:
-    """Zone-free timestamp rounded to the nearest second."""
+    """Zone-free timestamp rounded to the nearest second.
+
+    The fraction is cut off as text: Spark's ``date_trunc`` would take the value through the session
+    zone and move times that do not exist there.
+    """
     t = F.trim(c)
     exact = t.try_cast("timestamp_ntz")
-    rounded = F.date_trunc("second", exact + F.expr("interval 500 milliseconds")).cast("timestamp_ntz")
+    nudged = exact + F.expr("interval 500 milliseconds")
+    rounded = F.left(nudged.cast("string"), F.lit(19)).try_cast("timestamp_ntz")
     return _if_spelled(t, DATE_TIME, F.when(F.contains(t, F.lit(".")), rounded).otherwise(exact))
 
 
