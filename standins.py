@@ -162,9 +162,15 @@ def reviews(given):
     )
 
 
-def clean_tables(given: Given) -> dict[str, DataFrame]:
+def star_tables(given: Given) -> dict[str, DataFrame]:
+    """The clean tables the star is built from."""
     builders = (customers, sellers, products, category_translation, orders, order_items, payments, reviews)
-    return {f.__name__: f(given) for f in builders} | {"geolocation": geolocation(given)}
+    return {f.__name__: f(given) for f in builders}
+
+
+def clean_tables(given: Given) -> dict[str, DataFrame]:
+    """All nine clean tables."""
+    return star_tables(given) | {"geolocation": geolocation(given)}
 
 
 def geolocation(given):

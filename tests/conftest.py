@@ -12,7 +12,7 @@ from tierstar.session import local_session
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
     session = local_session(
-        8, "tierstar-tests", spark__checkpoint__dir=str(folder), spark__sql__warehouse__dir=str(folder / "warehouse")
+        8, "tierstar-tests", spark__checkpoint__dir=str(folder), spark__sql__warehouse__dir=str(folder / "warehouse"), spark__sql__shuffle__partitions="4"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

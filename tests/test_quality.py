@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import raw_table, rows, shop, table
+from tierstar.operators.keys import dense_key, resolve_key
 from tierstar.operators.joins import heavy_keys, orphans, split_join
 from tierstar.operators.quality import (
     WARNING,
@@ -161,3 +162,30 @@ def test_heavy_keys_are_few_and_split_evenly(spark):
         plain = lines.join(lookup, "k", how)
         assert split.select("k", "id", "v").exceptAll(plain.select("k", "id", "v")).isEmpty()
         assert split.count() == 10_000
+
+
+def test_hot_product_is_split_at_run_time(spark):
+    """A third of the rows on one key: adaptive execution divides it between tasks, rows stay whole."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lines = spark.range(0, 90_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("product_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        dimension = dense_key(lines.select("product_id").distinct(), ["product_id"], "product_key")
+        joined = resolve_key(lines, dimension, "product_id", "product_key")
+        joined._jdf.collectToPython()
+        assert "skew" in joined._jdf.queryExecution().executedPlan().toString().lower()
+        assert joined.count() == 90_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
