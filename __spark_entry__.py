@@ -180,7 +180,7 @@ def _upsert_latest(given: Given) -> DataFrame:
     events, mark, key = given["events"], datetime(2024, 1, 15), ["user_id", "event_type"]
     order = [F.col("ts").desc_nulls_last(), F.col("event_id")]
     existing = dedup.first_per_key(events.filter(F.col("ts") <= F.lit(mark).cast("timestamp_ntz")), key, order)
-    return upsert(existing, newer_than(events, "ts", mark), key, order)
+    return upsert(existing, newer_than(events, "ts", mark), key, order, existing_unique=True)
 
 
 PARTS = TableSpec(

@@ -34,6 +34,9 @@ def test_upsert_and_watermark(spark):
     got = upsert(df, arrived, ["k"], [F.col("t").desc_nulls_last()])
     # On equal times the arrived row replaces the stored one.
     assert rows(got.select("k", "v"), "k") == [("a", 2), ("b", 30), ("c", 4)]
+    unique = df.filter("v > 1")
+    passed_through = upsert(unique, arrived, ["k"], [F.col("t").desc_nulls_last()], existing_unique=True)
+    assert rows(passed_through.select("k", "v"), "k") == [("a", 2), ("b", 30), ("c", 4)]
 
 
 def test_only_new_files_are_loaded(spark, tmp_path):

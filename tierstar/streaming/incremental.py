@@ -42,16 +42,21 @@ def high_water_mark(df: DataFrame, time: str) -> datetime | None:
     return df.agg(F.max(time).alias("mark")).first().mark
 
 
-def upsert(existing: DataFrame, arrived: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def upsert(
+    existing: DataFrame, arrived: DataFrame, keys: Sequence[str], order: Sequence[Column], existing_unique: bool = False
+) -> DataFrame:
     """Existing and new rows with one row per key: the first under ``order``; on a tie the new one.
 
-    ``existing`` holds one row per key and no NULL key. Only its rows whose key arrives again are
-    ranked; all others pass through, without a shuffle as long as the arrived keys are few enough
-    for Spark to broadcast them.
+    Where ``existing`` is known to hold one row per key and no NULL key, say so: then only its rows
+    whose key arrives again are ranked, and all others pass through, without a shuffle as long as
+    the arrived keys are few enough for Spark to broadcast them.
     """
-    touched = arrived.select(*keys).distinct()
-    untouched = existing.join(touched, list(keys), "left_anti").select(*existing.columns)
-    replaceable = existing.join(touched, list(keys), "left_semi").select(*existing.columns)
-    rivals = union_all([replaceable.withColumn("_age", F.lit(1)), arrived.withColumn("_age", F.lit(0))])
-    ties = [F.col("_age"), *[F.col(c) for c in existing.columns if c not in keys]]
-    return union_all([untouched, first_per_key(rivals, keys, order, ties).drop("_age")])
+    columns = existing.columns
+    untouched = []
+    if existing_unique:
+        touched = arrived.select(*keys).distinct()
+        untouched = [existing.join(touched, list(keys), "left_anti").select(*columns)]
+        existing = existing.join(touched, list(keys), "left_semi").select(*columns)
+    rivals = union_all([existing.withColumn("_age", F.lit(1)), arrived.withColumn("_age", F.lit(0))])
+    ties = [F.col("_age"), *[F.col(c) for c in columns if c not in keys]]
+    return union_all([*untouched, first_per_key(rivals, keys, order, ties).drop("_age")])
