@@ -34,8 +34,8 @@ EXPECTED = [
 ]
 
 
-def test_worked_example(spark):
-    fact = star_of(spark, shop(spark))["fact_orders"]
+def test_worked_example(star):
+    fact = star["fact_orders"]
     assert rows(fact.select(*MEASURES), "order_id", "order_item_id") == EXPECTED
     first = fact.filter("order_id = 'o1' and order_item_id = 3").first()
     assert (first.order_date_key, first.shipping_limit_date_key, first.approved_date_key) == (20171002, 20171006, 20171002)
@@ -43,15 +43,15 @@ def test_worked_example(spark):
     assert first.freight_amount is None and first.quantity == 1
 
 
-def test_joined_calendar_gives_the_same_fact(spark):
-    plain = star_of(spark, shop(spark))["fact_orders"]
+def test_joined_calendar_gives_the_same_fact(spark, star):
+    plain = star["fact_orders"]
     joined = star_of(spark, shop(spark), with_calendar=True)["fact_orders"]
     assert plain.schema == joined.schema
     assert rows(plain, "order_id", "order_item_id") == rows(joined, "order_id", "order_item_id")
 
 
-def test_split_orders_give_the_same_fact(spark):
-    whole = star_of(spark, shop(spark))["fact_orders"]
+def test_split_orders_give_the_same_fact(spark, star):
+    whole = star["fact_orders"]
     split = star_of(spark, shop(spark), rows_per_split=1)["fact_orders"]
     assert rows(whole, "order_id", "order_item_id") == rows(split, "order_id", "order_item_id")
 
@@ -78,14 +78,14 @@ def test_lines_leave_without_customer_seller_order_or_purchase_time(spark):
     assert fact_with(orders=untimed) == set()
 
 
-def test_untranslated_category_keeps_its_product(spark):
-    products = star_of(spark, shop(spark))["dim_products"]
+def test_untranslated_category_keeps_its_product(star):
+    products = star["dim_products"]
     names = ["product_id", "product_category_name", "product_category_name_english"]
     assert rows(products.select(*names), "product_id") == [("p1", "perfumaria", "perfumery"), ("p2", "artes", None)]
 
 
-def test_calendar_holds_each_used_day_once(spark):
-    days = star_of(spark, shop(spark))["dim_date"]
+def test_calendar_holds_each_used_day_once(star):
+    days = star["dim_date"]
     keys = [r.date_key for r in days.orderBy("date_key").collect()]
     # The carrier hand-over on 2017-10-04 is not in use.
     assert keys == [20171002, 20171006, 20171010, 20171018, 20180724, 20180730, 20180813]

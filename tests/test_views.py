@@ -2,8 +2,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from helpers import rows, shop, table
-from test_star import star_of
+from helpers import rows, table
 from tierstar.operators.aggregates import (
     allocate,
     items_per_order,
@@ -16,8 +15,7 @@ from tierstar.operators.aggregates import (
 from tierstar.plans import analyses, views
 
 
-def test_kpis_of_the_shop(spark):
-    star = star_of(spark, shop(spark))
+def test_kpis_of_the_shop(star):
     customers = views.customer_metrics(star)
     assert customers.columns == [
         "customer_id",
@@ -42,9 +40,8 @@ def test_kpis_of_the_shop(spark):
     assert len(views.order_line_metrics(star).columns) == 23
 
 
-def test_kpis_do_not_depend_on_where_names_are_joined(spark):
+def test_kpis_do_not_depend_on_where_names_are_joined(star):
     """Aggregating lines with their names gives the same as aggregating keys first."""
-    star = star_of(spark, shop(spark))
     lines = views.order_line_metrics(star)
     direct = lines.groupBy("customer_id", "customer_unique_id", "customer_city", "customer_state").agg(
         F.count_distinct("order_id"), F.count("*"), F.sum("total_amount"), F.avg("total_amount"), F.avg("review_score")
@@ -53,8 +50,7 @@ def test_kpis_do_not_depend_on_where_names_are_joined(spark):
     assert lines.agg(F.sum("total_amount")).first()[0] == star["fact_orders"].agg(F.sum("total_amount")).first()[0]
 
 
-def test_analyses_of_the_shop(spark):
-    star = star_of(spark, shop(spark))
+def test_analyses_of_the_shop(star):
     assert rows(analyses.revenue_by_month(star), "order_year") == [(2017, 10, D("63.00"), 1, 3), (2018, 7, D("5.50"), 1, 1)]
     by_category = rows(analyses.sales_by_category(star), "product_category_name_english")
     assert by_category == [(None, D("27.50"), 2, 1), ("perfumery", D("41.00"), 2, 1)]
