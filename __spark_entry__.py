@@ -27,6 +27,13 @@ from tierstar.sources.delimited import accepted, read_raw
 from tierstar.sources.store import LayerStore, RunInfo
 from tierstar.streaming.incremental import newer_than, upsert
 
+# The operators for training corpora may be taken out; everything else must then still work.
+try:
+    import corpus_pipeline
+    from tierstar.llm import queries as corpus
+except ImportError:
+    corpus_pipeline = corpus = None
+
 SMOKE = "/root/testdata/sf0.001"
 
 
@@ -263,8 +270,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Given], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: _doubles(build(Given(spark, folder)))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    found = {name: bind(build) for name, build in QUERIES.items()}
+    return found if corpus is None else found | corpus.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracles.ORACLES)
+    found = dict(oracles.ORACLES)
+    if corpus is not None:
+        found |= corpus.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
