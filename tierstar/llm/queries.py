@@ -4,20 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstar.llm import decontaminate, exact_dedup
+from tierstar.llm import decontaminate, exact_dedup, language_model, license_scan, mixing, near_dedup, quality, repeat_removal, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeat_removal.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size", "kept")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+#: Shares of tokens that the mixed corpus aims at.
+TARGETS = {"clean": 0.90, "toxic": 0.05, "low": 0.05}
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.mix(docs, _table(spark, sf_dir, "labels"), TARGETS).select("doc_id", "mix.*")
+
+
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_held_out(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -26,13 +62,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op3_repeat_removal": op3_repeat_removal,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
+    "op8_language_model": op8_language_model,
+    "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op5_license_scan": license_scan.scan_sql(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
