@@ -19,6 +19,8 @@ def weights(text):
 
 
 def similarity(x, y):
+    if set(x.values()) | set(y.values()) <= {1}:
+        return len(x.keys() & y.keys()) / max(1, len(x.keys() | y.keys()))
     total = 0.0
     for i in x.keys() & y.keys():
         total += 1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in x.keys() | y.keys())

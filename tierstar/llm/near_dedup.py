@@ -48,7 +48,7 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.arange(len(h)) - first[text]
     left = n[text] - place
     total = h * _FACTORS[0]
-    for k in range(1, SHINGLE):
+    for k in range(1, min(SHINGLE, len(h))):
         total[: len(h) - k] += h[k:] * _FACTORS[k] * (left[: len(h) - k] > k)
     keep = (left >= SHINGLE) | (place == 0)
     text, hashes = text[keep], mix(total[keep])
