@@ -1,9 +1,10 @@
 """Benchmark decontamination: windows of benchmark words, looked up in every window of a document.
 
-A window is 13 consecutive words of an item, or the whole of a shorter item. The hashes of the
-windows are sent to all executors (only while their counted number is within a limit; beyond it
-Spark joins by a shuffle). Documents are scanned once; every window whose hash is found is compared word
-by word. Everything runs inside the engine, without Python.
+A window is 13 consecutive words of an item, or the whole of a shorter item. The hash table of the
+windows is sent to all executors (only while their counted number is within a limit; beyond it
+Spark joins by a shuffle). It is keyed by the longest word of a window, which is looked up at every
+word of a document; the document's window around a word that is found is compared word by word.
+Everything runs inside the engine, without Python.
 
 Null and empty texts have no words and no hits. Rows that share an id are told apart by their
 text; rows equal in both get the same answer each. An empty benchmark hits nothing. Items without
@@ -31,36 +32,28 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
 
 
-def _windows(words: Column, length: int) -> Column:
-    """All windows of a length as (pos, len, hash), in order."""
-    each = F.transform(
-        F.sequence(F.lit(0), F.size(words) - length),
-        lambda i: F.struct(i.alias("pos"), F.lit(length).alias("len"), F.xxhash64(F.slice(words, i + 1, length)).alias("hash")),
-    )
-    return F.when(F.size(words) >= length, each).otherwise(F.array().cast("array<struct<pos:int,len:int,hash:bigint>>"))
-
-
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per different window: hash, len, window (its words), items (the ids as text)."""
+    """One row per different window: len, window (its words), items (the ids as text), seed (its longest word) and offset (where that is)."""
     words = items.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("item"), words_of(text_of(text_column)).alias("words")).filter(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(window))
     at = words.select("item", "words", length.alias("len"), F.explode(F.sequence(F.lit(1), F.size("words") - length + 1)).alias("at"))
     cut = at.select("item", "len", F.slice("words", F.col("at"), F.col("len")).alias("window"))
-    return cut.groupBy("len", "window").agg(F.collect_set("item").alias("items")).withColumn("hash", F.xxhash64("window"))
+    longest = F.array_max(F.transform("window", lambda w, i: F.struct(F.length(w).alias("length"), (-i).alias("i"), w.alias("word"))))
+    return cut.groupBy("len", "window").agg(F.collect_set("item").alias("items")).withColumns({"seed": longest["word"], "offset": -longest["i"]})
 
 
 def hits(docs: DataFrame, windows: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Documents with hits: doc_id, _fp, n_hit, items (sorted), spans (pos and len of every hit window)."""
     known = stored(windows)
-    lengths = sorted(r["len"] for r in known.select("len").distinct().collect())  # at most WINDOW values
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("_text"))
     rows = rows.select("doc_id", F.xxhash64("_text").alias("_fp"), words_of(F.col("_text")).alias("words"))
-    empty = F.array().cast("array<struct<pos:int,len:int,hash:bigint>>")
-    each = rows.select("doc_id", "_fp", "words", F.inline(F.concat(empty, *[_windows(F.col("words"), n) for n in lengths])))
-    side = small_side(known.withColumnRenamed("hash", "known"), known.count(), WINDOW_LIMIT)
-    # Written so that Spark looks up by the hash alone and compares the words only where it is found.
-    same = F.array_contains(F.array("window"), F.slice("words", F.col("pos") + 1, each["len"]))
-    found = each.join(side, (F.col("hash") == F.col("known")) & same).select("doc_id", "_fp", "pos", each["len"], "items")
+    each = rows.select("doc_id", "_fp", "words", F.posexplode("words").alias("at", "word"))
+    side = small_side(known, known.count(), WINDOW_LIMIT)
+    pos = F.col("at") - F.col("offset")
+    inside = (pos >= 0) & (pos + F.col("len") <= F.size("words"))
+    # Written so that Spark looks up by the seed alone and compares the words only where it is found.
+    same = F.array_contains(F.array("window"), F.slice("words", F.greatest(pos, F.lit(0)) + 1, F.col("len")))
+    found = each.join(side, (F.col("word") == F.col("seed")) & inside & same).select("doc_id", "_fp", pos.alias("pos"), "len", "items")
     spans = found.groupBy("doc_id", "_fp").agg(
         F.collect_set(F.struct("pos", "len")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
