@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -24,7 +23,7 @@ from tierstar.operators.clean import clean, require
 from tierstar.plans import analyses, gold, pipeline, silver, views
 from tierstar.schemas import TABLES, ColumnSpec, TableSpec, conform
 from tierstar.sources.delimited import accepted, read_raw
-from tierstar.sources.store import LayerStore, RunInfo
+from tierstar.sources.store import LayerStore, RunInfo, shared_folder
 from tierstar.streaming.incremental import newer_than, upsert
 
 # The operators for training corpora may be taken out; everything else must then still work.
@@ -45,15 +44,8 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared folder the cluster names; a temporary one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tierstar-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4()}"
-
-
-def _stored(spark: SparkSession, layer: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The tables written once and read back, for work that reads each of them many times."""
-    store, run = LayerStore(spark, _scratch(spark)), RunInfo()
-    return {name: store.stage(run, layer, name, df).df for name, df in tables.items()}
+    """A new folder in the shared folder the cluster names."""
+    return f"{shared_folder(spark)}/{uuid.uuid4()}"
 
 
 def _fact(clean: dict[str, DataFrame], star: dict[str, DataFrame], dates: DataFrame | None = None, **options) -> DataFrame:
@@ -104,8 +96,9 @@ def _require_keys(given: Given) -> DataFrame:
 
 
 def _dedup_line_items(given: Given) -> DataFrame:
-    lines = given["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return dedup.latest_per_key(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
+    key = ["l_orderkey", "l_linenumber"]
+    ties = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return dedup.first_per_key(given["lineitem"], key, [F.col("l_shipdate").desc_nulls_last()], [F.col(c) for c in ties])
 
 
 def _order_line_keys(given: Given) -> DataFrame:
@@ -113,6 +106,30 @@ def _order_line_keys(given: Given) -> DataFrame:
     return keys.dense_key(lines, ["order_id", "order_item_id"], "line_key", digits=4)
 
 
+def _fact_line_keys(given: Given) -> DataFrame:
+    """The keys by position in stored lines are dense and unique."""
+    keyed = keys.position_key(given["lineitem"], "line_key")
+    return keyed.agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("line_key").alias("first_key"), F.max("line_key").alias("last_key"), F.count_distinct("line_key").alias("key_count")
+    )
+
+
+def _published(given: Given) -> LayerStore:
+    """A store with two clean tables and an empty one, partitioned, in its silver layer."""
+    store, run = LayerStore(given.spark, _scratch(given.spark)), RunInfo()
+    tables = {"customers_clean": standins.customers(given), "orders_clean": standins.orders(given)}
+    staged = [store.stage(run, "silver", name, df) for name, df in tables.items()]
+    staged.append(store.stage(run, "silver", "empty_clean", standins.orders(given).filter("order_id IS NULL"), ["order_status"]))
+    store.publish(run, "silver", staged)
+    return store
+
+
+def _existence_gate(given: Given) -> DataFrame:
+    """Asked of what the store has published."""
+    store = _published(given)
+    return silver.existence_gate(given.spark, {t for t in TABLES if store.exists("silver", silver.clean_name(t))})
+
+
 def _resolve_product_key(given: Given) -> DataFrame:
     """Lines of unknown products leave: the dimension is restricted so that there are some."""
     products = gold.build_dim_products(standins.products(given), standins.category_translation(given))
@@ -252,8 +269,11 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "orphans": _orphans,
     "range_check": _range_check,
     "row_count_compare": _row_count_compare,
-    "silver_gate": lambda g: silver.gate(_stored(g.spark, "silver", silver.clean_all(standins.raw_tables(g)))),
-    "gold_gate": lambda g: gold.gate(_stored(g.spark, "gold", _star(g))),
+    "fact_line_keys": _fact_line_keys,
+    "manifest_rows": lambda g: _published(g).manifest().select("layer", "table_name", "row_count"),
+    "existence_gate": _existence_gate,
+    "silver_gate": lambda g: silver.gate(silver.clean_all(standins.raw_tables(g))),
+    "gold_gate": lambda g: gold.gate(_star(g)),
     "customer_history": _customer_history,
     "upsert_latest": _upsert_latest,
     "raw_scan": _raw_scan,

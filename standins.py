@@ -226,10 +226,15 @@ def raw_products(given):
     )
 
 
+def _untidy_key(c: Column) -> Column:
+    """As ``_untidy``; in every other event another copy of the key has a blank inside its quotes."""
+    return F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"'), c, F.lit(' "'))).otherwise(_untidy(c))
+
+
 def raw_geolocation(given):
     """Places of the events' users: many per zip code, some without one of the coordinates."""
     return given["events"].select(
-        _untidy(F.lpad(text("user_id"), 5, "0")).alias("geolocation_zip_code_prefix"),
+        _untidy_key(F.lpad(text("user_id"), 5, "0")).alias("geolocation_zip_code_prefix"),
         F.when(F.col("event_type") != "error", F.concat(F.lit("-"), text("event_id"), F.lit(".25"))).alias("geolocation_lat"),
         F.when(F.col("event_type") == "click", "unknown").otherwise(F.concat(text("event_id"), F.lit(".5"))).alias("geolocation_lng"),
         F.concat(F.col("event_type"), F.lit(" "), text("event_id")).alias("geolocation_city"),
@@ -240,7 +245,7 @@ def raw_geolocation(given):
 def raw_category_translation(given):
     types = given["part"].select("p_type").distinct()
     return types.select(
-        _untidy(F.lower("p_type")).alias("product_category_name"),
+        F.concat(F.lit('"'), F.lower("p_type"), F.lit('  "')).alias("product_category_name"),
         F.when(F.col("p_type") == "ECONOMY", '""').otherwise(F.initcap("p_type")).alias("product_category_name_english"),
     )
 
@@ -293,7 +298,7 @@ def raw_reviews(given):
     """Events as reviews: many per user, some with an empty or a quoted empty answer time."""
     kind = F.col("event_type")
     return given["events"].select(
-        _untidy(text("user_id")).alias("review_id"),
+        _untidy_key(text("user_id")).alias("review_id"),
         F.when(kind == "signup", '"  "').otherwise(text("event_id")).alias("order_id"),
         F.concat(F.lit('"'), F.floor(F.col("value")).cast("string"), F.lit('"')).alias("review_score"),
         F.concat(F.lit(" "), kind).alias("review_comment_title"),

@@ -7,13 +7,16 @@ from tierstar.operators.joins import heavy_keys, orphans, split_join
 from tierstar.operators.quality import (
     WARNING,
     QualityError,
+    Reference,
     Rule,
+    Unique,
     any_null,
     any_row,
     count_check,
     duplicate_keys,
     earlier,
     enforce,
+    key_checks,
     negative,
     orphan_check,
     outside,
@@ -144,18 +147,39 @@ def test_null_keys(spark):
     assert (ratio.failing_rows, ratio.checked_rows, ratio.passed) == (3, 4, True)
 
 
+def test_unique_checks_count_rows(spark):
+    df = table(spark, k=["a", "a", "a", "b", None, None], j=[1, 1, 2, 3, 4, 5])
+    assert unique_check(1, "u", df, ["k"]).first().failing_rows == 5
+    lines = key_checks({"t": df, "p": df.filter("k = 'a'").limit(1)}, [Unique(1, "k", "t", ("k",)), Unique(2, "kj", "t", ("k", "j")), Unique(3, "pk", "p", ("k",))],
+                       [Reference(4, "r", "t", "k", "p", "k"), Reference(5, "r0", "t", "k", "p", "k", True)])
+    assert [(r.code, r.failing_rows, r.checked_rows) for r in lines.collect()] == [(1, 5, 6), (2, 2, 6), (3, 0, 1), (4, 3, None), (5, 1, None)]
+
+
+def test_gates_read_each_table_twice(spark, star):
+    from tierstar.plans import gold
+
+    plan = gold.gate({n: spark.createDataFrame(df.collect(), df.schema) for n, df in star.items()})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2 * len(star)
+
+
+def test_dense_key_digits(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    for digits in (2, 3, 4):
+        keyed = dense_key(df, ["k"], "n", digits)
+        assert tuple(keyed.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()) == (1, 3000, 3000)
+
+
 def test_any_row(spark):
     assert any_row(spark.range(1)) and not any_row(spark.range(0))
 
 
-def test_heavy_keys_are_few_and_split_evenly(spark):
+def test_heavy_keys_are_split_evenly(spark):
     lines = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id"
     )
     counts = lines.groupBy("k").agg(F.count("*").alias("n"))
     heavy = heavy_keys(counts, "k", "n", rows_per_split=100)
     assert rows(heavy) == [("hot", 34)]
-    assert heavy_keys(counts, "k", "n", rows_per_split=0, at_most=1).count() == 0
     lookup = counts.select("k", F.length("k").alias("v"))
     for how in ("inner", "left"):
         split = split_join(lines, lookup, "k", heavy, ["id"], how)

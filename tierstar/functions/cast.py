@@ -40,13 +40,18 @@ def try_float(c: Column) -> Column:
     return F.when(c.rlike(FLOAT) & (F.abs(value) < float("inf")), value)
 
 
+def _dashed(t: Column) -> Column:
+    """``yyyymmdd`` at the head of a text as ``yyyy-mm-dd``."""
+    return F.regexp_replace(t, "^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[ T])", "$1-$2-$3")
+
+
 def try_seconds(c: Column) -> Column:
     """Zone-free timestamp rounded to the nearest second.
 
     The fraction is cut off as text: Spark's ``date_trunc`` would take the value through the session
     zone and move times that do not exist there.
     """
-    t = F.trim(c)
+    t = _dashed(F.trim(c))
     exact = t.try_cast("timestamp_ntz")
     nudged = exact + F.expr("interval 500 milliseconds")
     rounded = F.left(nudged.cast("string"), F.lit(19)).try_cast("timestamp_ntz")
@@ -54,5 +59,5 @@ def try_seconds(c: Column) -> Column:
 
 
 def try_date(c: Column) -> Column:
-    t = F.trim(c)
+    t = _dashed(F.trim(c))
     return _if_spelled(t, DATE_TIME, t.try_cast("date"))

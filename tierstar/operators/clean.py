@@ -36,8 +36,8 @@ def clean(raw: DataFrame, spec: TableSpec) -> DataFrame:
         return require(raw.select(*texts).select(*typed), *spec.required)
 
     raws = [F.col(c.raw).alias(f"_raw_{c.raw}") for c in spec.columns]
-    # Copies are recognised by the whole cleaned key text, before it is cut to its column size.
-    keys = {f"_key_{k}": filled(F.col(f"_text_{k}")) for k in spec.key}
+    # Copies are recognised by the whole cleaned key text, before it is cut to its column size; blanks at its end do not count.
+    keys = {f"_key_{k}": F.rtrim(filled(F.col(f"_text_{k}"))) for k in spec.key}
     candidates = raw.select(*raws, *texts).select("*", *typed).withColumns(keys)
     candidates = require(candidates, *spec.required)
     return first_per_key(candidates, list(keys), spec.best_first(), [F.col(c) for c in names]).select(*names)

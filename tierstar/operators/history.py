@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from tierstar.operators.aggregates import union_all
 
 
-def _digest(attributes: Sequence[str]) -> Column:
-    # to_json keeps field names, so NULLs and values that contain separators cannot be confused.
-    return F.sha2(F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"}), 256)
-
-
 def start_history(snapshot: DataFrame, at: datetime) -> DataFrame:
     """Every row of a first snapshot, valid from ``at`` on."""
     return snapshot.select(
@@ -30,29 +25,23 @@ def merge_history(history: DataFrame, snapshot: DataFrame, key: str, attributes:
     """Bring a history up to a new full snapshot, unique on ``key``.
 
     Rows whose attributes changed, or whose key vanished, are closed at ``at``; changed and new
-    keys open a row. Only current rows take part in the join; closed rows pass through unmoved.
+    keys open a row. Only current rows take part in the one join; closed rows pass through unmoved.
     """
     closed = history.filter(F.col("is_current") == 0)
     current = history.filter(F.col("is_current") == 1)
     now = F.lit(at).cast("timestamp_ntz")
 
-    fresh = snapshot.select(F.col(key), _digest(attributes).alias("_new"), F.struct(*attributes).alias("_row"))
-    known = current.withColumn("_old", _digest(attributes))
-    paired = known.join(fresh, key, "full_outer")
-    same = F.col("_old").eqNullSafe(F.col("_new"))
-
-    carried = paired.filter(F.col("_old").isNotNull()).select(
-        key,
-        *attributes,
-        "valid_from",
-        F.when(~same, now).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(same, 1).otherwise(0).alias("is_current"),
-    )
-    opened = paired.filter(F.col("_new").isNotNull() & ~same).select(
-        key,
-        *[F.col(f"_row.{a}").alias(a) for a in attributes],
-        now.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        F.lit(1).alias("is_current"),
-    )
-    return union_all([closed.select(key, *attributes, "valid_from", "valid_to", "is_current"), carried, opened])
+    # Both sides carry their attributes as one struct, which compares field by field, NULL like any value.
+    fresh = snapshot.select(F.col(key).alias("_key"), F.struct(*attributes).alias("_new"))
+    known = current.select(F.col(key).alias("_id"), F.struct(*attributes).alias("_old"), "valid_from", "valid_to")
+    paired = known.join(fresh, F.col("_id") == F.col("_key"), "full_outer")
+    same = F.col("_old").isNotNull() & F.col("_new").isNotNull() & F.col("_old").eqNullSafe(F.col("_new"))
+
+    def row(values: str, start: Column, end: Column, is_current: Column) -> Column:
+        fields = [F.col(values)[a].alias(a) for a in attributes]
+        return F.struct(F.coalesce("_id", "_key").alias(key), *fields, start.alias("valid_from"), end.alias("valid_to"), is_current.alias("is_current"))
+
+    carried = row("_old", F.col("valid_from"), F.when(same, F.col("valid_to")).otherwise(now), F.when(same, 1).otherwise(0))
+    opened = row("_new", now, F.lit(None).cast("timestamp_ntz"), F.lit(1))
+    each = F.array_compact(F.array(F.when(F.col("_old").isNotNull(), carried), F.when(F.col("_new").isNotNull() & ~same, opened)))
+    return union_all([closed.select(key, *attributes, "valid_from", "valid_to", "is_current"), paired.select(F.inline(each))])

@@ -13,18 +13,12 @@ def enrich(rows: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
     return rows.join(lookup, on, "left")
 
 
-def heavy_keys(
-    counts: DataFrame, key: str, rows: str, rows_per_split: int = 1_000_000, at_most: int = 100_000
-) -> DataFrame:
+def heavy_keys(counts: DataFrame, key: str, rows: str, rows_per_split: int = 1_000_000) -> DataFrame:
     """Keys that one task should not hold alone, each with the number of parts to split it into.
 
-    A listed key holds more than ``1 / at_most`` of all rows, so the list is shorter than
-    ``at_most`` whatever the data: small enough to broadcast.
+    Every key above ``rows_per_split`` is listed, whatever its share of the table.
     """
-    share = counts.agg((F.sum(rows) / at_most).alias("share")).scalar()
-    return counts.filter((F.col(rows) > rows_per_split) & (F.col(rows) > share)).select(
-        key, F.ceil(F.col(rows) / rows_per_split).cast("int").alias("_parts")
-    )
+    return counts.filter(F.col(rows) > rows_per_split).select(key, F.ceil(F.col(rows) / rows_per_split).cast("int").alias("_parts"))
 
 
 def split_join(
@@ -38,9 +32,9 @@ def split_join(
     """Join many rows to a lookup that is unique on ``key``, splitting the keys listed in ``heavy``.
 
     Rows of a heavy key are spread over its parts by a hash of ``spread``; the single lookup row of
-    that key is repeated once per part. All other keys have one part and are joined as usual.
+    that key is repeated once per part. All other keys have one part and are joined as usual. The
+    list is not broadcast by force: it grows with the data, and Spark knows its size when it runs.
     """
-    heavy = F.broadcast(heavy)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     spread_rows = (
         rows.join(heavy, key, "left")

@@ -40,14 +40,13 @@ def dense_key(df: DataFrame, by: Sequence[str], name: str, digits: int = 3) -> D
     )
 
 
-def position_key(written: DataFrame, by: Sequence[str], name: str, at_most_files: int = 200_000) -> DataFrame:
-    """Number the rows of a written Parquet table 1..n by file and position, without any shuffle.
+def position_key(written: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a written Parquet table 1..n by file and position in it.
 
-    Use it on a table that will not be rewritten. What is broadcast has one row per file; a table of
-    more than ``at_most_files`` is numbered by ``dense_key`` on ``by`` instead.
+    Use it on a table that will not be rewritten. File names come from the rows themselves, so none
+    reaches the driver; the table of where each file starts has one row per file and is joined
+    as Spark sees fit: broadcast if small, else by a shuffle whose large files adaptive execution splits.
     """
-    if len(written.inputFiles()) > at_most_files:
-        return dense_key(written, by, name, digits=4)
     placed = written.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -55,9 +54,7 @@ def position_key(written: DataFrame, by: Sequence[str], name: str, at_most_files
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    return placed.join(F.broadcast(starts), "_file").select(
-        (F.col("_start") + F.col("_row") + 1).cast("long").alias(name), *written.columns
-    )
+    return placed.join(starts, "_file").select((F.col("_start") + F.col("_row") + 1).cast("long").alias(name), *written.columns)
 
 
 def resolve_key(rows: DataFrame, dimension: DataFrame, business_key: str, surrogate_key: str, how: str = "inner") -> DataFrame:

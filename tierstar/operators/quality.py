@@ -6,7 +6,7 @@ checked_rows, passed``. Checks that look at single rows share one pass over thei
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,10 +99,66 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
 
+@dataclass(frozen=True)
+class Unique:
+    """``keys`` occur once in ``table``."""
+
+    code: int
+    message: str
+    table: str
+    keys: tuple[str, ...]
+    severity: str = CRITICAL
+
+
+@dataclass(frozen=True)
+class Reference:
+    """``key`` of ``table`` is found among the ``parent_key`` of ``parent``, which has a ``Unique`` check; a NULL may be let pass."""
+
+    code: int
+    message: str
+    table: str
+    key: str
+    parent: str
+    parent_key: str
+    null_passes: bool = False
+    severity: str = CRITICAL
+
+
+def key_checks(tables: Mapping[str, DataFrame], uniques: Sequence[Unique], references: Sequence[Reference]) -> DataFrame:
+    """All unique and reference checks of several tables: every table is scanned once, and there is one shuffle.
+
+    Each row is turned into the keys it holds. A key of a parent and the children's keys that refer
+    to it share a domain; counting by domain and key (combined before the shuffle) shows both which keys occur twice
+    and which are used without being there, so nothing is joined. Failing rows are rows, not keys.
+    """
+    domain = {(u.table, u.keys): i for i, u in enumerate(uniques)}
+    held: dict[str, list[Column]] = {}
+    for i, u in enumerate(uniques):
+        # One column stands for itself; several are rendered with their names, so no two tuples look alike.
+        key = F.col(u.keys[0]).cast("string") if len(u.keys) == 1 else F.to_json(F.struct(*u.keys), {"ignoreNullFields": "false"})
+        held.setdefault(u.table, []).append(F.struct(F.lit(i).alias("domain"), F.lit(-1).alias("role"), key.alias("key")))
+    for i, r in enumerate(references):
+        place = F.struct(F.lit(domain[(r.parent, (r.parent_key,))]).alias("domain"), F.lit(i).alias("role"), F.col(r.key).cast("string").alias("key"))
+        held.setdefault(r.table, []).append(F.when(F.col(r.key).isNotNull(), place) if r.null_passes else place)
+    events = union_all([tables[t].select(F.inline(F.array_compact(F.array(*keys)))) for t, keys in held.items()])
+    own = F.count_if(F.col("role") == -1)
+    counts = events.groupBy("domain", "key").agg(own.alias("own"), *[F.count_if(F.col("role") == i).alias(f"used_{i}") for i in range(len(references))])
+    lost = (F.col("own") == 0) | F.col("key").isNull()
+    totals = counts.agg(
+        *[F.coalesce(F.sum(F.when((F.col("domain") == i) & (F.col("own") > 1), F.col("own"))), F.lit(0)).alias(f"double_{i}") for i in range(len(uniques))],
+        *[F.coalesce(F.sum(F.when(F.col("domain") == i, F.col("own"))), F.lit(0)).alias(f"rows_{i}") for i in range(len(uniques))],
+        *[F.coalesce(F.sum(F.when(lost, F.col(f"used_{i}"))), F.lit(0)).alias(f"lost_{i}") for i in range(len(references))],
+    )
+    lines = [_line(u.code, u.severity, u.message, F.col(f"double_{i}"), F.col(f"rows_{i}"), 0.0) for i, u in enumerate(uniques)]
+    lines += [_line(r.code, r.severity, r.message, F.col(f"lost_{i}"), F.lit(None), 0.0) for i, r in enumerate(references)]
+    return totals.select(F.inline(F.array(*lines)))
+
+
 def unique_check(code: int, message: str, df: DataFrame, keys: Sequence[str], severity: str = CRITICAL) -> DataFrame:
-    """Fails on every key that occurs more than once."""
+    """Fails on every row of a key that occurs more than once."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    counted = per_key.agg(F.count_if(F.col("n") > 1).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("checked"))
+    repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+    counted = per_key.agg(repeated.alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("checked"))
     return counted.select(F.inline(F.array(_line(code, severity, message, F.col("bad"), F.col("checked"), 0.0))))
 
 
@@ -124,7 +180,7 @@ def orphan_check(
 
 
 def count_check(code: int, message: str, before: DataFrame, after: DataFrame, dropped: DataFrame | None = None, severity: str = WARNING) -> DataFrame:
-    """Rows before = rows after + rows known to be dropped; ``failing_rows`` is the absolute gap."""
+    """Rows before = rows after + rows known to be dropped (those of ``dropped``); ``failing_rows`` is the absolute gap."""
     def size(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 

@@ -20,7 +20,7 @@ from tierstar.operators.aggregates import (
 from tierstar.operators.clean import require
 from tierstar.operators.joins import enrich, heavy_keys, split_join
 from tierstar.operators.keys import dense_key, derive_date, resolve_date, resolve_key
-from tierstar.operators.quality import Rule, any_null, negative, orphan_check, row_checks, run_checks, unique_check
+from tierstar.operators.quality import WARNING, Reference, Rule, Unique, any_null, key_checks, negative, row_checks, run_checks
 from tierstar.schemas import STAR, conform
 
 # Check codes of the star.
@@ -188,27 +188,27 @@ def order_month_key(c: Column | str = "order_date_key") -> Column:
 
 
 def gate(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Unique keys, required columns, valid references and non-negative amounts of the star."""
-    fact = star["fact_orders"]
+    """Unique keys, required columns, valid references and non-negative amounts of the star.
+
+    Every table is read twice: once for what shows in single rows, once for its keys.
+    """
     results = []
     for i, (name, df) in enumerate(star.items()):
         required = [f.name for f in STAR[name] if not f.nullable and f.name in df.columns]
         rules = [Rule(GOLD_NOT_NULL + i, f"NULL in required columns of {name}", any_null(*required))]
         if name == "fact_orders":
-            rules.append(Rule(GOLD_SIGN, "negative total_amount in fact_orders", negative("total_amount")))
+            rules.append(Rule(GOLD_SIGN, "negative total_amount in fact_orders", negative("total_amount"), WARNING))
         results.append(row_checks(df, rules))
 
-    unique = [("fact_orders", ["order_id", "order_item_id"]), ("dim_date", ["date_key"]), ("dim_date", ["full_date"])]
+    unique = [("fact_orders", ("order_id", "order_item_id")), ("dim_date", ("date_key",)), ("dim_date", ("full_date",))]
     for name, keys in DIMENSION_KEYS.items():
-        unique += [(name, [k]) for k in keys]
-    for i, (name, keys) in enumerate(unique):
-        results.append(unique_check(GOLD_UNIQUE + i, f"duplicate {', '.join(keys)} in {name}", star[name], keys))
-
-    references = [("dim_customers", "customer_key", "customer_key")]
-    references += [("dim_products", "product_key", "product_key"), ("dim_sellers", "seller_key", "seller_key")]
-    references += [("dim_date", role, "date_key") for role in DATE_ROLES]
-    for i, (name, role, key) in enumerate(references):
-        used = fact if role not in DATE_ROLES[1:] else fact.filter(F.col(role).isNotNull())
-        message = f"fact_orders.{role} not in {name}"
-        results.append(orphan_check(GOLD_ORPHAN + i, message, used, star[name], role, key))
-    return run_checks(results)
+        unique += [(name, (k,)) for k in keys]
+    uniques = [Unique(GOLD_UNIQUE + i, f"duplicate {', '.join(keys)} in {name}", name, keys) for i, (name, keys) in enumerate(unique)]
+
+    roles = [("dim_customers", "customer_key", "customer_key")]
+    roles += [("dim_products", "product_key", "product_key"), ("dim_sellers", "seller_key", "seller_key")]
+    roles += [("dim_date", role, "date_key") for role in DATE_ROLES]
+    references = [
+        Reference(GOLD_ORPHAN + i, f"fact_orders.{role} not in {name}", "fact_orders", role, name, key, role in DATE_ROLES[1:]) for i, (name, role, key) in enumerate(roles)
+    ]
+    return run_checks([*results, key_checks(star, uniques, references)])

@@ -9,17 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tierstar.operators.clean import clean
 from tierstar.operators.quality import (
     WARNING,
+    Reference,
     Rule,
+    Unique,
     any_null,
     count_check,
     earlier,
     existence_checks,
+    key_checks,
     negative,
-    orphan_check,
     outside,
     row_checks,
     run_checks,
-    unique_check,
 )
 from tierstar.schemas import TABLES
 
@@ -106,14 +107,16 @@ def domain_rules() -> dict[str, list[Rule]]:
     return rules
 
 
-def gate(clean_tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def gate(
+    clean_tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None, dropped: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """All checks of the clean layer, one line each.
 
-    Required columns and domain rules of a table share one pass; duplicate keys and orphans are
-    aggregated before they move. With ``raw`` the row counts of both layers are compared too.
+    Required columns and domain rules of a table share one pass, the keys of all tables another.
+    With ``raw`` the row counts of both layers are compared too, less the rows in ``dropped``.
     """
     domain = domain_rules()
-    results = []
+    results, uniques = [], []
     for i, name in enumerate(CHECK_ORDER):
         if name not in clean_tables:
             continue
@@ -122,13 +125,13 @@ def gate(clean_tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | N
             NOT_NULL_CODE + i, f"NULL in required columns of {clean_name(name)}", any_null(*spec.required)
         )
         results.append(row_checks(df, [not_null, *domain.get(name, [])]))
-        keys = ", ".join(spec.key)
-        results.append(unique_check(UNIQUE_CODE + i, f"duplicate key ({keys}) in {clean_name(name)}", df, spec.key))
+        uniques.append(Unique(UNIQUE_CODE + i, f"duplicate key ({', '.join(spec.key)}) in {clean_name(name)}", name, tuple(spec.key)))
         if raw and name in raw:
             message = f"rows of {raw_name(name)} missing from {clean_name(name)}"
-            results.append(count_check(COUNT_CODE + i, message, raw[name], df))
-    for i, (child, parent, key) in enumerate(RELATIONS):
-        if child in clean_tables and parent in clean_tables:
-            message = f"{clean_name(child)} rows without {clean_name(parent)} ({key})"
-            results.append(orphan_check(ORPHAN_CODE + i, message, clean_tables[child], clean_tables[parent], key))
-    return run_checks(results)
+            results.append(count_check(COUNT_CODE + i, message, raw[name], df, (dropped or {}).get(name)))
+    references = [
+        Reference(ORPHAN_CODE + i, f"{clean_name(child)} rows without {clean_name(parent)} ({key})", child, key, parent, key)
+        for i, (child, parent, key) in enumerate(RELATIONS)
+        if child in clean_tables and parent in clean_tables
+    ]
+    return run_checks([*results, key_checks(clean_tables, uniques, references)])

@@ -23,6 +23,8 @@ KINDS: dict[str, tuple[Callable[[Column, int], Column], T.DataType]] = {
     "fixed": (lambda c, n: fn.fixed(fn.filled(c), n), T.StringType()),
     "fixed_upper": (lambda c, n: fn.fixed_upper(fn.filled(c), n), T.StringType()),
     "limited": (lambda c, n: fn.limited(fn.filled(c), n), T.StringType()),
+    # Limited text that tables are joined on: blanks at its end do not tell two values apart.
+    "limited_key": (lambda c, n: fn.fixed(fn.filled(c), n), T.StringType()),
     "text": (lambda c, _: fn.filled(c), T.StringType()),
     "int": (lambda c, _: fn.try_int(c), T.IntegerType()),
     "unsigned_byte": (lambda c, _: fn.try_unsigned_byte(c), T.ShortType()),
@@ -99,6 +101,7 @@ def _latest_answer() -> list[Column]:
     ]
 
 
+# Column names and sizes of the source files and of the clean tables.
 CUSTOMERS = TableSpec(
     "customers",
     (
@@ -191,7 +194,7 @@ PRODUCTS = TableSpec(
     "products",
     (
         _identifier("product_id"),
-        ColumnSpec("product_category_name", "limited", 50),
+        ColumnSpec("product_category_name", "limited_key", 50),
         ColumnSpec("product_name_length", "int", raw_name="product_name_lenght"),
         ColumnSpec("product_description_length", "int", raw_name="product_description_lenght"),
         ColumnSpec("product_photos_qty", "unsigned_byte"),
@@ -219,7 +222,7 @@ SELLERS = TableSpec(
 CATEGORY_TRANSLATION = TableSpec(
     "category_translation",
     (
-        ColumnSpec("product_category_name", "limited", 50),
+        ColumnSpec("product_category_name", "limited_key", 50),
         ColumnSpec("product_category_name_english", "limited", 50),
     ),
     required=("product_category_name", "product_category_name_english"),

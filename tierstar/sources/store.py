@@ -7,19 +7,26 @@ Everything is read and written by Spark, so any shared file system Spark can rea
 
 from __future__ import annotations
 
+import json
+import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstar.operators.quality import RESULT
 
-MANIFEST = "run_id string, load_dts timestamp_ntz, published_at timestamp_ntz, layer string, table_name string, path string, row_count long"
+MANIFEST = "run_id string, load_dts timestamp_ntz, published_at timestamp_ntz, layer string, table_name string, path string, row_count long, table_schema string"
+
+
+def utc_now() -> datetime:
+    """The time without a zone, the same on every driver."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 @dataclass(frozen=True)
@@ -27,7 +34,7 @@ class RunInfo:
     """Identity of one run, fixed once on the driver."""
 
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
-    load_dts: datetime = field(default_factory=lambda: datetime.now().replace(microsecond=0))
+    load_dts: datetime = field(default_factory=lambda: utc_now().replace(microsecond=0))
 
     def text(self) -> str:
         return f"run_id={self.run_id} load_dts={self.load_dts:%Y-%m-%d %H:%M:%S}"
@@ -60,13 +67,14 @@ class LayerStore:
         if partition_by and rebalance:
             df = df.hint("rebalance", *partition_by)
         df.write.partitionBy(*partition_by).parquet(path)
-        written = self.spark.read.parquet(path)
+        # By the known schema: an empty table has no file to infer one from, and partition values keep their type.
+        written = self.spark.read.schema(df.schema).parquet(path)
         return Staged(name, path, written.count(), written)
 
     def publish(self, run: RunInfo, layer: str, tables: Sequence[Staged]) -> None:
         """Make all ``tables`` of a run the current ones of ``layer`` with a single new file."""
-        now = datetime.now()
-        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count) for t in tables]
+        now = utc_now()
+        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count, t.df.schema.json()) for t in tables]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(self._manifest_path)
 
     @property
@@ -84,15 +92,21 @@ class LayerStore:
 
     def current(self, layer: str) -> dict[str, str]:
         """Table name -> path of the latest published run of ``layer``."""
+        return {name: line.path for name, line in self._latest(layer).items()}
+
+    def _latest(self, layer: str) -> dict[str, Row]:
         lines = self.manifest().filter(F.col("layer") == layer)
         latest = lines.agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("run_id"))
-        return {r.table_name: r.path for r in lines.join(F.broadcast(latest), "run_id").select("table_name", "path").collect()}
+        return {r.table_name: r for r in lines.join(F.broadcast(latest), "run_id").select("table_name", "path", "table_schema").collect()}
 
     def exists(self, layer: str, name: str) -> bool:
         return name in self.current(layer)
 
     def read(self, layer: str) -> dict[str, DataFrame]:
-        return {name: self.spark.read.parquet(path) for name, path in self.current(layer).items()}
+        def opened(line: Row) -> DataFrame:
+            return self.spark.read.schema(T.StructType.fromJson(json.loads(line.table_schema))).parquet(line.path)
+
+        return {name: opened(line) for name, line in self._latest(layer).items()}
 
     def append_audit(self, run: RunInfo, layer: str, results: DataFrame) -> DataFrame:
         """Keep the check results of a run, passed or not, and return them as stored."""
@@ -108,13 +122,18 @@ class LayerStore:
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/audit").json(f"{self.root}/audit")
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; ``default`` where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", default)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named in ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver may go without: it gets a temporary
+    folder, set once. On a cluster that would be another disk on every machine, so it is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return folder
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tierstar-"))
+    return folder.rstrip("/")
 
 
-def as_frames(tables: Sequence[Staged]) -> Mapping[str, DataFrame]:
-    return {t.name: t.df for t in tables}
+_LOCAL: dict[str, str] = {}

@@ -22,7 +22,8 @@ def append_new_files(spark: SparkSession, folder: str, spec: TableSpec, target:
     also when a run fails half-way and is started again.
     """
     schema = T.StructType([*spec.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
-    arriving = spark.readStream.schema(schema).options(**_options(spec.separator, False, False)).csv(folder)
+    options = _options(spec.separator, False, False) | {"enforceSchema": "false"}  # a file with another header fails
+    arriving = spark.readStream.schema(schema).options(**options).csv(folder)
     (
         arriving.writeStream.format("parquet")
         .option("path", target)
@@ -34,8 +35,11 @@ def append_new_files(spark: SparkSession, folder: str, spec: TableSpec, target:
 
 
 def newer_than(df: DataFrame, time: str, watermark: datetime | None) -> DataFrame:
-    """Rows after the high-water mark of the previous load; all rows on the first load."""
-    return df if watermark is None else df.filter(F.col(time) > F.lit(watermark).cast("timestamp_ntz"))
+    """Rows at or after the high-water mark of the previous load; all rows on the first load.
+
+    A row may still arrive with the very time of the mark; those there already do no harm to ``upsert``.
+    """
+    return df if watermark is None else df.filter(F.col(time) >= F.lit(watermark).cast("timestamp_ntz"))
 
 
 def high_water_mark(df: DataFrame, time: str) -> datetime | None:
