@@ -6,12 +6,13 @@ rows that share an id, or have none, never mix. Null texts are empty texts every
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstar.sources.store import shared_folder
+
 #: Rows of a lookup table up to which it is sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -38,9 +39,8 @@ def same_row(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("doc_id
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the shared folder of the cluster; a temporary one only where none is named, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tierstar-llm-")
-    return f"{folder.rstrip('/')}/{uuid.uuid4()}"
+    """A new path in the shared folder of the cluster."""
+    return f"{shared_folder(spark)}/{uuid.uuid4()}"
 
 
 def stored(df: DataFrame) -> DataFrame:
