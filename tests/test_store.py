@@ -55,7 +55,9 @@ def test_pipe_file_and_line_breaks(spark, tmp_path):
 
 def test_header_drift(spark, tmp_path):
     path = write(tmp_path, "s.csv", "seller_id,zip,seller_city,seller_state\ns1,1,a,SP\n")
-    assert header_drift(spark, path, SELLERS) == {"missing": ["seller_zip_code_prefix"], "unexpected": ["zip"]}
+    write(tmp_path, "t.csv", HEADER + "s2,1,a,SP\n")
+    (drift,) = header_drift(spark, str(tmp_path), SELLERS).collect()
+    assert drift.file.endswith("s.csv") and (drift.missing, drift.unexpected) == (["seller_zip_code_prefix"], ["zip"])
     with pytest.raises(Exception):
         read_raw(spark, path, SELLERS).collect()
     assert read_raw(spark, path, SELLERS, check_header=False).count() == 1
@@ -91,7 +93,7 @@ def test_run_from_files_to_views(spark, tmp_path):
     assert {r.order_month_key for r in stored.collect()} == {201710, 201807}
 
     audit = store.audit()
-    assert audit.filter("layer = 'silver'").count() == 39 + 9 and audit.filter("layer = 'gold'").count() == 23
+    assert audit.filter("layer = 'silver'").count() == 9 + 39 + 9 and audit.filter("layer = 'gold'").count() == 23
     assert audit.filter(~F.col("passed") & (F.col("severity") == "critical")).isEmpty()
 
     catalog.register_views(views.all_views(star))

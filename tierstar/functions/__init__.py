@@ -7,7 +7,7 @@ from tierstar.functions.cast import (
     try_seconds,
     try_unsigned_byte,
 )
-from tierstar.functions.text import clean_text, filled, fixed, fixed_upper, limited, unquoted
+from tierstar.functions.text import clean_text, filled, fixed, fixed_upper, limited, present, unquoted
 
 __all__ = [
     "clean_text",
@@ -19,6 +19,7 @@ __all__ = [
     "is_weekend",
     "limited",
     "month_name",
+    "present",
     "try_date",
     "try_float",
     "try_int",

@@ -16,6 +16,11 @@ def filled(c: Column) -> Column:
     return F.when(F.rtrim(c) != "", c)
 
 
+def present(c: Column) -> Column:
+    """Whether raw text has anything left after cleaning: one look at it, instead of cleaning it to find out."""
+    return c.rlike('[^ "]')
+
+
 def clean_text(c: Column) -> Column:
     """The baseline for every text column: unquoted, and NULL where nothing but blanks is left."""
     return filled(unquoted(c))

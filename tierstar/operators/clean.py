@@ -7,8 +7,9 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierstar.functions import filled, unquoted
+from tierstar.functions import filled, present, unquoted
 from tierstar.operators.dedup import first_per_key
 from tierstar.schemas import TableSpec
 
@@ -18,26 +19,31 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 
     Spelled as plain not-null tests, which reach the Parquet scan and match the tests that joins add.
     """
-    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns])) if columns else df
 
 
 def clean(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Clean, type and filter one raw table; keep one row per key where the spec asks for it.
 
-    Text is unquoted in a projection of its own, so that typing, which looks at it several times,
-    does not repeat that work. Without deduplication this is a single map-only stage. With it there
+    A required text column is tested as it stands, below the projections: a test of the cleaned column
+    would be pushed through them and clean the text a second time. Only required numbers are tested once typed. Without deduplication this is a single map-only stage. With it there
     is one shuffle, and the rank limit runs before that shuffle, so a key with very many copies
     sends one row per map task.
     """
     names = [c.name for c in spec.columns]
+    needed = [spec.column(c) for c in spec.required]
+    for c in needed:
+        if isinstance(c.spark_type, T.StringType):
+            raw = raw.filter(present(F.col(c.raw)))
+    numbers = [c.name for c in needed if not isinstance(c.spark_type, T.StringType)]
     texts = [unquoted(F.col(c.raw)).alias(f"_text_{c.name}") for c in spec.columns]
     typed = [c.typed(F.col(f"_text_{c.name}")).alias(c.name) for c in spec.columns]
     if spec.best_first is None:
-        return require(raw.select(*texts).select(*typed), *spec.required)
+        return require(raw.select(*texts).select(*typed), *numbers)
 
     raws = [F.col(c.raw).alias(f"_raw_{c.raw}") for c in spec.columns]
     # Copies are recognised by the whole cleaned key text, before it is cut to its column size; blanks at its end do not count.
     keys = {f"_key_{k}": F.rtrim(filled(F.col(f"_text_{k}"))) for k in spec.key}
     candidates = raw.select(*raws, *texts).select("*", *typed).withColumns(keys)
-    candidates = require(candidates, *spec.required)
+    candidates = require(candidates, *numbers)
     return first_per_key(candidates, list(keys), spec.best_first(), [F.col(c) for c in names]).select(*names)

@@ -28,12 +28,17 @@ def bronze_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def load_silver(store: LayerStore, run: RunInfo, raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Clean every raw table, check the result as stored, and publish only if no critical check failed."""
+    """Clean every raw table, check the result as stored, and publish only if no critical check failed.
+
+    Whether all raw tables are there is asked of what the store has published, before any is cleaned.
+    """
+    loaded = set(store.current("bronze"))
+    there = {name for name in TABLES if silver.raw_name(name) in loaded}
+    enforce(store.append_audit(run, "silver", silver.existence_gate(store.spark, there)))
     usable = {name: accepted(df) if "_corrupt_record" in df.columns else df for name, df in raw.items()}
     cleaned = silver.clean_all(usable)
     staged = {name: store.stage(run, "silver", silver.clean_name(name), df) for name, df in cleaned.items()}
     tables = {name: t.df for name, t in staged.items()}
-    enforce(silver.existence_gate(store.spark, set(tables)))
     enforce(store.append_audit(run, "silver", silver.gate(tables, usable)))
     store.publish(run, "silver", list(staged.values()))
     return tables

@@ -61,11 +61,16 @@ def rejected(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(CORRUPT).isNotNull())
 
 
-def header_drift(spark: SparkSession, path: str, spec: TableSpec) -> dict[str, list[str]]:
-    """Columns that a file's header lacks or has in excess of the declared schema."""
-    found = spark.read.options(**_options(spec.separator, False, False)).csv(path).columns
-    declared = [c.raw for c in spec.columns]
-    return {
-        "missing": [c for c in declared if c not in found],
-        "unexpected": [c for c in found if c not in declared and c != CORRUPT],
-    }
+def header_drift(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """Files whose header is not the declared one: file, and the columns it lacks or has in excess.
+
+    Looks at every file of a folder; of a file only the lines of its first block are read.
+    """
+    declared = F.array(*[F.lit(c.raw) for c in spec.columns])
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    heads = lines.filter(F.col("start") == 0).withColumn("place", F.monotonically_increasing_id())
+    heads = heads.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    plain = F.regexp_replace("header", "[\ufeff\r]", "")
+    names = F.transform(F.split(plain, F.concat(F.lit("\\Q"), F.lit(spec.separator), F.lit("\\E"))), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    found = heads.select("file", F.array_except(declared, names).alias("missing"), F.array_except(names, declared).alias("unexpected"), (names != declared).alias("drifts"))
+    return found.filter("drifts").drop("drifts")

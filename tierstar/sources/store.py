@@ -109,9 +109,9 @@ class LayerStore:
         return {name: opened(line) for name, line in self._latest(layer).items()}
 
     def append_audit(self, run: RunInfo, layer: str, results: DataFrame) -> DataFrame:
-        """Keep the check results of a run, passed or not, and return them as stored."""
+        """Keep the check results of a run, passed or not, and return all of the run's so far as stored."""
         path = f"{self.root}/audit/layer={layer}/run_id={run.run_id}"
-        results.withColumn("load_dts", F.lit(run.load_dts).cast("timestamp_ntz")).coalesce(1).write.json(path)
+        results.withColumn("load_dts", F.lit(run.load_dts).cast("timestamp_ntz")).coalesce(1).write.mode("append").json(path)
         return self.spark.read.schema(results.schema).json(path)
 
     def audit(self) -> DataFrame:
