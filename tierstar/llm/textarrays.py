@@ -7,13 +7,14 @@ space (0x20, 0x09-0x0D), ASCII letters lower-cased. A word is known by a 64-bit
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,6 +23,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _CODES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)[_LOWER]
+_LIBC = ctypes.CDLL(None)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -87,6 +89,13 @@ class Texts:
         return range_hash(prefix_hash(_CODES[self.data]), starts, ends)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on from task to task beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Texts]:
     """The column in runs of at most ``limit`` bytes (or one text); nulls are empty."""
     column = texts.cast(pa.large_binary()) if texts.type != pa.large_binary() else texts
@@ -102,3 +111,4 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Texts]:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield Texts(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
+    give_back()
