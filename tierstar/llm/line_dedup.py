@@ -272,7 +272,7 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     own = F.pmod(F.xxhash64("one"), chunks).cast("int")
     tiles = full.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     tiles = tiles.select("component", "one", "two", "rank", "words", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    spread = max(1, chosen.count() // 20_000)
+    spread = max(1, chosen.count() // 1_000)
     tiles = tiles.withColumn("bucket", F.pmod(F.xxhash64("component", "low", "high"), F.lit(spread)))
     verified = tiles.groupBy("bucket").applyInArrow(_verify, "one long, two long, links long, first long")
     links = verified.groupBy("one", "two").agg(F.sum("links").alias("links"), F.min("first").alias("rank"))
