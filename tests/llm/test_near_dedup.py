@@ -21,10 +21,8 @@ def weights(text):
 def similarity(x, y):
     if set(x.values()) | set(y.values()) <= {1}:
         return len(x.keys() & y.keys()) / max(1, len(x.keys() | y.keys()))
-    total = 0.0
-    for i in x.keys() & y.keys():
-        total += 1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in x.keys() | y.keys())
-    return total
+    kinds = Counter((x[j], y[j]) for j in x.keys() | y.keys())
+    return sum(n / sum(m * max(p / a, q / b) for (p, q), m in kinds.items()) for (a, b), n in kinds.items() if a and b)
 
 
 def brute_groups(rows):
@@ -37,18 +35,17 @@ def brute_groups(rows):
             i = parent[i]
         return i
 
+    by_text = {}
+    for i, (_, t) in enumerate(rows):
+        parent[i] = by_text.setdefault(t or "", i)
     holders = {}
-    for i, s in enumerate(sets):
-        for k in s:
+    for i in by_text.values():
+        for k in sets[i]:
             holders.setdefault(k, []).append(i)
-    pairs = {(i, j) for h in holders.values() for i in h for j in h if i < j}
-    for i, j in pairs:
+    common = Counter((i, j) for h in holders.values() for i in h for j in h if i < j)
+    for i, j in common:
         if root(i) != root(j) and similarity(sets[i], sets[j]) >= 0.8:
             parent[root(j)] = root(i)
-    by_text = {}
-    for i, (_, t) in enumerate(rows):
-        j = by_text.setdefault(t or "", i)
-        parent[root(i)] = root(j)
     low = {}
     for i, (d, _) in enumerate(rows):
         low[root(i)] = min(low.get(root(i), d), d)
