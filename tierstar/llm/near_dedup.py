@@ -7,9 +7,11 @@ every register of its document. Two documents agree in a register with the proba
 similarity of their weights, which is the plain Jaccard similarity where no shingle repeats.
 
 Registers are banded (25 bands of 5: a pair at 0.8 meets in some band with probability above
-0.9999). Within a bucket every document is compared with two leaders, the documents first and last in an
-order drawn for that bucket, so a bucket of n documents gives at most 2n pairs however large it is;
-documents alike meet in about eight buckets, each with other leaders, and classes are the connected
+0.9999). Within a bucket every document is compared with two leaders, so a bucket of n documents gives at
+most 2n pairs however large it is. A first pass over five bands takes the documents first and last in one
+order for all buckets, which links most of a large group at few comparisons. A second pass over all bands takes
+one document for each component that a bucket still holds, and leaders in an order drawn for that bucket;
+documents alike meet in about eight buckets, each with other leaders. Classes are the connected
 components of all links. Pairs are estimated by their registers first (``doubt`` below the threshold
 still passes), then compared exactly on their whole texts.
 
@@ -29,11 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.llm.common import components, stored, text_of
+from tierstar.llm.common import components, small_side, stored, text_of
 from tierstar.llm.textarrays import Texts, blocks, mix
 
 SHINGLE, THRESHOLD, DOUBT = 5, 0.8, 0.15
-BANDS, ROWS = 25, 5
+BANDS, ROWS, FIRST_BANDS = 25, 5, 5
 REGISTERS = BANDS * ROWS
 _FACTORS = np.random.default_rng(11).integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -145,27 +147,44 @@ def _nodes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("doc_id"), text.alias("_text"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
 
 
+def _star(rows: DataFrame, order: Column) -> DataFrame:
+    """Every node of a bucket (key, node) with the nodes that come first and last in it: pairs a < b."""
+    ordered = rows.withColumn("order", order)
+    ends = ordered.groupBy("key").agg(F.min_by("node", "order").alias("low"), F.max_by("node", "order").alias("high")).filter(F.col("low") != F.col("high"))
+    led = rows.join(ends, "key")
+    met = led.select("node", F.col("low").alias("leader")).union(led.select("node", F.col("high").alias("leader"))).filter(F.col("node") != F.col("leader"))
+    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, threshold: float, doubt: float) -> DataFrame:
+    """The pairs that are alike, first by their registers, then by their whole texts; stored."""
+    registers = sketches.select("node", "registers")
+    guessed = pairs.join(registers.toDF("a", "ra"), "a").join(registers.toDF("b", "rb"), "b").filter(_estimate("ra", "rb") >= threshold - doubt)
+    likely = stored(guessed.select("a", "b"))
+    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sketches.select("node", "doc_id"), "node"))
+    # By id as well, so that beyond the limit of a broadcast the rows of one text do not meet in one task.
+    same = (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["doc_id"])
+    texts = stored(rows.join(small_side(wanted, wanted.count()), same, "left_semi").select("node", "_text").dropDuplicates(["node"]))
+    compared = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    return stored(compared.select("a", "b", _similarity("ta", "tb").alias("similarity")).filter(F.col("similarity") >= threshold))
+
+
 def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """Verified links between different texts: a, b (md5 of the texts, a < b), similarity."""
     rows = _nodes(docs, id_column, text_column)
     drawn = rows.select("doc_id", "node", _sketch("_text").alias("s")).filter(F.col("s.registers").isNotNull())
     # One row per text: the smallest id stands for it.
     sketches = stored(drawn.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("s").alias("s")).select("node", "doc_id", "s.*"))
-    banded = sketches.select("node", F.explode("keys").alias("key")).withColumn("order", F.xxhash64("key", "node"))
-    buckets = banded.groupBy("key").agg(F.min("order").alias("low"), F.max("order").alias("high")).filter(F.col("low") < F.col("high"))
-    members = stored(banded.join(buckets, "key"))
-    leaders = members.filter((F.col("order") == F.col("low")) | (F.col("order") == F.col("high")))
-    met = members.select("key", F.col("node").alias("one")).join(leaders.select("key", F.col("node").alias("two")), "key").filter(F.col("one") != F.col("two"))
-    pairs = met.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
-    registers = sketches.select("node", "registers")
-    guessed = pairs.join(registers.toDF("a", "ra"), "a").join(registers.toDF("b", "rb"), "b").filter(_estimate("ra", "rb") >= threshold - doubt)
-    likely = stored(guessed.select("a", "b"))
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sketches.select("node", "doc_id"), "node")
-    # By id as well, so that the rows of one text do not meet in one task.
-    same = (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = stored(rows.join(wanted, same, "left_semi").select("node", "_text").dropDuplicates(["node"]))
-    compared = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return compared.select("a", "b", _similarity("ta", "tb").alias("similarity")).filter(F.col("similarity") >= threshold)
+    banded = sketches.select("node", F.posexplode("keys").alias("band", "key"))
+    # First a few bands, with the same leaders wherever possible: most members of a large group are linked there.
+    some = banded.filter(F.col("band") < FIRST_BANDS).select("key", "node")
+    early = _verified(_star(some, F.xxhash64("node")), rows, sketches, threshold, doubt)
+    # Then all bands, one node for each component that a bucket holds, with leaders drawn anew for each bucket.
+    named = banded.join(components(early), "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+    drawn_order = F.xxhash64("key", "node")
+    apart = named.groupBy("key", "class").agg(F.min_by("node", drawn_order).alias("node")).select("key", "node")
+    late = _verified(_star(apart, drawn_order), rows, sketches, threshold, doubt)
+    return early.unionByName(late)
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
