@@ -213,7 +213,9 @@ def repeated_windows(rows: DataFrame, sorted_contexts: int = SORTED_CONTEXTS, co
     sorted_runs = small.groupBy("bucket").applyInArrow(_sort_collection, f"doc_id {id_type}, _fp long, first long, last long")
     parts = [alike, copied, sorted_runs]
     if n_large:
-        prints = stored(contexts.filter("large").select("doc_id", "_fp", "single", "at", "first", "last", "left", "bytes").mapInArrow(_window_prints, f"doc_id {id_type}, _fp long, single boolean, first long, one long, two long"))
+        # Not stored: in one query with the rest, the documents are shuffled once for all that needs them.
+        prints = contexts.filter("large").select("doc_id", "_fp", "single", "at", "first", "last", "left", "bytes")
+        prints = prints.mapInArrow(_window_prints, f"doc_id {id_type}, _fp long, single boolean, first long, one long, two long")
         again = prints.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("one", "two")
         parts.append(prints.filter("single").join(again, ["one", "two"], "left_semi").select("doc_id", "_fp", "first", F.col("first").alias("last")))
     return reduce(DataFrame.unionByName, parts)
