@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tierstar.llm import near_dedup
 from tierstar.llm.near_dedup import classes, probability_jaccard, probminhash, shingles
@@ -86,6 +87,21 @@ def test_large_group_of_edited_copies(spark):
     assert {r.doc_id: r.group_id for r in classes(docs).collect()} == brute_groups(rows)
 
 
+@pytest.mark.parametrize("options", [{}, {"bucket_nodes": 60, "group_nodes": 50}])
+def test_copies_alike_only_to_their_original(spark, options):
+    rng = np.random.default_rng(6)
+    base = [f"word{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1200):
+        copy = base.copy()
+        for k in rng.choice(np.arange(5, 145), 3, replace=False):
+            copy[k] = f"edit{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    # At most 15 of 146 shingles differ on each side, so every copy is a match of the original.
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.group_id for r in classes(docs, **options).collect()} == {0}
+
+
 def test_nulls_repeats_short_and_empty(spark):
     rows = [(5, None), (4, ""), (3, "a b"), (2, "A  b"), (1, "a b c"), (7, "x " * 40), (8, "x " * 40), (8, "x " * 40), (None, "a b")]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id int, text string, node int")

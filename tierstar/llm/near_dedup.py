@@ -7,13 +7,14 @@ every register of its document. Two documents agree in a register with the proba
 similarity of their weights, which is the plain Jaccard similarity where no shingle repeats.
 
 Registers are banded (25 bands of 5: a pair at 0.8 meets in some band with probability above
-0.9999). Within a bucket every document is compared with two leaders, so a bucket of n documents gives at
-most 2n pairs however large it is. A first pass over five bands takes the documents first and last in one
-order for all buckets, which links most of a large group at few comparisons. A second pass over all bands takes
-one document for each component that a bucket still holds, and leaders in an order drawn for that bucket;
-documents alike meet in about eight buckets, each with other leaders. Classes are the connected
-components of all links. Pairs are estimated by their registers first (``doubt`` below the threshold
-still passes), then compared exactly on their whole texts.
+0.9999). A first pass over five bands only saves work: every document of a bucket is compared with two leaders
+of it, and the verified links of that join most of a large group at few comparisons. The second pass then
+compares, in every bucket of all bands, all pairs of documents that the first one left in different components. They are
+estimated by their registers (``doubt`` below the threshold still passes), and tasks keep spanning forests of
+what passes. The connected components of these forests are the groups that may hold further links; in each group
+all pairs whose registers pass are compared exactly on their whole texts, except pairs that verified links connect
+already. A bucket or group above a bound is dealt over tiles: it is split into chunks, and each pair of chunks meets in
+one task. Classes are the connected components of all verified links.
 
 Equal texts are one node of the graph from the start. Null texts are empty; empty texts have no
 shingle and are alike only to each other. Rows that share id and text get the same answer; a null
@@ -32,11 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstar.llm.common import components, small_side, stored, text_of
+from tierstar.llm.line_dedup import forest
 from tierstar.llm.textarrays import Texts, blocks, mix
 
 SHINGLE, THRESHOLD, DOUBT = 5, 0.8, 0.15
 BANDS, ROWS, FIRST_BANDS = 25, 5, 5
 REGISTERS = BANDS * ROWS
+#: Documents of one bucket, or of one group, that are compared in one piece, and rows of a task of such pieces.
+BUCKET_NODES, GROUP_NODES, TASK_ROWS, TASK_TEXTS = 1_000, 300, 10_000, 500
 _FACTORS = np.random.default_rng(11).integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,21 +160,157 @@ def _star(rows: DataFrame, order: Column) -> DataFrame:
     return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def _alike(registers: np.ndarray, classes: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of ``left`` and ``right`` (equal or without common rows) of different classes that agree in ``least`` registers, and in how many."""
+    found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int))]
+    # Pairs within the largest class need no look.
+    names, n = np.unique(np.concatenate([classes[left], classes[right]]), return_counts=True)
+    inside = lambda rows: classes[rows] == names[n.argmax()]
+    same = left is right
+    for some, others in [(left[~inside(left)], right)] if same else [(left[~inside(left)], right), (left[inside(left)], right[~inside(right)])]:
+        columns = np.ascontiguousarray(registers[others].T)
+        for at in range(0, len(some), 256):
+            mine = registers[some[at : at + 256]].T
+            agree = np.zeros((mine.shape[1], len(others)), np.uint8)
+            for k in range(REGISTERS):
+                agree += mine[k][:, None] == columns[k]
+            i, j = np.nonzero((agree >= least) & (classes[some[at : at + 256]][:, None] != classes[others]))
+            found.append((some[at : at + 256][i], others[j], agree[i, j]))
+    return tuple(np.concatenate([f[k] for f in found]) for k in range(3))
+
+
+def _tiles(table: pa.Table, group: str) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Registers and classes (numbers) of all rows, and of each tile its rows and the two sides that meet there."""
+    low, high, own = (table.column(c).to_numpy() for c in ("low", "high", "own"))
+    name, kind = (table.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in (group, "class"))
+    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+    order = np.lexsort((high, low, name))
+    tile = np.stack([name[order], low[order], high[order]], 1)
+    cut = np.append(np.flatnonzero(np.any(np.diff(tile, axis=0, prepend=tile[:1] - 1), axis=1)), len(order))
+
+    def each():
+        for i, j in zip(cut[:-1], cut[1:], strict=True):
+            rows = order[i:j]
+            left = rows if low[rows[0]] == high[rows[0]] else rows[own[rows] == low[rows[0]]]
+            yield rows, left, left if low[rows[0]] == high[rows[0]] else rows[own[rows] == high[rows[0]]]
+
+    return registers, kind, each()
+
+
+def _meet(least: int):
+    """A spanning forest (a, b) of the pairs of every bucket that may be alike."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        registers, kind, tiles = _tiles(table, "key")
+        one, other, pairs = [], [], []
+        for rows, left, right in tiles:
+            if len(rows) == 2:
+                pairs.append(rows)
+            elif len(left) and len(right):
+                i, j, _ = _alike(registers, kind, left, right, least)
+                at, ends = np.unique(np.concatenate([i, j]), return_inverse=True)
+                label = forest(len(at), [(ends[: len(i)], ends[len(i) :])])
+                tied = np.flatnonzero(label != np.arange(len(at)))
+                one.append(at[tied])
+                other.append(at[label[tied]])
+        if pairs:
+            i, j = np.array(pairs).T
+            near = ((registers[i] == registers[j]).sum(1) >= least) & (kind[i] != kind[j])
+            one.append(i[near])
+            other.append(j[near])
+        one, other = (pa.array(np.concatenate(x) if x else np.zeros(0, int), pa.int64()) for x in (one, other))
+        return pa.table({"a": table.column("node").take(one), "b": table.column("node").take(other)})
+
+    return meet
+
+
+def _possible(sets: list[tuple[np.ndarray, np.ndarray]], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sets may reach the threshold: exact where no shingle repeats, else by the share of common weight in each."""
+    hashes, where, held = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    owner, counts = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets]), np.concatenate([n for _, n in sets])
+    common = held[where] > 1
+    owner, where, counts = owner[common], (np.cumsum(held > 1) - 1)[where[common]], counts[common]
+    order = np.argsort(where, kind="stable")
+    owner, where, counts = owner[order], where[order], counts[order]
+    shared = np.zeros((len(sets), len(sets)))
+    for at in range(0, int((held > 1).sum()), 8192):
+        a, b = np.searchsorted(where, (at, at + 8192))
+        has, weight = (np.zeros((len(sets), 8192), np.float32) for _ in range(2))
+        has[owner[a:b], where[a:b] - at] = 1
+        weight[owner[a:b], where[a:b] - at] = counts[a:b]
+        shared += weight @ has.T
+    total, plain = np.array([n.sum() for _, n in sets], float), np.array([n.max() == 1 for _, n in sets])
+    x, y = shared[i, j], shared[j, i]
+    most = np.where(plain[i] & plain[j], x / (total[i] + total[j] - x), np.minimum(x / total[i], y / total[j]))
+    return most >= threshold - 1e-5
+
+
+def _root(parent: list[int], i: int) -> int:
+    while parent[i] != i:
+        parent[i] = i = parent[parent[i]]
+    return i
+
+
+def _verify(threshold: float, least: int):
+    """A spanning forest (a, b, similarity) of the verified links between the classes of every group."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        registers, kind, tiles = _tiles(table, "component")
+        nodes, text = table.column("node").to_pylist(), table.column("_text").combine_chunks()
+        links = []
+        for _, left, right in tiles:
+            i, j, agree = _alike(registers, kind, left, right, least) if len(left) and len(right) else ((), (), np.zeros(0))
+            if not len(i):
+                continue
+            rows, ends = np.unique(np.concatenate([i, j]), return_inverse=True)
+            sets = _weighted_sets(text.take(pa.array(rows)))
+            _, first, within = np.unique(kind[rows], return_index=True, return_inverse=True)
+            parent = first[within].tolist()
+            can = _possible(sets, ends[: len(i)], ends[len(i) :], threshold)
+            agree, ends = agree[can], ends[np.concatenate([can, can])]
+            # The most alike first: they are links most often, and connect what need not be compared any more.
+            order = np.argsort(-agree.astype(int), kind="stable")
+            for x, y in zip(ends[: len(agree)][order].tolist(), ends[len(agree) :][order].tolist(), strict=True):
+                p, q = _root(parent, x), _root(parent, y)
+                if p != q and (found := probability_jaccard(sets[x], sets[y])) >= threshold:
+                    parent[max(p, q)] = min(p, q)
+                    links.append((*sorted((nodes[rows[x]], nodes[rows[y]])), found))
+        return pa.table({k: pa.array([x[n] for x in links], kind) for n, (k, kind) in enumerate((("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())))})
+
+    return verify
+
+
+def _dealt(rows: DataFrame, group: str, chunks: Column) -> DataFrame:
+    """Rows (group, node, class) with the tile they meet in: own, low, high."""
+    own = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    each = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return each.select(group, "node", "class", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
+def _in_tasks(tiles: DataFrame, group: str, n: int) -> DataFrame:
+    return tiles.withColumn("task", F.pmod(F.xxhash64(group, "low", "high"), F.lit(max(1, n)))).groupBy("task")
+
+
+def _texts_of(nodes: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The text of each node (different ones): node, _text; stored."""
+    wanted = stored(nodes.join(sketches.select("node", "doc_id"), "node"))
+    # By id as well, so that beyond the limit of a broadcast the rows of one text do not meet in one task.
+    same = (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["doc_id"])
+    return stored(rows.join(small_side(wanted, wanted.count()), same, "left_semi").select("node", "_text").dropDuplicates(["node"]))
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, threshold: float, doubt: float) -> DataFrame:
     """The pairs that are alike, first by their registers, then by their whole texts; stored."""
     registers = sketches.select("node", "registers")
     guessed = pairs.join(registers.toDF("a", "ra"), "a").join(registers.toDF("b", "rb"), "b").filter(_estimate("ra", "rb") >= threshold - doubt)
     likely = stored(guessed.select("a", "b"))
-    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sketches.select("node", "doc_id"), "node"))
-    # By id as well, so that beyond the limit of a broadcast the rows of one text do not meet in one task.
-    same = (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = stored(rows.join(small_side(wanted, wanted.count()), same, "left_semi").select("node", "_text").dropDuplicates(["node"]))
+    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), rows, sketches)
     compared = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return stored(compared.select("a", "b", _similarity("ta", "tb").alias("similarity")).filter(F.col("similarity") >= threshold))
 
 
-def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
-    """Verified links between different texts: a, b (md5 of the texts, a < b), similarity."""
+def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT, bucket_nodes: int = BUCKET_NODES, group_nodes: int = GROUP_NODES) -> DataFrame:
+    """Verified links between different texts that connect all that is alike: a, b (md5 of the texts, a < b), similarity."""
     rows = _nodes(docs, id_column, text_column)
     drawn = rows.select("doc_id", "node", _sketch("_text").alias("s")).filter(F.col("s.registers").isNotNull())
     # One row per text: the smallest id stands for it.
@@ -179,17 +319,27 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     # First a few bands, with the same leaders wherever possible: most members of a large group are linked there.
     some = banded.filter(F.col("band") < FIRST_BANDS).select("key", "node")
     early = _verified(_star(some, F.xxhash64("node")), rows, sketches, threshold, doubt)
-    # Then all bands, one node for each component that a bucket holds, with leaders drawn anew for each bucket.
-    named = banded.join(components(early), "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
-    drawn_order = F.xxhash64("key", "node")
-    apart = named.groupBy("key", "class").agg(F.min_by("node", drawn_order).alias("node")).select("key", "node")
-    late = _verified(_star(apart, drawn_order), rows, sketches, threshold, doubt)
-    return early.unionByName(late)
-
-
-def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    # Then all pairs of different components in all buckets.
+    least = int(np.ceil((threshold - doubt) * REGISTERS - 1e-9))
+    named = stored(sketches.select("node").join(components(early), "node", "left").select("node", F.coalesce("component", "node").alias("class")))
+    held = banded.join(named, "node").select("key", "node", "class")
+    mixed = held.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count(F.lit(1)).alias("n")).filter(F.col("x") != F.col("y"))
+    chunks = F.ceil(F.col("n") / bucket_nodes).cast("int")
+    tiles = stored(_dealt(held.join(mixed.select("key", "n"), "key"), "key", chunks))
+    full = tiles.join(sketches.select("node", "registers"), "node")
+    near = stored(_in_tasks(full, "key", tiles.count() // TASK_ROWS).applyInArrow(_meet(least), "a binary, b binary").distinct())
+    groups = components(near)
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_nodes)
+    chunks = F.coalesce(F.ceil(F.col("n") / group_nodes), F.lit(1)).cast("int")
+    tiles = stored(_dealt(groups.join(named, "node").join(sizes, "component", "left"), "component", chunks))
+    full = tiles.join(sketches.select("node", "registers"), "node").join(_texts_of(groups.select("node"), rows, sketches), "node")
+    late = _in_tasks(full, "component", tiles.count() // TASK_TEXTS).applyInArrow(_verify(threshold, least), "a binary, b binary, similarity double")
+    return early.unionByName(stored(late))
+
+
+def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
     """One row per document: doc_id, node, group_id (the smallest id of its class), group_size, kept."""
-    parts = components(links(docs, id_column, text_column, threshold))
+    parts = components(links(docs, id_column, text_column, threshold, **options))
     rows = _nodes(docs, id_column, text_column).select("doc_id", "node")
     named = stored(rows.join(parts, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class")))
     groups = named.groupBy("class").agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
