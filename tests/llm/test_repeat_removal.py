@@ -2,12 +2,13 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tierstar.llm import queries
-from tierstar.llm.repeat_removal import LENGTH, remove_repeats, repeats_by_column
+from tierstar.llm.repeat_removal import LENGTH, anchors, remove_repeats, repeats_by_column
 
 
 def brute(texts: list[bytes]) -> list[tuple[int, int, bytes]]:
@@ -78,6 +79,22 @@ def test_texts_cut_into_pieces(spark, monkeypatch):
     assert sum(s.end - s.start for s in row.spans) == 1000 and len(row.spans) == 2
 
 
+@pytest.mark.parametrize("piece", [90, 1000, 4096])
+def test_cuts_change_no_anchor(piece):
+    rng = np.random.default_rng(10)
+    text = bytes(rng.choice(list(b"abcd"), 30_000)) + b"a" * 3000 + b"bcab" * 500
+    (whole,), (cut,) = (list(anchors(pa.array([text], pa.binary()), p)) for p in (1 << 20, piece))
+    for x, y in zip(whole, cut, strict=True):
+        assert np.array_equal(x, y)
+
+
+def test_texts_beyond_16_mb_keep_clean_bytes(spark):
+    rng = np.random.default_rng(11)
+    docs = spark.createDataFrame([(1, rng.integers(97, 123, (1 << 24) + 1000, dtype=np.uint8).tobytes().decode())], "doc_id long, text string")
+    (row,) = remove_repeats(docs).select("spans").collect()
+    assert row.spans == []
+
+
 def test_documents(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()

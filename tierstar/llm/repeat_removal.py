@@ -20,8 +20,8 @@ How much is sorted is kept down by counts that Spark combines before each shuffl
 
 Null and empty texts have no bytes; texts under 200 bytes keep all. Rows that repeat an id, or id and
 text, are documents of their own, so the latter lose all 200-byte strings. Judged on the input, not on
-what is left. An empty table gives an empty result; other columns are ignored. Known fault: texts of 16 MB and
-more are cut into pieces, and an anchor at a cut counts twice, which may remove up to 400 bytes there too many.
+what is left. An empty table gives an empty result; other columns are ignored.
+Long texts are looked at in pieces, whose anchors are put together, so cuts change nothing.
 """
 
 from __future__ import annotations
@@ -48,53 +48,72 @@ _CODES = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _pieces(texts: Texts) -> Iterator[tuple[Texts, int]]:
-    """The texts, a very long one in pieces that overlap by a window less one, with the place of the piece."""
-    if len(texts) > 1 or len(texts.data) < 1 << 24:
+def _pieces(texts: Texts, piece: int) -> Iterator[tuple[Texts, int]]:
+    """The texts, a single long one in pieces that overlap by a window less one, with the place of the piece."""
+    if len(texts) > 1 or len(texts.data) < piece + LENGTH:
         yield texts, 0
         return
-    for at in range(0, len(texts.data) - LENGTH + 1, BLOCK_BYTES):
-        data = texts.data[at : at + BLOCK_BYTES + LENGTH - 1]
+    for at in range(0, len(texts.data) - LENGTH + 1, piece):
+        data = texts.data[at : at + piece + LENGTH - 1]
         yield Texts(texts.first, data, np.array([0, len(data)])), at
 
 
-def anchors(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of every anchor: row, hash, hash of the context, place, context's start and end, first and last window (all places in the text)."""
+def _piece_anchors(texts: Texts) -> tuple[np.ndarray, ...] | None:
+    """Of every anchor of a piece, in its order: text, hash, place, first and last window (all places in the piece)."""
+    data, offsets = texts.data, texts.offsets
+    if len(data) < LENGTH:
+        return None
+    sums = prefix_hash(_CODES[data])
+    starts = np.arange(len(data) - ANCHOR + 1)
+    hashes = range_hash(sums, starts, starts + ANCHOR)
+    low = (hashes & ~_PLACE) | starts.astype(np.uint64)
+    # Minimum over BEFORE + 1 neighbours, by doubling.
+    span = 1
+    while span * 2 <= BEFORE + 1:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    rest = BEFORE + 1 - span
+    if rest:
+        low = np.minimum(low[:-rest], low[rest:])
+    at = (low & _PLACE).astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), np.diff(offsets))[: len(at)]
+    fits = np.arange(len(at)) + LENGTH <= offsets[text + 1]
+    p = np.flatnonzero(fits)
+    if not len(p):
+        return None
+    a, t = at[p], text[p]
+    new = np.ones(len(p), bool)
+    new[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1])
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(p)) - 1
+    a, t = a[head], t[head]
+    return t, hashes[a], a, p[head], p[last]
+
+
+def anchors(column: pa.Array, piece: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of every anchor: row, hash, hash of the context, place, context's start and end, first and last window (all places in the text).
+
+    A text of more than ``piece`` bytes is looked at in pieces; what they hold is put together before contexts are cut from the whole text.
+    """
     for whole in blocks(column):
-        for texts, base in _pieces(whole):
-            data, offsets = texts.data, texts.offsets
-            if len(data) < LENGTH:
-                continue
-            sums = prefix_hash(_CODES[data])
-            starts = np.arange(len(data) - ANCHOR + 1)
-            hashes = range_hash(sums, starts, starts + ANCHOR)
-            low = (hashes & ~_PLACE) | starts.astype(np.uint64)
-            # Minimum over BEFORE + 1 neighbours, by doubling.
-            span = 1
-            while span * 2 <= BEFORE + 1:
-                low = np.minimum(low[:-span], low[span:])
-                span *= 2
-            rest = BEFORE + 1 - span
-            if rest:
-                low = np.minimum(low[:-rest], low[rest:])
-            at = (low & _PLACE).astype(np.int64)
-            text = np.repeat(np.arange(len(texts)), np.diff(offsets))[: len(at)]
-            fits = np.arange(len(at)) + LENGTH <= offsets[text + 1]
-            p = np.flatnonzero(fits)
-            if not len(p):
-                continue
-            a, t = at[p], text[p]
-            new = np.ones(len(p), bool)
-            new[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1])
-            head = np.flatnonzero(new)
-            last = np.append(head[1:], len(p)) - 1
-            a, t = a[head], t[head]
-            first, final = p[head], p[last]
-            begin, end = np.maximum(offsets[t], a - BEFORE), np.minimum(offsets[t + 1], a + LENGTH)
-            raw = data.tobytes()
-            context = np.fromiter((xxhash.xxh3_64_intdigest(raw[i:j], seed=k) for i, j, k in zip(begin.tolist(), end.tolist(), (a - begin).tolist(), strict=True)), np.uint64, len(a))
-            zero = offsets[t] - base
-            yield texts.first + t, hashes[a], context, a - zero, begin - zero, end - zero, first - zero, final - zero
+        found = []
+        for texts, base in _pieces(whole, piece):
+            if (got := _piece_anchors(texts)) is not None:
+                t, h, a, first, final = got
+                found.append((t, h, a + base, first + base, final + base))
+        if not found:
+            continue
+        t, h, a, first, final = (np.concatenate(x) for x in zip(*found, strict=True))
+        # An anchor of windows on both sides of a cut is one.
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1])
+        head = np.flatnonzero(new)
+        t, h, a, first, final = t[head], h[head], a[head], first[head], final[np.append(head[1:], len(a)) - 1]
+        offsets, raw = whole.offsets, whole.data.tobytes()
+        begin, end = np.maximum(offsets[t], a - BEFORE), np.minimum(offsets[t + 1], a + LENGTH)
+        context = np.fromiter((xxhash.xxh3_64_intdigest(raw[i:j], seed=k) for i, j, k in zip(begin.tolist(), end.tolist(), (a - begin).tolist(), strict=True)), np.uint64, len(a))
+        zero = offsets[t]
+        yield whole.first + t, h, context, a - zero, begin - zero, end - zero, first - zero, final - zero
 
 
 def _count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
