@@ -45,6 +45,26 @@ def test_rates_like_plain_projected_gradient(spark):
     assert np.allclose(got, r) and np.abs(a @ got - target).max() < 0.03 * n.sum()
 
 
+def test_targets_are_met_with_skewed_lengths(spark):
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet([2, 1, 1], 2000)
+    n = np.minimum(20_000, rng.lognormal(6, 1.5, 2000)).astype(int) + 1
+    judged = spark.createDataFrame([(int(m), *map(float, q)) for m, q in zip(n, p, strict=True)], "n_tokens long, p_clean double, p_toxic double, p_low double")
+    now = (p * n[:, None]).sum(0)
+    target = mixing.targets(now, relative={"toxic": 0.5, "low": 0.5})
+    pulls = mixing.fit_rates(judged, relative={"toxic": 0.5, "low": 0.5})
+
+    def missed(pulls):
+        rate = mixing.rate_of(pulls)
+        got = judged.agg(*[F.sum(rate * F.col("n_tokens") * F.col(f"p_{d}")) for d in mixing.DOMAINS]).first()
+        return np.abs(np.array(got) - target).max() / n.sum()
+
+    before = missed(pulls)
+    pulls, left = mixing.settle(judged, pulls, target)
+    print("missed", before, missed(pulls), left)
+    assert missed(pulls) < 1e-6 < 1e-4 < before and left < 1e-6
+
+
 def test_nulls_repeats_missing_labels(spark):
     docs = spark.createDataFrame([(1, None, 1), (1, None, 1), (2, "a b", 2), (None, "c", 3)], "doc_id int, text string, mix2 int").withColumn("n_tokens", F.lit("clash"))
     labels = spark.createDataFrame([(2, 1, 0), (2, 0, 0)], "doc_id int, quality int, toxic int")

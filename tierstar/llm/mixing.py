@@ -5,7 +5,8 @@ A softmax regression over hashed words, fitted on a bounded, hash-chosen sample
 the nonnegative rates r of documents are fitted so that the expected tokens of each domain, the sum
 of r x a, meet their targets: projected gradient on the least squares error, measured in the
 metric of the domains' own Gram matrix, so that a step of 1 is safe. Each step is one pass over a
-table of tokens and posteriors; only a number for each domain reaches the driver. A document is then
+table of tokens and posteriors; only sums by domain reach the driver. What these steps leave is closed by Newton steps on
+the documents whose rate stays above 0 (``settle``); targets that cannot be met give a warning with the error left. A document is then
 taken floor(rate + u) times, u being a fraction drawn from a hash of its id and text.
 
 Null and empty texts have no tokens, weigh nothing and keep the rate 1. Rows are scored one at a time;
@@ -16,6 +17,7 @@ Other columns are carried along by ``mix``.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,6 +35,8 @@ DOMAINS = ("clean", "toxic", "low")
 #: Labelled documents of each domain used in training; words of each that are looked at there.
 PER_DOMAIN, TRAIN_WORDS = 3000, 4000
 BUCKETS = 1 << 18
+#: Share of all tokens by which a target may be missed without a warning.
+REACHED = 1e-5
 
 
 def features(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,25 +157,30 @@ def rate_of(pulls: list[np.ndarray], get: Callable[[str], Column] = F.col) -> Co
     return rate
 
 
-def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None, steps: int = 40, tolerance: float = 1e-7) -> list[np.ndarray]:
-    """The gradient steps, a number for each domain, that bring the expected tokens to their targets.
+def targets(now: np.ndarray, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None) -> np.ndarray:
+    """Expected tokens wanted of each domain, ``now`` being the present ones.
 
     ``weights`` are the target shares of tokens by domain; ``relative`` instead scales the present
     share of the domains it names, the rest going to the others. The expected total stays as it is.
     """
-    parts = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS]
-    k = range(len(DOMAINS))
-    gram = judged.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k], *[F.sum(parts[i]).alias(f"s{i}") for i in k]).first()
-    now = np.array([gram[f"s{i}"] or 0.0 for i in k])
-    if not now.sum():
-        return []
     if relative is not None:
         share = now / now.sum() * np.array([relative.get(d, 0.0) for d in DOMAINS])
         free = np.array([d not in relative for d in DOMAINS])
         share[free] = (1 - share.sum()) * now[free] / now[free].sum()
     else:
         share = np.array([weights[d] for d in DOMAINS], float) / sum(weights.values())
-    target = share * now.sum()
+    return share * now.sum()
+
+
+def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None, steps: int = 40, tolerance: float = 1e-7) -> list[np.ndarray]:
+    """At most ``steps`` plain gradient steps towards the targets, a number for each domain; ``settle`` does the rest."""
+    parts = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS]
+    k = range(len(DOMAINS))
+    gram = judged.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k], *[F.sum(parts[i]).alias(f"s{i}") for i in k]).first()
+    now = np.array([gram[f"s{i}"] or 0.0 for i in k])
+    if not now.sum():
+        return []
+    target = targets(now, weights, relative)
     # A domain without tokens cannot be raised: the pseudo-inverse leaves it alone.
     metric = np.linalg.pinv(np.array([[gram[f"g{i}{j}"] for j in k] for i in k]), rcond=1e-9, hermitian=True)
     pulls: list[np.ndarray] = []
@@ -186,6 +195,48 @@ def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relati
     return pulls
 
 
+def settle(judged: DataFrame, pulls: list[np.ndarray], target: np.ndarray, passes: int = 60, tolerance: float = 1e-7) -> tuple[list[np.ndarray], float]:
+    """One more pull, after which the expected tokens meet ``target``, and the largest error left, as a share of all tokens.
+
+    Of all rates that meet the targets these are the nearest to the ones that ``pulls`` leave: max(0, rate - a x pull), with the
+    pull found by Newton steps on the dual, in the Gram matrix of the documents whose rate stays above 0. A small penalty on the pull
+    keeps it finite where the targets cannot be met; then an error is left.
+    """
+    parts, k = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS], range(len(DOMAINS))
+    started = stored(judged.select("n_tokens", *[f"p_{d}" for d in DOMAINS], rate_of(pulls).alias("__rate")))
+
+    def look(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        rate = F.greatest(F.lit(0.0), F.col("__rate") - sum((parts[i] * F.lit(float(pull[i])) for i in k), F.lit(0.0)))
+        live = started.withColumn("__now", rate).filter("__now > 0")
+        sums = [F.sum(F.col("__now") * F.col("__now")).alias("r"), *[F.sum(F.col("__now") * parts[i]).alias(f"s{i}") for i in k]]
+        got = live.agg(*sums, *[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k]).first()
+        error = np.array([got[f"s{i}"] or 0.0 for i in k]) - target
+        return (got["r"] or 0.0) / 2 + pull @ target, error, np.array([[got[f"g{i}{j}"] or 0.0 for j in k] for i in k])
+
+    # The dual, value(pull) = sum of rate^2 / 2 + pull x target, is convex with the gradient -error.
+    pull = np.zeros(len(DOMAINS))
+    value, error, gram = look(pull)
+    total = target.sum()
+    penalty = 1e-9 * np.trace(gram) * np.eye(len(DOMAINS))
+    for _ in range(passes):
+        slope = penalty @ pull - error
+        if np.abs(error).max() <= tolerance * total or not np.abs(slope).max():
+            break
+        move = -np.linalg.solve(gram + penalty + 1e-12 * np.trace(gram) * np.eye(len(DOMAINS)), slope)
+        size, here = 1.0, value + pull @ penalty @ pull / 2
+        while True:
+            ahead = pull + size * move
+            value, next_error, next_gram = look(ahead)
+            if value + ahead @ penalty @ ahead / 2 <= here + 1e-4 * size * (slope @ move) or size < 1e-4:
+                break
+            size /= 4
+        stuck = np.abs(ahead - pull).max() <= 1e-12 * np.abs(ahead).max()
+        pull, error, gram = ahead, next_error, next_gram
+        if stuck:
+            break
+    return [*pulls, pull], float(np.abs(error).max() / total)
+
+
 def copies_of(rate: Column, id_column: str, text_column: str) -> Column:
     """floor(rate + u), u in [0, 1) from a hash of id and text."""
     u = (F.xxhash64(F.col(id_column).cast("string"), text_of(text_column)).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
@@ -196,7 +247,13 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     """All documents with all their columns and a struct ``mix``: n_tokens, p_* of each domain, rate, copies."""
     names = docs.columns
     judged = docs.select(*[F.col(c) for c in names], memberships(docs, train(docs, labels, id_column, text_column), text_column).alias("__judged"))
-    pulls = fit_rates(stored(judged.select("__judged.*")), weights, relative)
+    table = stored(judged.select("__judged.*"))
+    pulls = fit_rates(table, weights, relative)
+    sums = table.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]).first()
+    if any(sums):
+        pulls, left = settle(table, pulls, targets(np.array([sums[d] for d in DOMAINS]), weights, relative))
+        if left > REACHED:
+            warnings.warn(f"mixing: targets are missed by up to {left:.6f} of all tokens", stacklevel=2)
     rate = rate_of(pulls, lambda name: F.col("__judged")[name])
     out = judged.withColumn("__rate", rate).withColumn("__copies", copies_of(F.col("__rate"), id_column, text_column))
     fields = [F.col("__judged")[f].alias(f) for f in ("n_tokens", *[f"p_{d}" for d in DOMAINS])]
