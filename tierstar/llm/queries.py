@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstar.llm import decontaminate, exact_dedup, language_model, license_scan, line_dedup, mixing, near_dedup, quality, repeat_removal, token_counts
+from tierstar.llm import collocations, decontaminate, exact_dedup, language_model, license_scan, line_dedup, mixing, near_dedup, quality, repeat_removal, token_counts, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -76,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -100,4 +110,6 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_collocations": collocations.collocations_sql(),
+    "op13_vector_codes": vector_codes.compress_sql(),
 }
