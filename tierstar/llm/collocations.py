@@ -30,7 +30,7 @@ from tierstar.llm.common import shared_path, small_side, stored, text_of
 from tierstar.llm.textarrays import Texts, blocks, mix, prefix_hash, range_hash
 from tierstar.llm.textarrays import _CODES as CODES
 
-SHARDS, LONGEST, LEAST, TOP, ABSORBED = 4, 5, 100, 2000, 100
+SHARDS, LONGEST, LEAST, TOP, ABSORBED = 3, 5, 100, 2000, 100
 #: Bits of a bitmap, words of one row of a shard, bytes that are counted at once.
 SLOTS, ROW_WORDS, SCAN_BYTES = 1 << 24, 1 << 15, 1 << 21
 
@@ -202,9 +202,8 @@ def count_phrases(docs: DataFrame, text_column: str = "text", lang_column: str =
         now = F.sum(F.when(F.col("step") == step, F.col("n")).otherwise(0))
         total = recent.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), now.alias("now"))
         new = total.filter((F.col("n") >= least) & (F.col("n") - F.col("now") < least) & (F.col("size") < longest))
-        new = stored(new.select("lang", "phrase", "size", F.lit(step).alias("at")))
-        new.write.mode("append").parquet(marks)
-        bitmaps.append(_bitmap(new))
+        new.select("lang", "phrase", "size").write.parquet(f"{marks}/at={step}")
+        bitmaps.append(_bitmap(spark.read.schema("lang string, phrase string").parquet(f"{marks}/at={step}")))
         if bitmaps[-1].any():
             last = step
     counted = spark.read.schema(f"{COUNTS}, step int").parquet(counts)

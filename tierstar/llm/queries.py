@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstar.llm import collocations, decontaminate, exact_dedup, language_model, license_scan, line_dedup, mixing, near_dedup, quality, repeat_removal, token_counts, vector_codes
+from tierstar.llm import collocations, decontaminate, exact_dedup, language_model, license_scan, line_dedup, mixing, near_dedup, quality, repeat_removal, shingle_join, token_counts, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(_table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
     "op11_collocations": op11_collocations,
+    "op12_shingle_join": op12_shingle_join,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -111,5 +116,6 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op11_collocations": collocations.collocations_sql(),
+    "op12_shingle_join": shingle_join.join_sql(),
     "op13_vector_codes": vector_codes.compress_sql(),
 }
