@@ -20,10 +20,11 @@ from standins import Given
 from tierstar import functions as fn
 from tierstar.operators import aggregates, dedup, history, joins, keys, quality
 from tierstar.operators.clean import clean, require
-from tierstar.plans import analyses, gold, pipeline, silver, views
+from tierstar.plans import analyses, gold, kpis, pipeline, silver, timecorrect, views
 from tierstar.schemas import TABLES, ColumnSpec, TableSpec, conform
 from tierstar.sources.delimited import accepted, read_raw
 from tierstar.sources.store import LayerStore, RunInfo, shared_folder
+from tierstar.streaming.feed import Feed, live
 from tierstar.streaming.incremental import newer_than, upsert
 
 # The operators for training corpora may be taken out; everything else must then still work.
@@ -188,15 +189,15 @@ def _row_count_compare(given: Given) -> DataFrame:
     return quality.count_check(53400, message, raw, clean(raw, TABLES["reviews"]))
 
 
-def _customer_history(given: Given) -> DataFrame:
+def _customer_history(given: Given, first_at: datetime = datetime(2020, 1, 1), second_at: datetime = datetime(2021, 1, 1)) -> DataFrame:
     """Between two snapshots customers appear, vanish and move."""
     balance, city = F.col("c_acctbal"), F.col("c_mktsegment").alias("customer_city")
     key = F.col("c_custkey").cast("string").alias("customer_id")
     before = given["customer"].filter(F.col("c_mktsegment") != "BUILDING").select(key, city)
     moved = F.when(balance < 0, "moved").otherwise(F.col("c_mktsegment")).alias("customer_city")
     after = given["customer"].filter(balance <= 9000).select(key, moved)
-    first = history.start_history(before, datetime(2020, 1, 1))
-    return history.merge_history(first, after, "customer_id", ["customer_city"], datetime(2021, 1, 1))
+    first = history.start_history(before, first_at)
+    return history.merge_history(first, after, "customer_id", ["customer_city"], second_at)
 
 
 def _upsert_latest(given: Given) -> DataFrame:
@@ -207,6 +208,55 @@ def _upsert_latest(given: Given) -> DataFrame:
     return upsert(existing, newer_than(events, "ts", mark), key, order, existing_unique=True)
 
 
+def _changed_star(given: Given) -> LayerStore:
+    """A star published as it was before some lines came, changed and went, and its KPIs refreshed by just these lines."""
+    store = LayerStore(given.spark, _scratch(given.spark))
+    star = _star(given)
+    first = RunInfo()
+    staged = {name: store.stage(first, "gold", name, df) for name, df in star.items() if name != "fact_orders"}
+    after = store.stage(first, "scratch", "fact_orders", star["fact_orders"]).df
+    lot = F.pmod(F.xxhash64("order_id", "order_item_id"), F.lit(7))
+    old = after.filter(lot == 1).withColumns({"order_id": F.concat("order_id", F.lit("x")), "total_amount": F.col("total_amount") + 1, "review_score": F.lit(None).cast(after.schema["review_score"].dataType)})
+    extra = after.filter(lot == 2).withColumn("order_item_id", F.col("order_item_id") + 1000)
+    gone = old.unionByName(extra.select(old.columns))
+    before = after.filter(lot > 1).unionByName(gone)
+    staged["fact_orders"] = store.stage(first, "gold", "fact_orders", before)
+    states = kpis.stage_kpis(store, first, {name: t.df for name, t in staged.items()})
+    store.publish_layers(first, {"gold": [*staged.values(), *[t for t in states if t.name in kpis.KPIS]], kpis.LAYER: states})
+    kpis.refresh_kpis(store, RunInfo(), gone, after.filter(lot < 2))
+    return store
+
+
+def _change_feed(given: Given) -> DataFrame:
+    """Events as changes of their user: errors delete. They arrive in three lots, the last lot twice and one after later ones."""
+    changes = given["events"].withColumn("operation", F.when(F.col("event_type") == "error", "delete").otherwise("update"))
+    root = _scratch(given.spark)
+    feed = Feed(LayerStore(given.spark, root), "users", ["user_id"], "event_id", "operation")
+    for lot in (2, 0, 2, 1):
+        changes.filter(F.col("event_id") % 3 == lot).write.mode("append").parquet(f"{root}/inbox")
+        feed.run(given.spark, f"{root}/inbox", changes.schema, f"{root}/checkpoint")
+    return live(feed.table())
+
+
+def _fact_asof_customer(given: Given) -> DataFrame:
+    """Customers of the history of two snapshots, looked up at the time of purchase."""
+    start = datetime(1995, 6, 1)
+    versions = _customer_history(given, start, datetime(1998, 1, 1)).withColumn("version_from", F.col("valid_from"))
+    return timecorrect.lines_with_customer_version(standins.order_items(given), standins.orders(given), versions, ["customer_city", "version_from"])
+
+
+def _history_backdated(given: Given) -> DataFrame:
+    """The event type as an attribute of the user, absent after an error; events are reported in three lots that interleave in time."""
+    present = (F.col("event_type") != "error").cast("int")
+    changes = given["events"].select("user_id", F.col("ts").cast("timestamp_ntz").alias("valid_from"), "event_type", present.alias("is_present"), F.col("event_id").alias("recorded"))
+    store, found, points = LayerStore(given.spark, _scratch(given.spark)), None, None
+    for lot in (2, 0, 1):
+        run = RunInfo()
+        found, points = history.apply_changes(found, points, changes.filter(F.col("recorded") % 3 == lot), "user_id", ["event_type"])
+        found, points = store.stage(run, "gold", "history", found).df, store.stage(run, "gold", "points", points).df
+    return found
+
+
 PARTS = TableSpec(
     "parts",
     (ColumnSpec("part_id", "int"), ColumnSpec("part_name", "text"), ColumnSpec("part_brand", "text"), ColumnSpec("part_type", "text")),
@@ -276,6 +326,11 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "gold_gate": lambda g: gold.gate(_star(g)),
     "customer_history": _customer_history,
     "upsert_latest": _upsert_latest,
+    "kpi_increment": lambda g: _changed_star(g).read("gold")["kpi_customer_metrics"],
+    "kpi_increment_products": lambda g: _changed_star(g).read("gold")["kpi_product_metrics"],
+    "change_feed": _change_feed,
+    "fact_asof_customer": _fact_asof_customer,
+    "history_backdated": _history_backdated,
     "raw_scan": _raw_scan,
     "star_pipeline": _star_pipeline,
 }

@@ -602,3 +602,19 @@ ORACLES: dict[str, str] = {
     "raw_scan": f"SELECT p_partkey AS part_id, p_name AS part_name, p_brand AS part_brand, p_type AS part_type FROM part",
 }
 ORACLES["star_pipeline"] = ORACLES["product_metrics"]
+ORACLES["kpi_increment"] = ORACLES["customer_metrics"]
+ORACLES["kpi_increment_products"] = ORACLES["product_metrics"]
+ORACLES["change_feed"] = """SELECT user_id, ts, event_type, value, props FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) AS e
+    WHERE rn = 1 AND event_type <> 'error'"""
+ORACLES["fact_asof_customer"] = f"""WITH h AS ({ORACLES["customer_history"].replace("2020-01-01", "1995-06-01").replace("2021-01-01", "1998-01-01")})
+    SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+           o_orderdate AS order_purchase_timestamp, h.customer_city, h.valid_from AS version_from
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS l JOIN orders ON o_orderkey = l_orderkey
+    LEFT JOIN h ON h.customer_id = CAST(o_custkey AS VARCHAR) AND o_orderdate >= h.valid_from AND (h.valid_to IS NULL OR o_orderdate < h.valid_to)"""
+ORACLES["history_backdated"] = """WITH p AS (SELECT user_id, ts, CASE WHEN event_type <> 'error' THEN event_type END AS v FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events) AS e WHERE rn = 1),
+    step AS (SELECT * FROM (SELECT *, lag(v) OVER w AS was, row_number() OVER w AS n FROM p WINDOW w AS (PARTITION BY user_id ORDER BY ts)) AS s
+             WHERE n = 1 OR v IS DISTINCT FROM was),
+    row AS (SELECT user_id, v, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until FROM step)
+    SELECT user_id, v AS event_type, ts AS valid_from, until AS valid_to, CAST(until IS NULL AS INTEGER) AS is_current FROM row WHERE v IS NOT NULL"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierstar.operators.aggregates import row_counts
 from tierstar.operators.keys import position_key
 from tierstar.operators.quality import enforce
-from tierstar.plans import gold, silver, views
+from tierstar.plans import gold, kpis, silver
 from tierstar.schemas import STAR, TABLES, conform
 from tierstar.sources.delimited import accepted, read_raw
 from tierstar.sources.store import LayerStore, RunInfo
@@ -68,10 +68,9 @@ def load_gold(store: LayerStore, run: RunInfo, clean: Mapping[str, DataFrame]) -
     star["fact_orders"] = conform(staged["fact_orders"].df, STAR["fact_orders"])
 
     enforce(store.append_audit(run, "gold", gold.gate(star)))
-    kpis = {name: df for name, df in views.all_views(star).items() if name != "vw_order_line_metrics"}
-    for name, df in kpis.items():
-        staged[name] = store.stage(run, "gold", name.replace("vw_", "kpi_"), df)
-    store.publish(run, "gold", list(staged.values()))
+    # The KPIs come from states that the next run can advance by the lines that change.
+    states = kpis.stage_kpis(store, run, star)
+    store.publish_layers(run, {"gold": [*staged.values(), *[t for t in states if t.name in kpis.KPIS]], kpis.LAYER: states})
     return star
 
 

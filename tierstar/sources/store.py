@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -73,8 +73,12 @@ class LayerStore:
 
     def publish(self, run: RunInfo, layer: str, tables: Sequence[Staged]) -> None:
         """Make all ``tables`` of a run the current ones of ``layer`` with a single new file."""
+        self.publish_layers(run, {layer: tables})
+
+    def publish_layers(self, run: RunInfo, layers: Mapping[str, Sequence[Staged]]) -> None:
+        """The same for several layers that must never be seen apart."""
         now = utc_now()
-        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count, t.df.schema.json()) for t in tables]
+        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count, t.df.schema.json()) for layer, tables in layers.items() for t in tables]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(self._manifest_path)
 
     @property
@@ -99,6 +103,13 @@ class LayerStore:
         latest = lines.agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("run_id"))
         return {r.table_name: r for r in lines.join(F.broadcast(latest), "run_id").select("table_name", "path", "table_schema").collect()}
 
+    def carried(self, layer: str, without: Sequence[str]) -> list[Staged]:
+        """The current tables of ``layer`` less those named, to be published again, unread, beside tables that a run replaces."""
+        left = self.manifest().filter(F.col("layer") == layer)
+        counts = {r.path: r.row_count for r in left.select("path", "row_count").collect()}
+        tables = self.read(layer)
+        return [Staged(name, path, counts[path], tables[name]) for name, path in self.current(layer).items() if name not in set(without)]
+
     def exists(self, layer: str, name: str) -> bool:
         return name in self.current(layer)
 
