@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -172,44 +173,54 @@ def count_phrases(docs: DataFrame, text_column: str = "text", lang_column: str =
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang")
     rows = docs.select((F.monotonically_increasing_id() % shards).cast("int").alias("shard"), lang, text_of(text_column).alias("text"))
-    dealt, counts, marks = (shared_path(spark) for _ in range(3))
+    dealt, met, longer, marks = (shared_path(spark) for _ in range(4))
     rows.mapInArrow(_rows_of_words(longest, row_words), "shard int, lang string, words string, own int").write.partitionBy("shard").parquet(dealt)
     words = spark.read.schema("lang string, words string, own int, shard int").parquet(dealt)
 
+    def read(root: str, steps: range) -> DataFrame:
+        return spark.read.schema(COUNTS).parquet(*[f"{root}/step={s}" for s in steps])
+
     bitmaps: list[np.ndarray] = []
+    none = np.zeros(SLOTS // 64, np.uint64)
+    single: DataFrame | None = None
     step = last = 0  # The empty phrase has reached the threshold before the first scan.
     while step < last + shards:
         step += 1
-        fresh = bitmaps[-shards:]
-        none = np.zeros(SLOTS // 64, np.uint64)
-        both = spark.sparkContext.broadcast((np.bitwise_or.reduce([none, *bitmaps]), np.bitwise_or.reduce([none, *fresh])))
+        both = spark.sparkContext.broadcast((np.bitwise_or.reduce([none, *bitmaps]), np.bitwise_or.reduce([none, *bitmaps[-shards:]])))
         shard = words.filter(F.col("shard") == (step - 1) % shards).select("lang", "words", "own")
-        met = shard.mapInArrow(_counted(both, step <= shards, longest), COUNTS).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-        here = f"{counts}/step={step}"
-        if step == 1:
-            met.write.parquet(here)
-        else:
-            met = stored(met)
+        counted = shard.mapInArrow(_counted(both, step <= shards, longest), COUNTS).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+        counted.write.parquet(f"{met}/step={step}")
+        both.unpersist()
+        parts = []
+        if step > 1:
             reached = spark.read.schema("lang string, phrase string, size int, at int").parquet(marks)
-            longer = met.filter(F.col("size") > 1).withColumn("_first", F.expr("substring_index(phrase, ' ', size - 1)")).withColumn("_last", F.expr("substring_index(phrase, ' ', 1 - size)"))
+            some = read(met, range(step, step + 1)).filter(F.col("size") > 1)
+            some = some.withColumn("_first", F.expr("substring_index(phrase, ' ', size - 1)")).withColumn("_last", F.expr("substring_index(phrase, ' ', 1 - size)"))
             firsts = reached.select("lang", F.col("phrase").alias("_first"), F.col("at").alias("_one"))
             lasts = reached.select("lang", F.col("phrase").alias("_last"), F.col("at").alias("_two"))
-            active = longer.join(firsts, ["lang", "_first"]).join(lasts, ["lang", "_last"]).filter(F.greatest("_one", "_two") >= step - shards)
-            met.filter(F.col("size") == 1).unionByName(active.select("lang", "phrase", "size", "n")).write.parquet(here)
-        both.unpersist()
-        # A phrase that reaches the threshold now has been counted in the last scans only.
-        recent = spark.read.schema(f"{COUNTS}, step int").option("basePath", counts).parquet(*[f"{counts}/step={s}" for s in range(max(1, step - shards + 1), step + 1)])
-        now = F.sum(F.when(F.col("step") == step, F.col("n")).otherwise(0))
-        total = recent.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), now.alias("now"))
-        new = total.filter((F.col("n") >= least) & (F.col("n") - F.col("now") < least) & (F.col("size") < longest))
-        new.select("lang", "phrase", "size").write.parquet(f"{marks}/at={step}")
+            active = some.join(firsts, ["lang", "_first"]).join(lasts, ["lang", "_last"]).filter(F.greatest("_one", "_two") >= step - shards)
+            active.select("lang", "phrase", "size", "n").write.parquet(f"{longer}/step={step}")
+            # What reaches the threshold now has been counted in the last scans only.
+            parts.append(read(longer, range(max(2, step - shards + 1), step + 1)))
+        if step <= shards:
+            ones = read(met, range(1, step + 1)).filter(F.col("size") == 1)
+            # Before the cycle of single words ends, their rare counts are left aside: a word may be noticed later, at the end of the cycle at the latest.
+            parts.append(ones if step == shards else ones.filter(F.col("n") >= least // (4 * shards)))
+        total = reduce(DataFrame.unionByName, parts).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        if step == shards:
+            total = stored(total)
+            single = total.filter(F.col("size") == 1)
+        new = total.filter(F.col("size") < longest).select("lang", "phrase", "size")
+        if step > 1:
+            new = new.join(reached.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+        new.write.parquet(f"{marks}/at={step}")
         bitmaps.append(_bitmap(spark.read.schema("lang string, phrase string").parquet(f"{marks}/at={step}")))
         if bitmaps[-1].any():
             last = step
-    counted = spark.read.schema(f"{COUNTS}, step int").parquet(counts)
-    total = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    by_lang = counted.filter(F.col("size") == 1).groupBy("lang").agg(F.sum("n").alias("words"))
-    return stored(total), stored(by_lang)
+    total = single
+    if step > 1:
+        total = total.unionByName(read(longer, range(2, step + 1)).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    return stored(total), stored(words.groupBy("lang").agg(F.sum("own").alias("words")))
 
 
 def score(a: str = "a", n: str = "n", l: str = "l", r: str = "r") -> Column:  # noqa: E741
