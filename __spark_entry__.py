@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -18,7 +19,7 @@ import oracles
 import standins
 from standins import Given
 from tierstar import functions as fn
-from tierstar.operators import aggregates, dedup, history, joins, keys, quality
+from tierstar.operators import aggregates, dedup, history, joins, keys, quality, quarantine, trends
 from tierstar.operators.clean import clean, require
 from tierstar.plans import analyses, gold, kpis, pipeline, silver, timecorrect, views
 from tierstar.schemas import TABLES, ColumnSpec, TableSpec, conform
@@ -28,10 +29,10 @@ from tierstar.streaming.feed import Feed, live
 from tierstar.streaming.incremental import newer_than, upsert
 
 # The operators for training corpora may be taken out; everything else must then still work.
-try:
+if importlib.util.find_spec("tierstar.llm") and importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline
     from tierstar.llm import queries as corpus
-except ImportError:
+else:
     corpus_pipeline = corpus = None
 
 SMOKE = "/root/testdata/sf0.001"
@@ -257,6 +258,37 @@ def _history_backdated(given: Given) -> DataFrame:
     return found
 
 
+def _quarantined_rows(given: Given) -> DataFrame:
+    """Lines set apart by a first run that lacks pending orders, and offered again to a second one that has them."""
+    store, lines = LayerStore(given.spark, _scratch(given.spark)), given["lineitem"]
+    rules = [quality.Rule(1, "large quantity", F.col("l_quantity") > 45, quality.WARNING)]
+    uniques = [quality.Unique(2, "line numbers occur once", "lineitem", ("l_orderkey", "l_linenumber"))]
+    references = [quality.Reference(3, "order known", "lineitem", "l_orderkey", "orders", "o_orderkey")]
+
+    def run(offered: DataFrame, orders: DataFrame) -> DataFrame:
+        now = RunInfo()
+        keep = lambda keys: store.stage(now, "quarantine", "broken_keys", keys).df
+        return store.stage(now, "quarantine", "tagged", quarantine.tag(offered, rules, uniques, references, {"orders": orders}, keep)).df
+
+    _, failing = quarantine.part(run(lines, given["orders"].filter(F.col("o_orderstatus") != "P")))
+    again = run(quarantine.offer(lines.limit(0), failing, ["l_orderkey", "l_linenumber"]), given["orders"])
+    broken = F.array_join(F.transform(quarantine.BROKEN, lambda x: x.cast("string")), ",")
+    return again.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", broken.alias("broken"))
+
+
+def _audit_trend(given: Given) -> DataFrame:
+    """Each day of events is a run; its checks, one per event type, fail if more than five values are below 10."""
+    store = LayerStore(given.spark, _scratch(given.spark))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    bad = F.count_if(F.col("value") < 10)
+    lines = given["events"].groupBy(day.alias("load_dts"), "event_type").agg(bad.alias("failing_rows"), F.count(F.lit(1)).alias("checked_rows"))
+    code = F.pmod(F.crc32("event_type"), F.lit(1000)).cast("int").alias("code")
+    results = lines.select(code, F.lit("warning").alias("severity"), F.col("event_type").alias("message"), "failing_rows", "checked_rows", (F.col("failing_rows") <= 5).alias("passed"), "load_dts", F.date_format("load_dts", "yyyyMMdd").alias("run_id"))
+    # As a run writes them: one folder per layer and run.
+    results.withColumn("layer", F.lit("bronze")).write.partitionBy("layer", "run_id").json(f"{store.root}/audit")
+    return trends.audit_trend(store.audit())
+
+
 PARTS = TableSpec(
     "parts",
     (ColumnSpec("part_id", "int"), ColumnSpec("part_name", "text"), ColumnSpec("part_brand", "text"), ColumnSpec("part_type", "text")),
@@ -331,6 +363,8 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "change_feed": _change_feed,
     "fact_asof_customer": _fact_asof_customer,
     "history_backdated": _history_backdated,
+    "quarantined_rows": _quarantined_rows,
+    "audit_trend": _audit_trend,
     "raw_scan": _raw_scan,
     "star_pipeline": _star_pipeline,
 }

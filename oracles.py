@@ -6,6 +6,8 @@ are handled as whole numbers, and each surrogate key is one global ``row_number`
 
 from __future__ import annotations
 
+import zlib
+
 # ---------------------------------------------------------------- the given tables in clean form
 CENT = "CAST(0.01 AS DECIMAL(3,2))"
 
@@ -618,3 +620,18 @@ ORACLES["history_backdated"] = """WITH p AS (SELECT user_id, ts, CASE WHEN event
              WHERE n = 1 OR v IS DISTINCT FROM was),
     row AS (SELECT user_id, v, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until FROM step)
     SELECT user_id, v AS event_type, ts AS valid_from, until AS valid_to, CAST(until IS NULL AS INTEGER) AS is_current FROM row WHERE v IS NOT NULL"""
+ORACLES["quarantined_rows"] = """WITH l AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n,
+        NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P') AS lost_first,
+        NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) AS lost FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+        concat_ws(',', CASE WHEN l_quantity > 45 THEN '1' END, CASE WHEN n > 1 THEN '2' END, CASE WHEN lost THEN '3' END) AS broken
+    FROM l WHERE l_quantity > 45 OR n > 1 OR lost_first"""
+_CODES = ", ".join(f"('{t}', {zlib.crc32(t.encode()) % 1000})" for t in ("click", "error", "purchase", "signup", "view"))
+ORACLES["audit_trend"] = f"""WITH r AS (SELECT 'bronze' AS layer, CAST(v.code AS INTEGER) AS code, date_trunc('day', ts)::TIMESTAMP AS load_dts,
+        count(*) FILTER (WHERE value < 10) AS failing_rows FROM events JOIN (VALUES {_CODES}) AS v(t, code) ON t = event_type GROUP BY ALL),
+    s AS (SELECT *, strftime(load_dts, '%Y%m%d') AS run_id, failing_rows <= 5 AS passed FROM r),
+    i AS (SELECT *, row_number() OVER w - row_number() OVER (PARTITION BY code, passed ORDER BY load_dts) AS island,
+        failing_rows - lag(failing_rows) OVER w AS failing_change, min(CASE WHEN NOT passed THEN load_dts END) OVER w AS first_failure
+        FROM s WINDOW w AS (PARTITION BY code ORDER BY load_dts))
+    SELECT layer, code, run_id, load_dts, passed, failing_rows, failing_change, count(*) OVER k AS streak, min(load_dts) OVER k AS streak_since, first_failure
+    FROM i WINDOW k AS (PARTITION BY code, passed, island ORDER BY load_dts)"""
