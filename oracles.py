@@ -635,3 +635,4 @@ ORACLES["audit_trend"] = f"""WITH r AS (SELECT 'bronze' AS layer, CAST(v.code AS
         FROM s WINDOW w AS (PARTITION BY code ORDER BY load_dts))
     SELECT layer, code, run_id, load_dts, passed, failing_rows, failing_change, count(*) OVER k AS streak, min(load_dts) OVER k AS streak_since, first_failure
     FROM i WINDOW k AS (PARTITION BY code, passed, island ORDER BY load_dts)"""
+ORACLES["fact_month_refresh"] = ORACLES["fact_orders"]
