@@ -63,12 +63,13 @@ def test_like_all_pairs(spark, edited, options):
 
 
 def test_copies_alike_only_to_their_original(spark):
+    # Three words of 200 changed: 185 of 209 shingles in common with the original, mostly 177 of 217 or less with each other.
     rng = random.Random(3)
     base = [f"w{i}" for i in range(200)]
     rows = [(500, " ".join(base))]
     for i in range(240):
         copy = list(base)
-        for at in rng.sample(range(0, 200, 5), 6):
+        for at in rng.sample(range(5, 195, 5), 3):
             copy[at] = f"x{i}-{at}"
         rows.append((i, " ".join(copy)))
     got = found(spark, rows, leader_sets=50, group_sets=20)
