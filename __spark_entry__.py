@@ -293,7 +293,7 @@ def _quarantined_rows(given: Given) -> DataFrame:
     return again.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", broken.alias("broken"))
 
 
-def _audit_trend(given: Given) -> DataFrame:
+def _audited(given: Given) -> LayerStore:
     """Each day of events is a run; its checks, one per event type, fail if more than five values are below 10."""
     store = LayerStore(given.spark, _scratch(given.spark))
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
@@ -303,7 +303,24 @@ def _audit_trend(given: Given) -> DataFrame:
     results = lines.select(code, F.lit("warning").alias("severity"), F.col("event_type").alias("message"), "failing_rows", "checked_rows", (F.col("failing_rows") <= 5).alias("passed"), "load_dts", F.date_format("load_dts", "yyyyMMdd").alias("run_id"))
     # As a run writes them: one folder per layer and run.
     results.withColumn("layer", F.lit("bronze")).write.partitionBy("layer", "run_id").json(f"{store.root}/audit")
-    return trends.audit_trend(store.audit())
+    return store
+
+
+def _contract_limits(given: Given) -> DataFrame:
+    """Numbers rounded: quotients of whole numbers are not the same to the last digit everywhere."""
+    found = trends.contract_limits(_audited(given).audit())
+    shares = {c: F.round(c, 9).alias(c) for c in ("share", "median_share", "deviation", "limit_share")}
+    return found.select(*[shares.get(c, F.col(c)) for c in found.columns])
+
+
+def _observed_rows(given: Given) -> DataFrame:
+    """The range checks, observed while the customers are written."""
+    rules = [
+        quality.Rule(1, "negative balance", quality.negative("c_acctbal"), quality.WARNING),
+        quality.Rule(2, "balance outside -1000..10000", quality.outside("c_acctbal", -1000, 10000)),
+    ]
+    store = LayerStore(given.spark, _scratch(given.spark))
+    return store.stage_observed(RunInfo(), "silver", "customer", given["customer"], rules)[1]
 
 
 PARTS = TableSpec(
@@ -382,7 +399,9 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "history_backdated": _history_backdated,
     "fact_month_refresh": _fact_month_refresh,
     "quarantined_rows": _quarantined_rows,
-    "audit_trend": _audit_trend,
+    "audit_trend": lambda g: trends.audit_trend(_audited(g).audit()),
+    "contract_limits": _contract_limits,
+    "observed_rows": _observed_rows,
     "raw_scan": _raw_scan,
     "star_pipeline": _star_pipeline,
 }

@@ -636,3 +636,11 @@ ORACLES["audit_trend"] = f"""WITH r AS (SELECT 'bronze' AS layer, CAST(v.code AS
     SELECT layer, code, run_id, load_dts, passed, failing_rows, failing_change, count(*) OVER k AS streak, min(load_dts) OVER k AS streak_since, first_failure
     FROM i WINDOW k AS (PARTITION BY code, passed, island ORDER BY load_dts)"""
 ORACLES["fact_month_refresh"] = ORACLES["fact_orders"]
+ORACLES["observed_rows"] = ORACLES["range_check"]
+ORACLES["contract_limits"] = f"""WITH r AS (SELECT 'bronze' AS layer, CAST(v.code AS INTEGER) AS code, strftime(date_trunc('day', ts), '%Y%m%d') AS run_id,
+        count(*) FILTER (WHERE value < 10) / CAST(count(*) AS DOUBLE) AS share FROM events JOIN (VALUES {_CODES}) AS v(t, code) ON t = event_type GROUP BY ALL),
+    m AS (SELECT layer, code, median(share) AS median_share, count(*) AS runs FROM r GROUP BY ALL),
+    d AS (SELECT layer, code, median(abs(share - median_share)) AS deviation FROM r JOIN m USING (layer, code) GROUP BY ALL),
+    l AS (SELECT *, CASE WHEN runs >= 5 THEN median_share + 3.0 * 1.4826 * deviation END AS limit_share FROM r JOIN m USING (layer, code) JOIN d USING (layer, code))
+    SELECT layer, code, run_id, round(share, 9) AS share, round(median_share, 9) AS median_share, round(deviation, 9) AS deviation,
+           round(CAST(limit_share AS DOUBLE), 9) AS limit_share, coalesce(share > limit_share, false) AS outside FROM l"""

@@ -56,3 +56,23 @@ def test_trend_of_a_check(spark):
     audit = table(spark, layer=["s"] * 5, code=[1] * 5, run_id=list("abcde"), load_dts=at, passed=[True, True, False, False, True], failing_rows=[0, 0, 4, 7, 0])
     got = rows(trends.audit_trend(audit).select("failing_change", "streak", "streak_since", "first_failure"), "run_id")
     assert got == [(None, 1, at[0], None), (0, 2, at[0], None), (4, 1, at[2], at[2]), (3, 2, at[2], at[2]), (-7, 1, at[4], at[2])]
+
+
+def test_limits_from_history(spark):
+    n = [1, 2, 1, 2, 1, 50]
+    audit = table(spark, layer=["s"] * 8, code=[1] * 6 + [2] * 2, run_id=list("abcdefgh"), load_dts=[datetime(2024, 1, 1 + i) for i in range(8)], failing_rows=[*n, 0, 9], checked_rows=[100] * 7 + [0])
+    got = rows(trends.contract_limits(audit).select("run_id", "median_share", "deviation", "outside"), "run_id")
+    assert [(r[0], r[3]) for r in got] == [*[(x, False) for x in "abcde"], ("f", True), ("g", False), ("h", False)]
+    assert abs(got[0][1] - 0.015) < 1e-12 and abs(got[0][2] - 0.005) < 1e-12
+
+
+def test_rows_are_observed_in_the_write(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    rules = [quality.Rule(1, "low", F.col("v") < 2), quality.Rule(2, "few nulls", F.col("v").isNull(), quality.WARNING, 0.5)]
+    df = table(spark, v=pa.array([3, 1, None, 5], pa.int32())).repartition(3)
+    staged, lines, least = store.stage_observed(RunInfo(), "silver", "t", df, rules, ["v"])
+    assert staged.row_count == 4 and least == {"v": 1}
+    assert rows(lines, "code") == rows(quality.row_checks(staged.df, rules), "code")
+    empty, lines, least = store.stage_observed(RunInfo(), "silver", "e", df.limit(0), rules, ["v"])
+    assert empty.row_count == 0 and least == {"v": None} and rows(lines.select("passed")) == [(True,), (True,)]
+    assert empty.df.count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,3 +28,20 @@ def audit_trend(audit: DataFrame) -> DataFrame:
     return islands.withColumns({"streak": F.count(F.lit(1)).over(streak), "streak_since": F.min("load_dts").over(streak)}).select(
         *check, "run_id", "load_dts", "passed", "failing_rows", "failing_change", "streak", "streak_since", "first_failure"
     )
+
+
+def contract_limits(audit: DataFrame, width: float = 3.0, at_least: int = 5) -> DataFrame:
+    """Limits that past runs set for the share of failing rows of each check, and the runs outside them.
+
+    One row per check and run: the median share, the median deviation from it, the limit (median plus ``width`` times 1.4826 deviations), and
+    whether the run is outside. Both medians are over all runs of the check, so a single bad run moves neither. A check with fewer than ``at_least`` runs has no limit.
+    """
+    check = ["layer", "code"]
+    share: Column = F.when(F.col("checked_rows") > 0, F.col("failing_rows") / F.col("checked_rows"))
+    runs = audit.select(*check, "run_id", "load_dts", share.alias("share"))
+    middle = runs.groupBy(*check).agg(F.median("share").alias("median_share"), F.count("share").alias("runs"))
+    apart = runs.join(middle, check).withColumn("_apart", F.abs(F.col("share") - F.col("median_share")))
+    spread = apart.groupBy(*check).agg(F.median("_apart").alias("deviation"))
+    limit = F.when(F.col("runs") >= at_least, F.col("median_share") + F.lit(width * 1.4826) * F.col("deviation"))
+    out = apart.join(spread, check).withColumn("limit_share", limit)
+    return out.select(*check, "run_id", "share", "median_share", "deviation", "limit_share", F.coalesce(F.col("share") > F.col("limit_share"), F.lit(False)).alias("outside"))

@@ -15,11 +15,11 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.operators.quality import RESULT
+from tierstar.operators.quality import RESULT, Rule
 
 MANIFEST = "run_id string, load_dts timestamp_ntz, published_at timestamp_ntz, layer string, table_name string, path string, row_count long, table_schema string"
 
@@ -71,6 +71,23 @@ class LayerStore:
         written = self.spark.read.schema(df.schema).parquet(path)
         return Staged(name, path, written.count(), written)
 
+    def stage_observed(self, run: RunInfo, layer: str, name: str, df: DataFrame, rules: Sequence[Rule] = (), lowest: Sequence[str] = ()) -> tuple[Staged, DataFrame, dict[str, object]]:
+        """Write one table and observe it in the write itself: rows, broken row rules, and the least value of some columns.
+
+        The table is not read again for its count or its row rules. The observation sits right below the write, behind any shuffle, where every
+        committed task reports once. Returns the staged table, the result lines of the rules, and the least values.
+        """
+        path = f"{self.root}/{layer}/runs/{run.run_id}/{name}"
+        seen = Observation(f"{name}-{run.run_id}")
+        bad = [F.count_if(F.coalesce(r.bad, F.lit(False))).alias(f"bad_{i}") for i, r in enumerate(rules)]
+        least = [F.min(c).alias(f"least_{i}") for i, c in enumerate(lowest)]
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *bad, *least).write.parquet(path)
+        found = seen.get
+        n = found["rows"]
+        lines = [(r.code, r.severity, r.message, found[f"bad_{i}"], n, found[f"bad_{i}"] <= n * r.max_bad_ratio) for i, r in enumerate(rules)]
+        written = self.spark.read.schema(df.schema).parquet(path)
+        return Staged(name, path, n, written), self.spark.createDataFrame(lines, RESULT), {c: found[f"least_{i}"] for i, c in enumerate(lowest)}
+
     def publish(self, run: RunInfo, layer: str, tables: Sequence[Staged]) -> None:
         """Make all ``tables`` of a run the current ones of ``layer`` with a single new file."""
         self.publish_layers(run, {layer: tables})
