@@ -23,7 +23,7 @@ from tierstar.operators import aggregates, dedup, history, joins, keys, quality,
 from tierstar.operators.clean import clean, require
 from tierstar.plans import analyses, gold, kpis, pipeline, silver, timecorrect, views
 from tierstar.schemas import TABLES, ColumnSpec, TableSpec, conform
-from tierstar.sources.delimited import accepted, read_raw
+from tierstar.sources.delimited import accepted, header_drift, read_evolved, read_raw, rejected
 from tierstar.sources.parts import PartedTable
 from tierstar.sources.store import LayerStore, RunInfo, shared_folder
 from tierstar.streaming.feed import Feed, live
@@ -342,6 +342,47 @@ def _raw_scan(given: Given) -> DataFrame:
     return typed.withColumn("part_id", F.col("part_id").cast("long"))
 
 
+def _verbatim(lines: DataFrame, header: str, folder: str) -> None:
+    """Lines of text as files that begin with a header line."""
+    lines.toDF(header).write.mode("append").option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False).csv(folder)
+
+
+COMMA = TableSpec("parts", PARTS.columns, PARTS.required, PARTS.key)
+
+
+def _raw_scan_comma(given: Given) -> DataFrame:
+    """Parts as comma files: names hold commas in quotes, some lines are a field short, some a field long."""
+    folder, tenth = _scratch(given.spark), F.pmod("p_partkey", F.lit(10))
+    name = F.concat(F.lit('"'), "p_name", F.lit(', new"'))
+    short, long = F.concat_ws(",", "p_partkey", name, "p_brand"), F.concat_ws(",", "p_partkey", name, "p_brand", "p_type", F.lit("more"))
+    line = F.when(tenth == 0, short).when(tenth == 1, long).otherwise(F.concat_ws(",", "p_partkey", name, "p_brand", "p_type"))
+    _verbatim(given["part"].select(line), "part_id,part_name,part_brand,part_type", folder)
+    raw = read_raw(given.spark, folder, COMMA)
+    good = clean(accepted(raw), COMMA).withColumns({"part_id": F.col("part_id").cast("long"), "line": F.lit(None).cast("string")})
+    bad = rejected(raw).select(F.col("part_id").cast("long").alias("part_id"), F.col("_corrupt_record").alias("line"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def _versions(given: Given) -> str:
+    """Parts as pipe files of three years: as declared; in another order under an earlier name; with a column less and one more."""
+    folder, third, part = _scratch(given.spark), F.pmod("p_partkey", F.lit(3)), given["part"]
+    _verbatim(part.filter(third == 0).select(F.concat_ws("|", "p_partkey", "p_name", "p_brand", "p_type")), "part_id|part_name|part_brand|part_type", folder)
+    _verbatim(part.filter(third == 1).select(F.concat_ws("|", "p_type", "p_brand", "p_partkey", "p_name")), "part_type|part_brand|part_id|title", folder)
+    _verbatim(part.filter(third == 2).select(F.concat_ws("|", "p_partkey", "p_size", "p_name", "p_type")), "part_id|part_size|part_name|part_type", folder)
+    return folder
+
+
+def _evolved_scan(given: Given) -> DataFrame:
+    raw = read_evolved(given.spark, _versions(given), PARTS, {"title": "part_name"})
+    return clean(accepted(raw), PARTS).withColumn("part_id", F.col("part_id").cast("long"))
+
+
+def _header_drift(given: Given) -> DataFrame:
+    """Files by what their headers lack and have in excess; how many files there are of a kind is up to the writer."""
+    found = header_drift(given.spark, _versions(given), PARTS)
+    return found.select(F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected")).distinct()
+
+
 def _star_pipeline(given: Given) -> DataFrame:
     """The whole run on the given tables rendered as text: raw, clean, gate, star, gate, published KPIs."""
     texts = {
@@ -403,6 +444,9 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "contract_limits": _contract_limits,
     "observed_rows": _observed_rows,
     "raw_scan": _raw_scan,
+    "raw_scan_comma": _raw_scan_comma,
+    "evolved_scan": _evolved_scan,
+    "header_drift": _header_drift,
     "star_pipeline": _star_pipeline,
 }
 

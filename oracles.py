@@ -644,3 +644,10 @@ ORACLES["contract_limits"] = f"""WITH r AS (SELECT 'bronze' AS layer, CAST(v.cod
     l AS (SELECT *, CASE WHEN runs >= 5 THEN median_share + 3.0 * 1.4826 * deviation END AS limit_share FROM r JOIN m USING (layer, code) JOIN d USING (layer, code))
     SELECT layer, code, run_id, round(share, 9) AS share, round(median_share, 9) AS median_share, round(deviation, 9) AS deviation,
            round(CAST(limit_share AS DOUBLE), 9) AS limit_share, coalesce(share > limit_share, false) AS outside FROM l"""
+ORACLES["raw_scan_comma"] = """SELECT p_partkey AS part_id, p_name || ', new' AS part_name, p_brand AS part_brand, p_type AS part_type, NULL AS line
+    FROM part WHERE p_partkey % 10 > 1
+    UNION ALL SELECT p_partkey, NULL, NULL, NULL, CAST(p_partkey AS VARCHAR) || ',"' || p_name || ', new",' || p_brand || CASE WHEN p_partkey % 10 = 1 THEN ',' || p_type || ',more' ELSE '' END
+    FROM part WHERE p_partkey % 10 <= 1"""
+ORACLES["evolved_scan"] = """SELECT p_partkey AS part_id, p_name AS part_name, CASE WHEN p_partkey % 3 < 2 THEN p_brand END AS part_brand, p_type AS part_type FROM part"""
+ORACLES["header_drift"] = """SELECT missing, unexpected FROM (VALUES ('part_name', 'title', 1), ('part_brand', 'part_size', 2)) AS v(missing, unexpected, k)
+    WHERE k IN (SELECT p_partkey % 3 FROM part)"""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierstar.operators.aggregates import union_all
 from tierstar.schemas import CORRUPT, TableSpec
 
 
@@ -61,16 +64,42 @@ def rejected(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(CORRUPT).isNotNull())
 
 
-def header_drift(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Files whose header is not the declared one: file, and the columns it lacks or has in excess.
-
-    Looks at every file of a folder; of a file only the lines of its first block are read.
-    """
-    declared = F.array(*[F.lit(c.raw) for c in spec.columns])
+def file_headers(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """The column names of every file of a folder, as its own first line gives them: file, names. Only first blocks of files are read."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     heads = lines.filter(F.col("start") == 0).withColumn("place", F.monotonically_increasing_id())
     heads = heads.groupBy("file").agg(F.min_by("value", "place").alias("header"))
     plain = F.regexp_replace("header", "[\ufeff\r]", "")
-    names = F.transform(F.split(plain, F.concat(F.lit("\\Q"), F.lit(spec.separator), F.lit("\\E"))), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    found = heads.select("file", F.array_except(declared, names).alias("missing"), F.array_except(names, declared).alias("unexpected"), (names != declared).alias("drifts"))
+    names = F.transform(F.split(plain, F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E"))), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    return heads.select("file", names.alias("names"))
+
+
+def header_drift(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """Files whose header is not the declared one: file, and the columns it lacks or has in excess."""
+    declared, names = F.array(*[F.lit(c.raw) for c in spec.columns]), F.col("names")
+    found = file_headers(spark, path, spec.separator).select("file", F.array_except(declared, names).alias("missing"), F.array_except(names, declared).alias("unexpected"), (names != declared).alias("drifts"))
     return found.filter("drifts").drop("drifts")
+
+
+def read_evolved(spark: SparkSession, path: str, spec: TableSpec, renames: Mapping[str, str] | None = None, raw_quotes: bool = False) -> DataFrame:
+    """The raw table of files whose headers changed over time: every file is read by its own header.
+
+    Columns are matched by name, whatever their order; ``renames`` maps earlier names to the declared ones. A declared column that a file
+    lacks is NULL there, and one that is not declared is left out. Lines with a wrong number of fields for their own file carry ``_corrupt_record``.
+    Files are read together by header, so there are as many scans as versions of the header.
+    """
+    versions = file_headers(spark, path, spec.separator).groupBy("names").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("names").collect()
+    parts = []
+    for version in versions:
+        known = [(renames or {}).get(n, n) for n in version.names]
+        twice = {c.raw for c in spec.columns if known.count(c.raw) > 1}
+        if twice:
+            raise ValueError(f"{', '.join(sorted(twice))} found more than once in the header of {version.files[0]}")
+        # By position, because two undeclared columns may share a name.
+        fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(len(known))]
+        read = spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).options(**_options(spec.separator, raw_quotes, False)).csv(list(version.files))
+        columns = [(F.col(f"_c{known.index(c.raw)}") if c.raw in known else F.lit(None).cast("string")).alias(c.raw) for c in spec.columns]
+        parts.append(read.select(*columns, CORRUPT))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*spec.raw_schema().fields, T.StructField(CORRUPT, T.StringType())]))
+    return union_all(parts)
