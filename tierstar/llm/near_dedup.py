@@ -8,7 +8,8 @@ similarity of their weights, which is the plain Jaccard similarity where no shin
 
 Registers are banded (25 bands of 5: a pair at 0.8 meets in some band with probability above
 0.9999). A first pass over five bands only saves work: every document of a bucket is compared with two leaders
-of it, and the verified links of that join most of a large group at few comparisons. The second pass then
+of it, inside the task that holds the bucket or a part of it, and linked to one at most; the verified ones of these links
+join most of a large group at few comparisons. The second pass then
 compares, in every bucket of all bands, all pairs of documents that the first one left in different components. They are
 estimated by their registers (``doubt`` below the threshold still passes), and tasks keep spanning forests of
 what passes. The connected components of these forests are the groups that may hold further links; in each group
@@ -109,13 +110,6 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays([pa.array(keys, pa.list_(pa.int64())), pa.array(registers, pa.binary())], ["keys", "registers"])
 
 
-@F.arrow_udf(T.DoubleType())
-def _estimate(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for one, other in batches:
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(-1, REGISTERS) for x in (one, other))
-        yield pa.array((a == b).mean(1) if len(a) else [], pa.float64())
-
-
 def probability_jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum over common elements i of 1 / sum over all j of max(x_j / x_i, y_j / y_i); elements ordered, with counts."""
     (h, x), (g, y) = one, other
@@ -151,13 +145,33 @@ def _nodes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("doc_id"), text.alias("_text"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
 
 
-def _star(rows: DataFrame, order: Column) -> DataFrame:
-    """Every node of a bucket (key, node) with the nodes that come first and last in it: pairs a < b."""
-    ordered = rows.withColumn("order", order)
-    ends = ordered.groupBy("key").agg(F.min_by("node", "order").alias("low"), F.max_by("node", "order").alias("high")).filter(F.col("low") != F.col("high"))
-    led = rows.join(ends, "key")
-    met = led.select("node", F.col("low").alias("leader")).union(led.select("node", F.col("high").alias("leader"))).filter(F.col("node") != F.col("leader"))
-    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+def _led(rows: DataFrame, bucket_nodes: int) -> DataFrame:
+    """Nodes of every bucket (key, node) of two or more, dealt over parts; those that lead it (rank 0: the smallest, 1: the largest) are in each part."""
+    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter(F.col("low") != F.col("high"))
+    parts = F.ceil(F.col("n") / bucket_nodes).cast("int")
+    others = rows.join(buckets, "key").filter((F.col("node") != F.col("low")) & (F.col("node") != F.col("high")))
+    others = others.select("key", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), F.lit(2).alias("rank"), "node")
+    each = buckets.select("key", "low", "high", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return others.unionByName(each.select("key", "part", F.posexplode(F.array("low", "high")).alias("rank", "node")))
+
+
+def _follow(least: int):
+    """Links (a, b) of the nodes of every part of a bucket to one of its two leaders whose registers agree, the smaller one if both do."""
+
+    def follow(table: pa.Table) -> pa.Table:
+        rank, part = (table.column(c).to_numpy() for c in ("rank", "part"))
+        bucket = table.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
+        registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+        order = np.lexsort((rank, part, bucket))
+        low = np.flatnonzero(rank[order] == 0)
+        led = np.repeat(low, np.diff(low, append=len(order)))
+        low, high = order[led], order[led + 1]
+        to_low = ((registers[order] == registers[low]).sum(1) >= least) & (rank[order] > 0)
+        to_high = ((registers[order] == registers[high]).sum(1) >= least) & (rank[order] > 1) & ~to_low
+        one, other = np.concatenate([low[to_low], order[to_high]]), np.concatenate([order[to_low], high[to_high]])
+        return pa.table({"a": table.column("node").take(pa.array(one)), "b": table.column("node").take(pa.array(other))})
+
+    return follow
 
 
 def _alike(registers: np.ndarray, classes: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,11 +313,9 @@ def _texts_of(nodes: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFra
     return stored(rows.join(small_side(wanted, wanted.count()), same, "left_semi").select("node", "_text").dropDuplicates(["node"]))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, threshold: float, doubt: float) -> DataFrame:
-    """The pairs that are alike, first by their registers, then by their whole texts; stored."""
-    registers = sketches.select("node", "registers")
-    guessed = pairs.join(registers.toDF("a", "ra"), "a").join(registers.toDF("b", "rb"), "b").filter(_estimate("ra", "rb") >= threshold - doubt)
-    likely = stored(guessed.select("a", "b"))
+def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that are alike by their whole texts; stored."""
+    likely = stored(pairs)
     texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), rows, sketches)
     compared = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return stored(compared.select("a", "b", _similarity("ta", "tb").alias("similarity")).filter(F.col("similarity") >= threshold))
@@ -316,11 +328,12 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     # One row per text: the smallest id stands for it.
     sketches = stored(drawn.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("s").alias("s")).select("node", "doc_id", "s.*"))
     banded = sketches.select("node", F.posexplode("keys").alias("band", "key"))
+    least = int(np.ceil((threshold - doubt) * REGISTERS - 1e-9))
     # First a few bands, with the same leaders wherever possible: most members of a large group are linked there.
-    some = banded.filter(F.col("band") < FIRST_BANDS).select("key", "node")
-    early = _verified(_star(some, F.xxhash64("node")), rows, sketches, threshold, doubt)
+    led = stored(_led(banded.filter(F.col("band") < FIRST_BANDS).select("key", "node"), bucket_nodes))
+    full = led.join(sketches.select("node", "registers"), "node").withColumn("task", F.pmod(F.xxhash64("key", "part"), F.lit(max(1, led.count() // TASK_ROWS))))
+    early = _verified(full.groupBy("task").applyInArrow(_follow(least), "a binary, b binary").distinct(), rows, sketches, threshold)
     # Then all pairs of different components in all buckets.
-    least = int(np.ceil((threshold - doubt) * REGISTERS - 1e-9))
     named = stored(sketches.select("node").join(components(early), "node", "left").select("node", F.coalesce("component", "node").alias("class")))
     held = banded.join(named, "node").select("key", "node", "class")
     mixed = held.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count(F.lit(1)).alias("n")).filter(F.col("x") != F.col("y"))
