@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from tierstar.llm import near_dedup
+from tierstar.llm.common import components, contracted_components
 from tierstar.llm.near_dedup import classes, probability_jaccard, probminhash, shingles
 from tierstar.llm.textarrays import blocks
 
@@ -110,3 +111,17 @@ def test_nulls_repeats_short_and_empty(spark):
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 7]
     assert classes(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
+def test_contracted_components(spark, shape):
+    rng = np.random.default_rng(2)
+    edges = {
+        "path": [(i, i + 1) for i in range(300)],
+        "star": [(i, 500) for i in range(300)] + [(i, 500) for i in range(20)] + [(7, 7)],
+        "random": [(int(x), int(y)) for x, y in rng.integers(0, 400, (300, 2)) if x != y],
+        "none": [],
+    }[shape]
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in contracted_components(df).collect()}
+    assert got == {r.node: r.component for r in components(df).collect()} and (shape != "path" or set(got.values()) == {0})

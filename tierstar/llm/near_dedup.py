@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.llm.common import components, small_side, stored, text_of
+from tierstar.llm.common import contracted_components, small_side, stored, text_of
 from tierstar.llm.line_dedup import forest
 from tierstar.llm.textarrays import Texts, blocks, mix
 
@@ -334,14 +334,14 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     full = led.join(sketches.select("node", "registers"), "node").withColumn("task", F.pmod(F.xxhash64("key", "part"), F.lit(max(1, led.count() // TASK_ROWS))))
     early = _verified(full.groupBy("task").applyInArrow(_follow(least), "a binary, b binary").distinct(), rows, sketches, threshold)
     # Then all pairs of different components in all buckets.
-    named = stored(sketches.select("node").join(components(early), "node", "left").select("node", F.coalesce("component", "node").alias("class")))
+    named = stored(sketches.select("node").join(contracted_components(early), "node", "left").select("node", F.coalesce("component", "node").alias("class")))
     held = banded.join(named, "node").select("key", "node", "class")
     mixed = held.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count(F.lit(1)).alias("n")).filter(F.col("x") != F.col("y"))
     chunks = F.ceil(F.col("n") / bucket_nodes).cast("int")
     tiles = stored(_dealt(held.join(mixed.select("key", "n"), "key"), "key", chunks))
     full = tiles.join(sketches.select("node", "registers"), "node")
     near = stored(_in_tasks(full, "key", tiles.count() // TASK_ROWS).applyInArrow(_meet(least), "a binary, b binary").distinct())
-    groups = components(near)
+    groups = contracted_components(near)
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_nodes)
     chunks = F.coalesce(F.ceil(F.col("n") / group_nodes), F.lit(1)).cast("int")
     tiles = stored(_dealt(groups.join(named, "node").join(sizes, "component", "left"), "component", chunks))
@@ -352,7 +352,7 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
     """One row per document: doc_id, node, group_id (the smallest id of its class), group_size, kept."""
-    parts = components(links(docs, id_column, text_column, threshold, **options))
+    parts = contracted_components(links(docs, id_column, text_column, threshold, **options))
     rows = _nodes(docs, id_column, text_column).select("doc_id", "node")
     named = stored(rows.join(parts, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class")))
     groups = named.groupBy("class").agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
