@@ -21,7 +21,7 @@ from standins import Given
 from tierstar import functions as fn
 from tierstar.operators import aggregates, dedup, history, joins, keys, quality, quarantine, trends
 from tierstar.operators.clean import clean, require
-from tierstar.plans import analyses, gold, kpis, pipeline, silver, timecorrect, views
+from tierstar.plans import analyses, colocated, gold, kpis, pipeline, silver, timecorrect, views
 from tierstar.schemas import TABLES, ColumnSpec, TableSpec, conform
 from tierstar.sources.delimited import accepted, header_drift, read_evolved, read_raw, rejected
 from tierstar.sources.parts import PartedTable
@@ -162,6 +162,14 @@ def _fact_orders_split(given: Given) -> DataFrame:
     return _fact(clean_tables, gold.build_dimensions(clean_tables), rows_per_split=3)
 
 
+def _fact_bucketed(given: Given) -> DataFrame:
+    """Order tables stored in buckets of the order; orders of six lines or more lie beside them and are split."""
+    clean_tables = standins.star_tables(given)
+    store = LayerStore(given.spark, _scratch(given.spark))
+    by_order = colocated.load_by_order(store, RunInfo(), clean_tables, buckets=16, rows_per_order=5)
+    return colocated.build_fact(by_order, gold.build_dimensions(clean_tables), rows_per_split=3)
+
+
 def _not_null_check(given: Given) -> DataFrame:
     texts = _baseline_clean(given)
     rules = [
@@ -415,6 +423,7 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "fact_orders": lambda g: _star(g)["fact_orders"],
     "fact_orders_calendar": _fact_orders_calendar,
     "fact_orders_split": _fact_orders_split,
+    "fact_bucketed": _fact_bucketed,
     "order_line_metrics": lambda g: views.order_line_metrics(_star(g)),
     "customer_metrics": lambda g: views.customer_metrics(_star(g)),
     "product_metrics": lambda g: views.product_metrics(_star(g)),

@@ -541,6 +541,7 @@ ORACLES: dict[str, str] = {
     "fact_orders": FACT,
     "fact_orders_calendar": FACT,
     "fact_orders_split": FACT,
+    "fact_bucketed": FACT,
     "order_line_metrics": f"""{GOLD} SELECT f.order_id, f.order_item_id, d.full_date AS order_date, d."year" AS order_year,
         d."month" AS order_month, d.month_name, f.order_status, customer_id, customer_unique_id, customer_city, customer_state,
         product_id, product_category_name, product_category_name_english, seller_id, seller_city, seller_state, quantity, {FACT_AMOUNTS}

@@ -110,18 +110,20 @@ def _date_role(rows: DataFrame, dates: DataFrame | None, time: str, role: str, h
 
 
 def order_header(
-    orders: DataFrame, counts: DataFrame, payments: DataFrame, reviews: DataFrame, dim_customers: DataFrame, dates: DataFrame | None = None
+    orders: DataFrame, counts: DataFrame, payments: DataFrame, reviews: DataFrame, dim_customers: DataFrame | None, dates: DataFrame | None = None
 ) -> DataFrame:
     """One row per order with everything a line takes over from it.
 
     All joined sides hold one row per order and share one partitioning on ``order_id``. Orders
-    without a purchase time or without a known customer leave here, before the large join.
+    without a purchase time or without a known customer leave here, before the large join. Without
+    ``dim_customers`` the customer id is kept instead and nothing but ``order_id`` is joined on.
     """
     header = _date_role(orders, dates, "order_purchase_timestamp", "order_date_key", "inner")
     header = _date_role(header, dates, "order_approved_at", "approved_date_key")
     header = _date_role(header, dates, "order_delivered_customer_date", "delivered_date_key")
     header = _date_role(header, dates, "order_estimated_delivery_date", "estimated_delivery_date_key")
-    header = resolve_key(header, dim_customers, "customer_id", "customer_key")
+    if dim_customers is not None:
+        header = resolve_key(header, dim_customers, "customer_id", "customer_key")
     header = (
         header.join(counts, "order_id")
         .join(payments_per_order(payments), "order_id", "left")
@@ -129,7 +131,7 @@ def order_header(
     )
     return header.select(
         "order_id",
-        "customer_key",
+        "customer_id" if dim_customers is None else "customer_key",
         "order_date_key",
         "approved_date_key",
         "delivered_date_key",
@@ -149,24 +151,30 @@ def build_fact(
     dim_products: DataFrame,
     dim_sellers: DataFrame,
     dim_date: DataFrame | None = None,
-    rows_per_split: int = 1_000_000,
+    rows_per_split: int | None = 1_000_000,
 ) -> DataFrame:
     """One row per order line whose order, customer, product, seller and purchase day are all known.
 
     Lines are counted per order before any line leaves, so a dropped line still takes its share of
     the payment. Without ``dim_date`` the calendar keys are computed from the days, which gives
-    what joining the calendar would. Orders with very many lines are split over several tasks.
+    what joining the calendar would. Orders with very many lines are split over several tasks. With
+    ``rows_per_split=None``, for tables in buckets of ``order_id`` that hold no such orders, lines meet
+    their order first, where they lie, and the dimensions after.
     """
     # A line without an order id cannot join; saying so once gives every use of the counts the same
     # plan, so Spark shuffles them once and reuses the exchange.
     items = require(items, "order_id")
     counts = items_per_order(items)
-    header = order_header(orders, counts, payments, reviews, dim_customers, dim_date)
+    in_place = rows_per_split is None
+    header = order_header(orders, counts, payments, reviews, None if in_place else dim_customers, dim_date)
     lines = _date_role(items, dim_date, "shipping_limit_date", "shipping_limit_date_key")
+    if in_place:
+        lines = resolve_key(lines.join(header, "order_id"), dim_customers, "customer_id", "customer_key")
     lines = resolve_key(lines, dim_products, "product_id", "product_key")
-    lines = resolve_key(lines, dim_sellers, "seller_id", "seller_key")
-    heavy = heavy_keys(counts, "order_id", "order_item_count", rows_per_split)
-    joined = split_join(lines, header, "order_id", heavy, spread=["order_item_id"])
+    joined = lines = resolve_key(lines, dim_sellers, "seller_id", "seller_key")
+    if not in_place:
+        heavy = heavy_keys(counts, "order_id", "order_item_count", rows_per_split)
+        joined = split_join(lines, header, "order_id", heavy, spread=["order_item_id"])
     fact = joined.select(
         "*",
         F.lit(1).alias("quantity"),
