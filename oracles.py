@@ -583,6 +583,9 @@ ORACLES: dict[str, str] = {
     "row_count_compare": f"""SELECT 53400 AS code, 'warning' AS severity, 'rows of reviews_raw missing from reviews_clean' AS message,
         CAST((SELECT count(*) FROM events) - (SELECT count(*) FROM ({cleaned('reviews')})) AS BIGINT) AS failing_rows,
         (SELECT count(*) FROM events) AS checked_rows, FALSE AS passed""",
+    "row_count_explained": """SELECT 53400 AS code, 'warning' AS severity, 'rows of reviews_raw missing from reviews_clean' AS message,
+        CAST(0 AS BIGINT) AS failing_rows, (SELECT count(*) FROM events) AS checked_rows, TRUE AS passed""",
+    "rows_left_out": f"SELECT CAST((SELECT count(*) FROM events) - (SELECT count(*) FROM ({cleaned('reviews')})) AS BIGINT) AS row_count",
     "silver_gate": _untidy_gate(),
     "gold_gate": _gold_gate(),
     "customer_history": """

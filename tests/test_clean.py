@@ -3,7 +3,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from helpers import at, raw_table, rows
-from tierstar.operators.clean import clean
+from tierstar.operators.clean import clean, left_out
 from tierstar.schemas import TABLES
 
 
@@ -105,3 +105,15 @@ def test_hot_key_is_limited_before_the_shuffle(spark):
     exchange = plan.index("Exchange hashpartitioning")
     # Printed from the last step to the first: the partial limit runs below the exchange.
     assert "WindowGroupLimit" in plan and final < exchange < partial
+
+
+def test_rows_left_out_are_accounted_for(spark):
+    for name, lines in {
+        "reviews": [("r1", "o1", "5"), (' "r1" ', "o1", "4"), ("r1 ", "o2", "3"), ("", "o1", "1"), ("r2", None, "x"), ("r3", "o1", "x")],
+        "order_items": [("o1", "1", "p1", "s1"), ("o1", "x", "p1", "s1"), ("  ", "1", "p1", "s1"), ("o1", "1", "p1", "s1")],
+    }.items():
+        raw, spec = raw_table(spark, name, *lines), TABLES[name]
+        out = {r.reason: r.row_count for r in left_out(raw, spec).collect()}
+        assert raw.count() == clean(raw, spec).count() + sum(out.values()), name
+        assert out["required column missing"] >= 1 and (out["copy"] >= 1) == (spec.best_first is not None)
+        assert sum(r.row_count for r in left_out(raw.limit(0), spec).collect()) == 0

@@ -47,3 +47,24 @@ def clean(raw: DataFrame, spec: TableSpec) -> DataFrame:
     candidates = raw.select(*raws, *texts).select("*", *typed).withColumns(keys)
     candidates = require(candidates, *numbers)
     return first_per_key(candidates, list(keys), spec.best_first(), [F.col(c) for c in names]).select(*names)
+
+
+def left_out(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """How many raw rows ``clean`` leaves out and why: reason ('required column missing', 'copy'), row_count.
+
+    Counted on the raw rows by a way of its own, so that it can explain the difference of the row counts of both layers. Copies are
+    counted per key before the shuffle; no row moves.
+    """
+    needed = [spec.column(c) for c in spec.required]
+    texts = [unquoted(F.col(c.raw)).alias(f"_text_{c.name}") for c in spec.columns]
+    tests = [
+        F.coalesce(present(F.col(c.raw)), F.lit(False)) if isinstance(c.spark_type, T.StringType) else c.typed(unquoted(F.col(c.raw))).isNotNull()
+        for c in needed
+    ]
+    whole = reduce(and_, tests) if tests else F.lit(True)
+    keys = [F.rtrim(filled(F.col(f"_text_{k}"))).alias(f"_key_{k}") for k in spec.key] if spec.best_first else []
+    per_key = raw.select(*texts, whole.alias("_whole")).groupBy("_whole", *keys).agg(F.count(F.lit(1)).alias("n"))
+    copies = F.coalesce(F.sum(F.when(F.col("_whole"), F.col("n") - 1)), F.lit(0)) if keys else F.lit(0).cast("long")
+    totals = per_key.agg(F.coalesce(F.sum(F.when(~F.col("_whole"), F.col("n"))), F.lit(0)).alias("missing"), copies.alias("copies"))
+    line = lambda reason, n: F.struct(F.lit(reason).alias("reason"), F.col(n).cast("long").alias("row_count"))
+    return totals.select(F.inline(F.array(line("required column missing", "missing"), line("copy", "copies"))))

@@ -180,12 +180,15 @@ def orphan_check(
 
 
 def count_check(code: int, message: str, before: DataFrame, after: DataFrame, dropped: DataFrame | None = None, severity: str = WARNING) -> DataFrame:
-    """Rows before = rows after + rows known to be dropped (those of ``dropped``); ``failing_rows`` is the absolute gap."""
+    """Rows before = rows after + rows known to be dropped (those of ``dropped``, or the sum of its ``row_count``); ``failing_rows`` is the absolute gap."""
     def size(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
     counted = before.agg(F.count(F.lit(1)).alias("checked")).withColumn("kept", size(after))
-    counted = counted.withColumn("lost", size(dropped) if dropped is not None else F.lit(0))
+    if dropped is not None and "row_count" in dropped.columns:
+        counted = counted.withColumn("lost", dropped.agg(F.coalesce(F.sum("row_count"), F.lit(0))).scalar())
+    else:
+        counted = counted.withColumn("lost", size(dropped) if dropped is not None else F.lit(0))
     gap = F.abs(F.col("checked") - F.col("kept") - F.col("lost"))
     return counted.select(F.inline(F.array(_line(code, severity, message, gap, F.col("checked"), 0.0))))
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tierstar.operators.aggregates import row_counts
+from tierstar.operators.clean import left_out
 from tierstar.operators.keys import position_key
 from tierstar.operators.quality import enforce
 from tierstar.plans import gold, kpis, silver
@@ -39,7 +40,7 @@ def load_silver(store: LayerStore, run: RunInfo, raw: Mapping[str, DataFrame]) -
     cleaned = silver.clean_all(usable)
     staged = {name: store.stage(run, "silver", silver.clean_name(name), df) for name, df in cleaned.items()}
     tables = {name: t.df for name, t in staged.items()}
-    enforce(store.append_audit(run, "silver", silver.gate(tables, usable)))
+    enforce(store.append_audit(run, "silver", silver.gate(tables, usable, {name: left_out(df, TABLES[name]) for name, df in usable.items()})))
     store.publish(run, "silver", list(staged.values()))
     return tables
 
