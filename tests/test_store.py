@@ -172,6 +172,11 @@ def test_empty_tables_and_text_partitions_keep_their_schema(spark, tmp_path):
     read = store.read("gold")
     assert [r.code for r in read["kept"].collect()] == ["007"] and read["empty"].count() == 0
     assert {f.name: f.dataType for f in read["empty"].schema} == {f.name: f.dataType for f in df.schema}
+    catalog.ensure_layers(spark)
+    catalog.register_layer(spark, store, "gold")
+    # Names are the same for every session of the application.
+    named = spark.newSession().table("gold.empty")
+    assert named.count() == 0 and {f.name: f.dataType for f in named.schema} == {f.name: f.dataType for f in df.schema}
 
 
 @pytest.mark.parametrize("broken", ["no items", "no purchase time"])

@@ -22,9 +22,13 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def register_layer(spark: SparkSession, store: LayerStore, layer: str) -> None:
-    """Point the catalog names of a layer at the files of its latest published run."""
+    """Point the catalog names of a layer at the files of its latest published run; a table without files gets its columns from the manifest."""
+    tables = store.read(layer)
     for name, path in store.current(layer).items():
-        spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT * FROM parquet.`{path}`")
+        rows = f"* FROM parquet.`{path}`"
+        if tables[name].isEmpty():
+            rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in tables[name].schema) + " WHERE FALSE"
+        spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {rows}")
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:
