@@ -398,17 +398,48 @@ def _header_drift(given: Given) -> DataFrame:
     return found.select(F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected")).distinct()
 
 
-def _star_pipeline(given: Given) -> DataFrame:
-    """The whole run on the given tables rendered as text: raw, clean, gate, star, gate, published KPIs."""
-    texts = {
+def _texts(given: Given) -> dict[str, DataFrame]:
+    """The given tables as raw text, blanks and quotes around every value."""
+    return {
         name: df.select(*[F.concat(F.lit(' "'), F.col(c).cast("string"), F.lit('"')).alias(TABLES[name].column(c).raw) for c in df.columns])
         for name, df in standins.clean_tables(given).items()
     }
+
+
+def _star_pipeline(given: Given) -> DataFrame:
+    """The whole run on the given tables rendered as text: raw, clean, gate, star, gate, published KPIs."""
     root = _scratch(given.spark)
-    pipeline.run_all(given.spark, root, texts)
+    pipeline.run_all(given.spark, root, _texts(given))
     return LayerStore(given.spark, root).read("gold")["kpi_product_metrics"]
 
 
+def _catalog_view(name: str) -> Callable[[Given], DataFrame]:
+    """A view that a run leaves in the catalog, read by its name alone."""
+
+    def read(given: Given) -> DataFrame:
+        prefix = f"run_{uuid.uuid4().hex}_"
+        pipeline.run_all(given.spark, _scratch(given.spark), _texts(given), names=prefix)
+        return given.spark.table(f"{prefix}gold.{name}")
+
+    return read
+
+
+def _audit_of_failed_run(given: Given) -> DataFrame:
+    """Orders whose number 7 divides arrive twice: the run stops, its findings stay, nothing is published."""
+    store, run = LayerStore(given.spark, _scratch(given.spark)), RunInfo()
+    texts = _texts(given)
+    orders = texts["orders"]
+    number = F.regexp_extract("order_id", "[0-9]+", 0).cast("long")
+    texts["orders"] = orders.unionAll(orders.filter(number % 7 == 0))
+    raw = pipeline.load_bronze(store, run, texts)
+    try:
+        pipeline.load_silver(store, run, raw)
+    except quality.QualityError:
+        found = store.audit().filter((F.col("run_id") == run.run_id) & (F.col("severity") == quality.CRITICAL) & ~F.col("passed"))
+        return found.select("layer", "code", "failing_rows", "checked_rows", F.lit(len(store.current("silver"))).alias("published"))
+    raise AssertionError("a run with repeated orders was published")
+
+
 QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "raw_row_counts": lambda g: aggregates.row_counts(standins.raw_tables(g)),
     "baseline_clean": _baseline_clean,
@@ -466,6 +497,8 @@ QUERIES: dict[str, Callable[[Given], DataFrame]] = {
     "evolved_scan": _evolved_scan,
     "header_drift": _header_drift,
     "star_pipeline": _star_pipeline,
+    "catalog_line_view": _catalog_view("vw_order_line_metrics"),
+    "audit_of_failed_run": _audit_of_failed_run,
 }
 
 

@@ -655,3 +655,6 @@ ORACLES["raw_scan_comma"] = """SELECT p_partkey AS part_id, p_name || ', new' AS
 ORACLES["evolved_scan"] = """SELECT p_partkey AS part_id, p_name AS part_name, CASE WHEN p_partkey % 3 < 2 THEN p_brand END AS part_brand, p_type AS part_type FROM part"""
 ORACLES["header_drift"] = """SELECT missing, unexpected FROM (VALUES ('part_name', 'title', 1), ('part_brand', 'part_size', 2)) AS v(missing, unexpected, k)
     WHERE k IN (SELECT p_partkey % 3 FROM part)"""
+ORACLES["catalog_line_view"] = ORACLES["order_line_metrics"]
+ORACLES["audit_of_failed_run"] = """SELECT 'silver' AS layer, 53205 AS code, 2 * count(*) FILTER (WHERE o_orderkey % 7 = 0) AS failing_rows,
+    count(*) + count(*) FILTER (WHERE o_orderkey % 7 = 0) AS checked_rows, 0 AS published FROM orders"""

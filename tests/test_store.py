@@ -10,7 +10,7 @@ from tierstar.plans import gold, pipeline, views
 from tierstar.schemas import CORRUPT, STAR, TABLES
 from tierstar.sources import catalog
 from tierstar.sources.delimited import accepted, header_drift, read_raw, rejected
-from tierstar.sources.store import LayerStore, RunInfo
+from tierstar.sources.store import ConcurrentPublish, LayerStore, RunInfo
 
 
 def write(folder, name, text):
@@ -193,3 +193,69 @@ def test_run_with_an_empty_fact(spark, tmp_path, broken):
 def test_empty_store(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "none"))
     assert store.current("gold") == {} and store.manifest().isEmpty()
+
+
+def test_publications_are_numbered_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    from tierstar.sources import store as module
+
+    store, df = LayerStore(spark, str(tmp_path)), spark.range(1)
+    assert store.head() == 0
+    first, second = RunInfo(), RunInfo()
+    store.publish(first, "gold", [store.stage(first, "gold", "t", df)])
+    monkeypatch.setattr(module, "utc_now", lambda: at("1999-01-01 00:00:00"))
+    store.publish(second, "gold", [store.stage(second, "gold", "t", df.limit(0))])
+    assert store.head() == 2 and second.run_id in store.current("gold")["t"] and store.row_counts("gold") == {"t": 0}
+
+
+def test_of_runs_that_build_on_the_same_state_one_publishes(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store, df = LayerStore(spark, str(tmp_path)), spark.range(1)
+    seen = store.head()
+    staged = [(run, store.stage(run, "gold", "t", df)) for run in (RunInfo() for _ in range(4))]
+
+    def publish(one, after):
+        try:
+            store.publish(one[0], "gold", [one[1]], after)
+            return one[0].run_id
+        except ConcurrentPublish:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        published = [r for r in pool.map(lambda one: publish(one, seen), staged) if r]
+        assert len(published) == 1 and published[0] in store.current("gold")["t"]
+        # Those that build on nothing each get a number of their own.
+        assert None not in list(pool.map(lambda one: publish(one, None), staged))
+    log = store.manifest().filter("layer = 'gold'").collect()
+    assert sorted(r.number for r in log) == [1, 2, 3, 4, 5] and store.head() == 5
+
+
+def test_a_claim_without_a_publication_changes_nothing(spark, tmp_path):
+    store, run = LayerStore(spark, str(tmp_path)), RunInfo()
+    store.publish(run, "gold", [store.stage(run, "gold", "t", spark.range(1))])
+    store._claim(None)  # The run that claimed it ended there.
+    assert store.head() == 2 and run.run_id in store.current("gold")["t"]
+    later = RunInfo()
+    store.publish(later, "gold", [store.stage(later, "gold", "t", spark.range(2))], after=store.head())
+    assert later.run_id in store.current("gold")["t"]
+
+
+def test_a_run_leaves_views_that_other_sessions_find(spark, star, tmp_path):
+    pipeline.run_all(spark, str(tmp_path), shop(spark), names="left_")
+    other = spark.newSession()
+    lines = other.table("left_gold.vw_order_line_metrics")
+    expected = views.order_line_metrics(star)
+    assert lines.columns == expected.columns and [f.dataType for f in lines.schema] == [f.dataType for f in expected.schema]
+    assert lines.exceptAll(expected).isEmpty() and expected.exceptAll(lines).isEmpty()
+    assert other.table("left_gold.vw_customer_metrics").count() == views.customer_metrics(star).count()
+    # The names follow a later run; partition values keep the type they were stored with.
+    pipeline.run_all(spark, str(tmp_path), shop(spark, order_items=[("o2", "1", "p2", "s2", "2018-07-30 03:24:27", "5.00", "0.50")]), names="left_")
+    assert [r.order_id for r in other.table("left_gold.vw_order_line_metrics").collect()] == ["o2"]
+    stored = LayerStore(spark, str(tmp_path)).read("gold")["fact_orders"].schema
+    assert [(f.name, f.dataType) for f in other.table("left_gold.fact_orders").schema] == [(f.name, f.dataType) for f in stored]
+
+
+def test_a_run_may_leave_the_catalog_alone(spark, tmp_path):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    pipeline.run_all(spark, str(tmp_path), shop(spark), names=None)
+    assert {d.name for d in spark.catalog.listDatabases()} == before

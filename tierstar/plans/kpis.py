@@ -72,10 +72,11 @@ def refresh_kpis(store: LayerStore, run: RunInfo, gone: DataFrame, came: DataFra
     The states of the last run are advanced by the changed lines; the fact is not read. All other tables of the star are carried over, and states,
     KPIs and star appear together, so a run that fails changes nothing.
     """
+    seen = store.head()
     star, states = store.read("gold") | {t.name: t.df for t in replaced}, store.read(LAYER)
     staged = []
     for name, kept in KPIS.items():
         state = partials.advance(State(states[f"{name}_totals"], states.get(f"{name}_members")), gone, came, kept)
         staged += _stage(store, run, name, state, star)
     fresh = [*replaced, *[t for t in staged if t.name in KPIS]]
-    store.publish_layers(run, {LAYER: staged, "gold": [*fresh, *store.carried("gold", [t.name for t in fresh])]})
+    store.publish_layers(run, {LAYER: staged, "gold": [*fresh, *store.carried("gold", [t.name for t in fresh])]}, after=seen)

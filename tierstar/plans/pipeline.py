@@ -10,7 +10,7 @@ from tierstar.operators.aggregates import row_counts
 from tierstar.operators.clean import left_out
 from tierstar.operators.keys import position_key
 from tierstar.operators.quality import enforce
-from tierstar.plans import gold, kpis, silver
+from tierstar.plans import gold, kpis, published, silver
 from tierstar.schemas import STAR, TABLES, conform
 from tierstar.sources.delimited import accepted, read_raw
 from tierstar.sources.store import LayerStore, RunInfo
@@ -80,9 +80,15 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str], **options) -> di
     return {name: read_raw(spark, path, TABLES[name], **options) for name, path in paths.items()}
 
 
-def run_all(spark: SparkSession, root: str, sources: Mapping[str, DataFrame], run: RunInfo | None = None) -> dict[str, DataFrame]:
-    """From raw tables to the published star. Any failure leaves what was published before in force."""
+def run_all(spark: SparkSession, root: str, sources: Mapping[str, DataFrame], run: RunInfo | None = None, names: str | None = "") -> dict[str, DataFrame]:
+    """From raw tables to the published star. Any failure leaves what was published before in force.
+
+    At the end the catalog's names point at the new tables and views (``published.register_run``), with ``names`` before each schema's name; None leaves the catalog alone.
+    """
     run, store = run or RunInfo(), LayerStore(spark, root)
     raw = load_bronze(store, run, sources)
     clean = load_silver(store, run, raw)
-    return load_gold(store, run, clean)
+    star = load_gold(store, run, clean)
+    if names is not None:
+        published.register_run(spark, store, names)
+    return star

@@ -2,6 +2,8 @@
 
 A run never touches what an earlier run wrote. Its tables become the current ones when one
 manifest file naming them all appears; a failure before that leaves the previous state in force.
+Publications are numbered. A number is claimed by creating a file that must not exist yet, which file systems do for one
+caller only, so two runs never share a number or a folder, and the highest number is the current one, whatever the clocks say.
 Everything is read and written by Spark, so any shared file system Spark can reach will do.
 """
 
@@ -14,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,11 @@ from pyspark.sql import types as T
 
 from tierstar.operators.quality import RESULT, Rule
 
-MANIFEST = "run_id string, load_dts timestamp_ntz, published_at timestamp_ntz, layer string, table_name string, path string, row_count long, table_schema string"
+MANIFEST = "run_id string, load_dts timestamp_ntz, published_at timestamp_ntz, layer string, table_name string, path string, row_count long, table_schema string, number long"
+
+
+class ConcurrentPublish(RuntimeError):
+    """Another run published after this one had read what it builds on."""
 
 
 def utc_now() -> datetime:
@@ -88,15 +95,54 @@ class LayerStore:
         written = self.spark.read.schema(df.schema).parquet(path)
         return Staged(name, path, n, written), self.spark.createDataFrame(lines, RESULT), {c: found[f"least_{i}"] for i, c in enumerate(lowest)}
 
-    def publish(self, run: RunInfo, layer: str, tables: Sequence[Staged]) -> None:
+    def publish(self, run: RunInfo, layer: str, tables: Sequence[Staged], after: int | None = None) -> None:
         """Make all ``tables`` of a run the current ones of ``layer`` with a single new file."""
-        self.publish_layers(run, {layer: tables})
+        self.publish_layers(run, {layer: tables}, after)
 
-    def publish_layers(self, run: RunInfo, layers: Mapping[str, Sequence[Staged]]) -> None:
-        """The same for several layers that must never be seen apart."""
+    def publish_layers(self, run: RunInfo, layers: Mapping[str, Sequence[Staged]], after: int | None = None) -> None:
+        """The same for several layers that must never be seen apart.
+
+        With ``after``, the ``head`` that a run saw when it read what it builds on, the run publishes only if no other has done so
+        since then, and raises ``ConcurrentPublish`` otherwise.
+        """
+        number = self._claim(after)
         now = utc_now()
-        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count, t.df.schema.json()) for layer, tables in layers.items() for t in tables]
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(self._manifest_path)
+        rows = [(run.run_id, run.load_dts, now, layer, t.name, t.path, t.row_count, t.df.schema.json(), number) for layer, tables in layers.items() for t in tables]
+        # A folder of its own: what another run clears away when it is done is not in it.
+        self.spark.createDataFrame(rows, MANIFEST).drop("number").coalesce(1).write.json(f"{self._manifest_path}/number={number}")
+
+    def head(self) -> int:
+        """The highest number that is claimed, 0 before the first."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims")
+        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return max([int(f.getPath().getName()) for f in files.listStatus(folder)], default=0) if files.exists(folder) else 0
+
+    def _claim(self, after: int | None) -> int:
+        """The next number, claimed by a new file: exactly one caller can create it."""
+        number = self.head() if after is None else after
+        while True:
+            number += 1
+            if self._created(f"{self.root}/claims/{number:012d}"):
+                return number
+            if after is not None:
+                raise ConcurrentPublish(f"publication {number} of {self.root} is taken, this run builds on {after}")
+
+    def _created(self, path: str) -> bool:
+        """Whether this call is the one that created a file."""
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if files.getScheme() == "file":
+            # The Hadoop client of local disks looks first and creates then; the system's own call does both in one.
+            files.mkdirs(place.getParent())
+            return jvm.java.io.File(files.makeQualified(place).toUri().getPath()).createNewFile()
+        try:
+            files.create(place, False).close()
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
 
     @property
     def _manifest_path(self) -> str:
@@ -115,10 +161,14 @@ class LayerStore:
         """Table name -> path of the latest published run of ``layer``."""
         return {name: line.path for name, line in self._latest(layer).items()}
 
+    def row_counts(self, layer: str) -> dict[str, int]:
+        """Table name -> rows of the latest published run of ``layer``."""
+        return {name: line.row_count for name, line in self._latest(layer).items()}
+
     def _latest(self, layer: str) -> dict[str, Row]:
         lines = self.manifest().filter(F.col("layer") == layer)
-        latest = lines.agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("run_id"))
-        return {r.table_name: r for r in lines.join(F.broadcast(latest), "run_id").select("table_name", "path", "table_schema").collect()}
+        latest = lines.agg(F.max("number").alias("number"))
+        return {r.table_name: r for r in lines.join(F.broadcast(latest), "number").select("table_name", "path", "table_schema", "row_count").collect()}
 
     def carried(self, layer: str, without: Sequence[str]) -> list[Staged]:
         """The current tables of ``layer`` less those named, to be published again, unread, beside tables that a run replaces."""
