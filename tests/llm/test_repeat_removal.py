@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tierstar.llm import queries
 from tierstar.llm.repeat_removal import LENGTH, anchors, remove_repeats, repeats_by_column
@@ -110,3 +111,11 @@ def test_repeated_rows_and_empty_table(spark):
     got = remove_repeats(docs).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, len(r.kept)) for r in got) == [(0, 0, 0), (1, 250, 0), (1, 250, 0)]
     assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_equal_rows_keep_their_runs_once(spark):
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(97, 123, 700)))
+    docs = spark.createDataFrame([(7, text)] * 2000 + [(8, "other " + text[:300])], "doc_id long, text string")
+    got = remove_repeats(docs).select("doc_id", "n_bytes", F.size("spans").alias("n"), F.length("kept").alias("kept")).groupBy("doc_id", "n_bytes", "n", "kept").count().collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n, r.kept, r["count"]) for r in got) == [(7, 700, 1, 0, 2000), (8, 306, 1, 6, 1)]

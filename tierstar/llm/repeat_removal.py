@@ -270,7 +270,8 @@ def _cut_out(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sorted_contexts: int = SORTED_CONTEXTS, collection: int = COLLECTION) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (maximal removed runs, start and end), kept (the remaining bytes)."""
     rows = numbered(docs, id_column, text_column)
-    runs = repeated_windows(rows, sorted_contexts, collection).groupBy("doc_id", "_fp").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    # Rows equal in id and text have the same runs: kept once, or each of them would get those of all.
+    runs = repeated_windows(rows, sorted_contexts, collection).groupBy("doc_id", "_fp").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     joined = rows.join(runs, same_row(rows, runs), "left").select(rows["doc_id"], F.col("_text").cast("binary").alias("_bytes"), "runs")
     has = F.col("runs").isNotNull()
     cut = joined.withColumn("_cut", _cut_out(F.when(has, F.col("_bytes")), F.col("runs")))
