@@ -74,3 +74,42 @@ def test_nulls_repeats_missing_labels(spark):
     assert len(got) == 4 and {r.rate for r in got if r.text is None} == {1.0}
     assert mixing.mix(docs, labels.limit(0), TARGETS).count() == 4
     assert mixing.mix(docs.limit(0), labels, TARGETS).count() == 0
+
+
+def test_targets_out_of_reach_end_soon_and_are_named(spark):
+    fields = "n_tokens long, p_clean double, p_toxic double, p_low double"
+    # All posteriors alike: one direction is open, and the nearest point on it is taken.
+    alike = spark.createDataFrame([(n, 0.5, 0.3, 0.2) for n in (10, 20, 30, 40)], fields)
+    weights = {"clean": 0.9, "toxic": 0.05, "low": 0.05}
+    pulls = mixing.fit_rates(alike, weights)
+    assert len(pulls) <= 3
+    target, p = np.array([90.0, 5.0, 5.0]), np.array([0.5, 0.3, 0.2])
+    pulls, left = mixing.settle(alike, pulls, target)
+    near = p * (p @ target) / (p @ p)
+    assert left == pytest.approx(np.abs(near - target).max() / 100, abs=1e-4)
+    rate = alike.select(F.sum(F.col("n_tokens") * mixing.rate_of(pulls))).first()[0]
+    assert rate == pytest.approx((p @ target) / (p @ p), rel=1e-3)
+    # The posteriors span all domains, but no nonnegative rates give this much of one.
+    rng = np.random.default_rng(3)
+    inside = rng.dirichlet([30, 30, 30], 200)
+    cone = spark.createDataFrame([(50, *map(float, q)) for q in inside], fields)
+    target = np.array([9000.0, 500.0, 500.0])
+    pulls, left = mixing.settle(cone, mixing.fit_rates(cone, weights), target)
+    got = cone.select(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}") * mixing.rate_of(pulls)) for d in mixing.DOMAINS]).first()
+    assert left > 0.05 and left == pytest.approx(np.abs(np.array(got) - target).max() / 10_000, rel=1e-6)
+
+
+def test_no_other_domain_takes_the_rest():
+    now = np.array([0.0, 6.0, 4.0])
+    assert mixing.targets(now, relative={"toxic": 0.5, "low": 0.5}).tolist() == pytest.approx([0, 6, 4])
+    assert mixing.targets(now, relative={"toxic": 0.0, "low": 0.0}).tolist() == pytest.approx([0, 6, 4])
+
+
+def test_an_id_gives_one_whole_text_to_the_fit(spark):
+    from tierstar.llm.common import labelled_texts
+
+    docs = spark.createDataFrame([(1, "a b")] * 500 + [(1, "c d"), (2, None), (3, "x" * 200), (4, "y" * 9), (None, "n")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 1), (9, 1)], "__id long, label int")
+    got = {r["__id"]: (r["label"], r["__text"]) for r in labelled_texts(docs, chosen, "label", 160).collect()}
+    assert set(got) == {1, 2, 4} and got[1][1] in ("a b", "c d") and got[2] == (0, "") and got[4] == (1, "y" * 9)
+    assert labelled_texts(docs, chosen, "label", 160).count() == 3

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierstar.sources.store import shared_folder
@@ -31,6 +31,19 @@ def numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("_text")).withColumn("_fp", F.xxhash64("_text"))
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame, by: str, chars: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Whole texts for fitting a classifier: __id, ``by``, __text of the labelled ids ``chosen`` (__id, ``by``; a bounded number).
+
+    An id gives one text, however many rows have it (the one with the smallest hash). Of each label texts are taken in the order of
+    their ids' hashes while they have ``chars`` characters or fewer together; texts of more than a sixteenth of that are left out. So what reaches the driver is bounded.
+    """
+    texts = docs.select(F.col(id_column).alias("__own"), text_of(text_column).alias("__text"))
+    found = texts.join(F.broadcast(chosen), F.col("__own") == F.col("__id")).groupBy("__id", by).agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    size = F.length("__text")
+    so_far = F.sum(size).over(Window.partitionBy(by).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id"))
+    return found.filter(size <= chars // 16).withColumn("__chars", so_far).filter(F.col("__chars") <= chars).drop("__chars")
+
+
 def same_row(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("doc_id", "_fp")) -> Column:
     condition = F.lit(True)
     for key in keys:

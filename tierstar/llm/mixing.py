@@ -1,12 +1,12 @@
 """Mixing sources to target weights with soft memberships.
 
 A softmax regression over hashed words, fitted on a bounded, hash-chosen sample of labelled rows
-(``per_domain`` of each), gives every document its domain posteriors. With a = tokens x posterior,
+(``per_domain`` of each, one text an id, ``TRAIN_CHARS`` characters together), gives every document its domain posteriors. With a = tokens x posterior,
 the nonnegative rates r of documents are fitted so that the expected tokens of each domain, the sum
 of r x a, meet their targets: projected gradient on the least squares error, measured in the
 metric of the domains' own Gram matrix, so that a step of 1 is safe. Each step is one pass over a
 table of tokens and posteriors; only sums by domain reach the driver. What these steps leave is closed by Newton steps on
-the documents whose rate stays above 0 (``settle``); targets that cannot be met give a warning with the error left. A document is then
+the documents whose rate stays above 0 (``settle``); targets that cannot be met give a warning, and the error left in every row. A document is then
 taken floor(rate + u) times, u being a fraction drawn from a hash of its id and text.
 
 Null and empty texts have no tokens, weigh nothing and keep the rate 1. Rows are scored one at a time;
@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.llm.common import stored, text_of
+from tierstar.llm.common import labelled_texts, stored, text_of
 from tierstar.llm.textarrays import Texts, blocks
 
 #: Domains by label: low quality, else toxic, else clean.
 DOMAINS = ("clean", "toxic", "low")
-#: Labelled documents of each domain used in training; words of each that are looked at there.
-PER_DOMAIN, TRAIN_WORDS = 3000, 4000
+#: Labelled documents of each domain used in training, and the characters they may have together.
+PER_DOMAIN, TRAIN_CHARS = 3000, 1 << 25
 BUCKETS = 1 << 18
 #: Share of all tokens by which a target may be missed without a warning.
 REACHED = 1e-5
@@ -104,7 +104,7 @@ def _buckets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         out = []
         for texts in blocks(batch):
             bucket, begin, _ = features(texts)
-            out += [bucket[i:j][:: max(1, -(-(j - i) // TRAIN_WORDS))].astype(np.int32) for i, j in zip(begin[:-1], begin[1:], strict=True)]
+            out += [bucket[i:j].astype(np.int32) for i, j in zip(begin[:-1], begin[1:], strict=True)]
         yield pa.array(out, pa.list_(pa.int32()))
 
 
@@ -120,7 +120,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     for d in sorted(counts):
         some = known.filter(F.col("__domain") == d).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(per_domain)
         chosen = some if chosen is None else chosen.union(some)
-    got = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("__id")).select("__domain", _buckets(text_of(text_column)).alias("b")).collect()
+    rows = labelled_texts(docs, chosen, "__domain", TRAIN_CHARS, id_column, text_column)
+    # In one order whatever task ends first, so that the same table gives the same classifier.
+    got = sorted(rows.select("__id", "__domain", _buckets(F.col("__text")).alias("b")).collect(), key=lambda r: str(r["__id"]))
     domain = np.array([r["__domain"] for r in got], int)
     if not len(got):
         return Softmax(np.zeros((BUCKETS, len(DOMAINS)), np.float32), np.log((share + 1) / (share + 1).sum()))
@@ -166,14 +168,20 @@ def targets(now: np.ndarray, weights: dict[str, float] | None = None, relative:
     if relative is not None:
         share = now / now.sum() * np.array([relative.get(d, 0.0) for d in DOMAINS])
         free = np.array([d not in relative for d in DOMAINS])
-        share[free] = (1 - share.sum()) * now[free] / now[free].sum()
+        if now[free].any():
+            share[free] = (1 - share.sum()) * now[free] / now[free].sum()
+        else:  # Nothing else can take what they give up or give what they take.
+            share = share / share.sum() if share.any() else now / now.sum()
     else:
         share = np.array([weights[d] for d in DOMAINS], float) / sum(weights.values())
     return share * now.sum()
 
 
 def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None, steps: int = 40, tolerance: float = 1e-7) -> list[np.ndarray]:
-    """At most ``steps`` plain gradient steps towards the targets, a number for each domain; ``settle`` does the rest."""
+    """At most ``steps`` plain gradient steps towards the targets, a number for each domain; ``settle`` does the rest.
+
+    The steps end when the error, measured in the metric, no longer shrinks: what is left then cannot be met by any rates.
+    """
     parts = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS]
     k = range(len(DOMAINS))
     gram = judged.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k], *[F.sum(parts[i]).alias(f"s{i}") for i in k]).first()
@@ -184,12 +192,16 @@ def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relati
     # A domain without tokens cannot be raised: the pseudo-inverse leaves it alone.
     metric = np.linalg.pinv(np.array([[gram[f"g{i}{j}"] for j in k] for i in k]), rcond=1e-9, hermitian=True)
     pulls: list[np.ndarray] = []
+    last = np.inf
     for _ in range(steps):
         rate = rate_of(pulls)
         got = judged.agg(*[F.sum(rate * parts[i]).alias(f"s{i}") for i in k]).first()
         error = np.array([got[f"s{i}"] for i in k]) - target
         pull = metric @ error
-        if np.abs(error).max() <= tolerance * now.sum() or not np.abs(pull).max():
+        if np.abs(error).max() <= tolerance * now.sum() or error @ pull > 0.999 * last:
+            break
+        last = error @ pull
+        if last <= 0:
             break
         pulls.append(pull)
     return pulls
@@ -199,28 +211,35 @@ def settle(judged: DataFrame, pulls: list[np.ndarray], target: np.ndarray, passe
     """One more pull, after which the expected tokens meet ``target``, and the largest error left, as a share of all tokens.
 
     Of all rates that meet the targets these are the nearest to the ones that ``pulls`` leave: max(0, rate - a x pull), with the
-    pull found by Newton steps on the dual, in the Gram matrix of the documents whose rate stays above 0. A small penalty on the pull
-    keeps it finite where the targets cannot be met; then an error is left.
+    pull found by Newton steps on the dual, in the Gram matrix of the documents whose rate stays above 0. Targets are first moved to the nearest
+    ones within what the posteriors span (one point if they are all alike); a small penalty keeps the pull finite where no
+    nonnegative rates meet these, and the steps end when the error has not shrunk by a hundredth for some passes. The error returned is that of the targets as given.
     """
     parts, k = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS], range(len(DOMAINS))
     started = stored(judged.select("n_tokens", *[f"p_{d}" for d in DOMAINS], rate_of(pulls).alias("__rate")))
 
+    def reachable(gram: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        return gram @ np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ wanted
+
     def look(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         rate = F.greatest(F.lit(0.0), F.col("__rate") - sum((parts[i] * F.lit(float(pull[i])) for i in k), F.lit(0.0)))
         live = started.withColumn("__now", rate).filter("__now > 0")
         sums = [F.sum(F.col("__now") * F.col("__now")).alias("r"), *[F.sum(F.col("__now") * parts[i]).alias(f"s{i}") for i in k]]
         got = live.agg(*sums, *[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k]).first()
-        error = np.array([got[f"s{i}"] or 0.0 for i in k]) - target
-        return (got["r"] or 0.0) / 2 + pull @ target, error, np.array([[got[f"g{i}{j}"] or 0.0 for j in k] for i in k])
+        error = np.array([got[f"s{i}"] or 0.0 for i in k]) - goal
+        return (got["r"] or 0.0) / 2 + pull @ goal, error, np.array([[got[f"g{i}{j}"] or 0.0 for j in k] for i in k])
 
     # The dual, value(pull) = sum of rate^2 / 2 + pull x target, is convex with the gradient -error.
     pull = np.zeros(len(DOMAINS))
+    whole = started.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k]).first()
+    goal = reachable(np.array([[whole[f"g{i}{j}"] or 0.0 for j in k] for i in k]), target)
     value, error, gram = look(pull)
     total = target.sum()
+    least, idle = np.abs(error).max(), 0
     penalty = 1e-9 * np.trace(gram) * np.eye(len(DOMAINS))
     for _ in range(passes):
         slope = penalty @ pull - error
-        if np.abs(error).max() <= tolerance * total or not np.abs(slope).max():
+        if np.abs(error).max() <= tolerance * total or not np.abs(slope).max() or idle >= 5:
             break
         move = -np.linalg.solve(gram + penalty + 1e-12 * np.trace(gram) * np.eye(len(DOMAINS)), slope)
         size, here = 1.0, value + pull @ penalty @ pull / 2
@@ -234,7 +253,8 @@ def settle(judged: DataFrame, pulls: list[np.ndarray], target: np.ndarray, passe
         pull, error, gram = ahead, next_error, next_gram
         if stuck:
             break
-    return [*pulls, pull], float(np.abs(error).max() / total)
+        least, idle = (np.abs(error).max(), 0) if np.abs(error).max() < 0.99 * least else (least, idle + 1)
+    return [*pulls, pull], float(np.abs(error + goal - target).max() / total)
 
 
 def copies_of(rate: Column, id_column: str, text_column: str) -> Column:
@@ -244,11 +264,14 @@ def copies_of(rate: Column, id_column: str, text_column: str) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All documents with all their columns and a struct ``mix``: n_tokens, p_* of each domain, rate, copies."""
+    """All documents with all their columns and a struct ``mix``: n_tokens, p_* of each domain, rate, copies, missed.
+
+    ``missed`` is the same in all rows: the largest error of a domain's expected tokens against its target, as a share of all tokens.
+    """
     names = docs.columns
     judged = docs.select(*[F.col(c) for c in names], memberships(docs, train(docs, labels, id_column, text_column), text_column).alias("__judged"))
     table = stored(judged.select("__judged.*"))
-    pulls = fit_rates(table, weights, relative)
+    pulls, left = fit_rates(table, weights, relative), 0.0
     sums = table.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]).first()
     if any(sums):
         pulls, left = settle(table, pulls, targets(np.array([sums[d] for d in DOMAINS]), weights, relative))
@@ -257,4 +280,4 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     rate = rate_of(pulls, lambda name: F.col("__judged")[name])
     out = judged.withColumn("__rate", rate).withColumn("__copies", copies_of(F.col("__rate"), id_column, text_column))
     fields = [F.col("__judged")[f].alias(f) for f in ("n_tokens", *[f"p_{d}" for d in DOMAINS])]
-    return out.select(*[F.col(c) for c in names], F.struct(*fields, F.col("__rate").alias("rate"), F.col("__copies").alias("copies")).alias("mix"))
+    return out.select(*[F.col(c) for c in names], F.struct(*fields, F.col("__rate").alias("rate"), F.col("__copies").alias("copies"), F.lit(left).alias("missed")).alias("mix"))

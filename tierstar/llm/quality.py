@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.llm.common import fold_of, text_of
+from tierstar.llm.common import fold_of, labelled_texts, text_of
 from tierstar.llm.textarrays import Texts, blocks
 
 PASSAGE_WORDS = 100
-#: Labelled documents of each class used in training, and passages of each that are looked at there.
-PER_CLASS, TRAIN_PASSAGES = 3000, 64
+#: Labelled documents of each class used in training, and the characters they may have together; all passages of these are used.
+PER_CLASS, TRAIN_CHARS = 3000, 1 << 26
 HIDDEN, GATE, HASHED = 24, 16, 32
 
 #: Byte classes: lower case, upper case, digits, space, line ends, each common mark, other marks, non-ASCII, control.
@@ -145,9 +145,7 @@ def _features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         out = []
         for texts in blocks(batch):
             features, begin = passages(texts)
-            for i, j in zip(begin[:-1], begin[1:], strict=True):
-                step = max(1, -(-(j - i) // TRAIN_PASSAGES))
-                out.append(features[i:j:step].tobytes())
+            out += [features[i:j].tobytes() for i, j in zip(begin[:-1], begin[1:], strict=True)]
         yield pa.array(out, pa.binary())
 
 
@@ -160,8 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str = "quality", id_
     for value in (0, 1):
         of_class = known.filter(F.col("label") == value).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(per_class)
         chosen = of_class if chosen is None else chosen.union(of_class)
-    rows = docs.join(F.broadcast(chosen.withColumnsRenamed({"doc_id": "__id", "label": "__label"})), F.col(id_column) == F.col("__id"))
-    got = rows.select(F.col("__label").alias("label"), _features(text_of(text_column)).alias("features")).collect()
+    rows = labelled_texts(docs, chosen.select(F.col("doc_id").alias("__id"), "label"), "label", TRAIN_CHARS, id_column, text_column)
+    # In one order whatever task ends first, so that the same table gives the same network.
+    got = sorted(rows.select("__id", "label", _features(F.col("__text")).alias("features")).collect(), key=lambda r: str(r["__id"]))
     y = np.array([r["label"] for r in got], np.float32)
     if len(set(y.tolist())) < 2:
         none = np.zeros(N_FEATURES, np.float32)
