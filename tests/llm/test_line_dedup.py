@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tierstar.llm import line_dedup
 from tierstar.llm.line_dedup import dedup_report, forest, matching, remove_later_lines
 
 FOLDER = "/root/testdata/sf0.001"
@@ -99,3 +100,19 @@ def test_repeated_rows_and_clashing_columns(spark):
     assert got == [(0, 0, 0), (1, 1, 0), (1, 1, 0), (2, 1, 0)]
     assert remove_later_lines(docs).columns == docs.columns
     assert dedup_report(docs.limit(0)).count() == 0
+
+
+def test_matching_in_slices_and_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(300) < rng.choice([0.02, 0.15, 0.4]), rng.integers(0, 1 << 62, 300, dtype=np.uint64), base)) for _ in range(60)]
+    left, right = np.arange(0, 40), np.arange(20, 60)
+    plain = [[i != j and 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])) for j in right] for i in left]
+    assert np.any(plain) and not np.all(plain)
+    for slice_words, block_words in ((1 << 20, 1 << 11), (700, 16), (1, 1)):
+        monkeypatch.setattr(line_dedup, "SLICE_WORDS", slice_words)
+        monkeypatch.setattr(line_dedup, "BLOCK_WORDS", block_words)
+        if slice_words == 1:
+            assert matching(sets[:6], np.arange(3), np.arange(2, 6)).tolist() == [[i != j and 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])) for j in range(2, 6)] for i in range(3)]
+        else:
+            assert matching(sets, left, right).tolist() == plain

@@ -37,6 +37,8 @@ from tierstar.llm.textarrays import Texts, blocks, mix
 FREQUENT = 1 << 17
 #: Lines of one word, or of one group, that are compared in one piece, and rows of a bucket of lists or groups.
 LIST_LINES, GROUP_LINES, BUCKET_ROWS = 40_000, 1_500, 150_000
+#: Words of a tile whose common ones are sought at once, and columns of a block of them.
+SLICE_WORDS, BLOCK_WORDS = 1 << 20, 1 << 11
 _OTHER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -199,28 +201,38 @@ def _wanted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def matching(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Which sets numbered ``left`` match which ones numbered ``right``: Jaccard of 4/5 or more, not the set itself."""
     sizes = np.array([len(s) for s in sets])
-    words, where = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    common = np.bincount(where) > 1
-    place = np.cumsum(common) - 1
-    here = common[where]
-    full = np.zeros((len(sets), int(common.sum())), np.float32)
-    full[owner[here], place[where[here]]] = 1
-    both = full[left] @ full[right].T
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    both = np.zeros((len(left), len(right)), np.float32)
+    # Words a slice at a time, those that occur twice in it in blocks of columns: memory does not grow with the length of lines.
+    slices = 1 + len(flat) // SLICE_WORDS
+    for part in range(slices):
+        mine = flat % np.uint64(slices) == part
+        _, where, n = np.unique(flat[mine], return_inverse=True, return_counts=True)
+        here = n[where] > 1
+        column, line = (np.cumsum(n > 1) - 1)[where[here]], owner[mine][here]
+        order = np.argsort(column, kind="stable")
+        column, line = column[order], line[order]
+        for first in range(0, int((n > 1).sum()), BLOCK_WORDS):
+            a, b = np.searchsorted(column, (first, first + BLOCK_WORDS))
+            full = np.zeros((len(sets), BLOCK_WORDS), np.float32)
+            full[line[a:b], column[a:b] - first] = 1
+            both += full[left] @ full[right].T
     return (9 * both >= 4 * (sizes[left][:, None] + sizes[right])) & (left[:, None] != right)
 
 
 def _verify(table: pa.Table) -> pa.Table:
     """Of every line in a tile of its group: how many lines it matches there, and the keys of the matches' classes as (first rank)."""
     one, two, group, low, high, own, first = (table.column(c).to_numpy() for c in ("one", "two", "component", "low", "high", "own", "rank"))
-    words = table.column("words").to_pylist()
+    words = table.column("words").combine_chunks()
+    place = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    data = np.frombuffer(words.buffers()[2], np.uint8) if place[-1] else np.zeros(0, np.uint8)
     order = np.lexsort((high, low, group))
     tile = np.stack([group[order], low[order], high[order]], 1)
     cut = np.append(np.flatnonzero(np.any(np.diff(tile, axis=0, prepend=tile[:1] - 1), axis=1)), len(order))
     ones, twos, links, firsts = [], [], [], []
     for i, j in zip(cut[:-1], cut[1:], strict=True):
         rows = order[i:j]
-        sets = [np.frombuffer(words[k], np.uint64) for k in rows]
+        sets = [data[place[k] : place[k + 1]].view(np.uint64) for k in rows]
         left, right = np.flatnonzero(own[rows] == low[rows[0]]), np.flatnonzero(own[rows] == high[rows[0]])
         if not len(left) or not len(right):
             continue
@@ -272,7 +284,9 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     own = F.pmod(F.xxhash64("one"), chunks).cast("int")
     tiles = full.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     tiles = tiles.select("component", "one", "two", "rank", "words", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    spread = max(1, chosen.count() // 1_000)
+    # Lines as often as tiles hold them.
+    held = chosen.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.ceil(F.col("n") / group_lines))).first()[0]
+    spread = max(1, int(held or 0) // 1_000)
     tiles = tiles.withColumn("bucket", F.pmod(F.xxhash64("component", "low", "high"), F.lit(spread)))
     verified = tiles.groupBy("bucket").applyInArrow(_verify, "one long, two long, links long, first long")
     links = verified.groupBy("one", "two").agg(F.sum("links").alias("links"), F.min("first").alias("rank"))
