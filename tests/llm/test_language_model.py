@@ -79,3 +79,31 @@ def test_nulls_and_empty_tables(spark):
     nothing = docs.limit(0)
     counts = lm.corpus_counts(nothing)
     assert [r.n_known for r in lm.score(docs, lm.train(nothing, counts), counts).collect()] == [0, 0, 0]
+
+
+def test_every_token_is_learned_from(spark):
+    """Only the order of the words behind the first 2000 differs, so all counts are equal: the network must not be."""
+    tails = ["aa bbbbbbb " * 600, "aa " * 600 + "bbbbbbb " * 600]
+    fitted = []
+    for tail in tails:
+        docs = spark.createDataFrame([(i, "c dddddd. " * 1500 + tail) for i in range(3)], "doc_id long, text string").coalesce(1)
+        fitted.append(lm.train(docs, lm.corpus_counts(docs).cache(), rounds=1, group_tokens=1 << 20))
+    one, other = fitted
+    assert one.train_tokens == other.train_tokens == 3 * (3000 + 1200 + 1)
+    assert np.abs(one.network.R - other.network.R).max() > 1e-3
+
+
+def test_groups_are_averaged_by_tokens(spark):
+    rng = np.random.default_rng(3)
+    learner = lm.Learner.begin(np.full(lm.N_CLASSES, 1 / lm.N_CLASSES))
+    groups = {0: [rng.integers(1, lm.N_CLASSES, n).astype(np.uint8) for n in (3, 700)], 1: [rng.integers(1, lm.N_CLASSES, 40).astype(np.uint8)]}
+    rows = [(0, g, bytearray(d.tobytes())) for g, some in groups.items() for d in some]
+    got = lm.averaged(learner, spark.createDataFrame(rows, "round long, group long, classes binary"), 0.0, 1.0)
+    wanted, tokens = 0.0, 0
+    for some in groups.values():
+        own, n = learner.filled(learner.flat()), sum(map(len, some))
+        own.learn(some)
+        wanted, tokens = wanted + own.flat() * n, tokens + n
+    assert got == pytest.approx(wanted / tokens, rel=1e-5, abs=1e-7)
+    nothing = spark.createDataFrame([], "round long, group long, classes binary")
+    assert (lm.averaged(learner, nothing, 0.0, 1.0) == learner.flat()).all()

@@ -31,8 +31,12 @@ from tierstar.llm.common import fold_of, stored, text_of
 from tierstar.llm.textarrays import Texts, blocks
 
 HOT_WORDS, OWN_CLASS = 1 << 19, 35
-SAMPLE_DOCS, SAMPLE_TOKENS = 3000, 2000
 HIDDEN, WINDOW = 32, 32
+#: Documents are learned from in ROUNDS parts, each in groups of about GROUP_TOKENS, in which ROWS run side by side.
+ROUNDS, GROUP_TOKENS, ROWS = 4, 1 << 20, 128
+RATE = 0.01
+#: Corpora of fewer training tokens are gone over again, up to MOST_PASSES times.
+LEAST_TOKENS, MOST_PASSES = 1 << 21, 4
 SPELLED = 12 + 5 * 4
 N_CLASSES = 1 + OWN_CLASS + SPELLED
 #: Rows of the output layer that are computed at a time.
@@ -102,65 +106,151 @@ class Network:
 
     def window_gradient(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], float]:
         """State after a window of (steps, rows) classes, gradients of the mean log loss of the live cells, and its sum."""
-        saved, states, start = [], [], h
-        for t in range(len(x)):
-            h, s = self.step(x[t], h)
-            saved.append(s)
-            states.append(h)
-        flat, target, on = np.concatenate(states), y.ravel(), live.ravel()
-        log_p = self.log_softmax(flat)
-        loss = -log_p[np.arange(len(target)), target][on].sum()
-        d = np.exp(log_p)
-        d[np.arange(len(target)), target] -= 1
-        d *= (on / max(1, on.sum())).astype(np.float32)[:, None]
-        g = {"O": flat.T @ d, "o": d.sum(0), "E": np.zeros_like(self.E), "R": np.zeros_like(self.R)}
-        dh_out = (d @ self.O.T).reshape(len(x), -1, HIDDEN)
-        dh = np.zeros_like(start)
-        for t in range(len(x) - 1, -1, -1):
-            xt, before, z, r, n, bn = saved[t]
-            dh = dh + dh_out[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * bn * r * (1 - r)
-            da = np.concatenate([dz, dr, dn], 1)
-            db = np.concatenate([dz, dr, dn * r], 1)
-            np.add.at(g["E"], xt, da)
-            g["R"] += before.T @ db
-            dh = dh * z + db @ self.R.T
+        steps, rows, kind = *x.shape, self.E.dtype
+        states, gates, new, back = (np.empty((steps + i, rows, k * HIDDEN), kind) for i, k in ((1, 1), (0, 2), (0, 1), (0, 1)))
+        states[0], given = h, self.E[x]
+        for t in range(steps):
+            b = states[t] @ self.R
+            zr, n, out = gates[t], new[t], states[t + 1]
+            np.add(given[t, :, : 2 * HIDDEN], b[:, : 2 * HIDDEN], out=zr)
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            back[t] = b[:, 2 * HIDDEN :]
+            np.multiply(zr[:, HIDDEN:], back[t], out=n)
+            n += given[t, :, 2 * HIDDEN :]
+            np.tanh(n, out=n)
+            np.subtract(states[t], n, out=out)
+            out *= zr[:, :HIDDEN]
+            out += n
+        flat, target, on = states[1:].reshape(-1, HIDDEN), y.ravel(), live.ravel()
+        cells = np.arange(len(target))
+        d = flat @ self.O
+        d += self.o
+        d -= d.max(1, keepdims=True)
+        hit = d[cells, target]
+        np.exp(d, out=d)
+        size = d @ np.ones(N_CLASSES, kind)
+        loss = (np.log(size) - hit)[on].sum()
+        weight = (on / max(1, on.sum())).astype(kind)
+        d *= (weight / size)[:, None]
+        d[cells, target] -= weight
+        dh_out = (d @ self.O.T).reshape(steps, rows, HIDDEN)
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        by_n, by_z, by_r = (1 - z) * (1 - new * new), (states[:-1] - new) * z * (1 - z), back * r * (1 - r)
+        dh = np.zeros_like(h)
+        da = np.empty((steps, rows, 3 * HIDDEN), kind)
+        db = np.empty_like(da)
+        to_before = np.ascontiguousarray(self.R.T)
+        for t in range(steps - 1, -1, -1):
+            dh += dh_out[t]
+            one, dn = da[t], dh * by_n[t]
+            np.multiply(dh, by_z[t], out=one[:, :HIDDEN])
+            np.multiply(dn, by_r[t], out=one[:, HIDDEN : 2 * HIDDEN])
+            one[:, 2 * HIDDEN :] = dn
+            db[t, :, : 2 * HIDDEN] = one[:, : 2 * HIDDEN]
+            np.multiply(dn, r[t], out=db[t, :, 2 * HIDDEN :])
+            dh = dh * z[t] + db[t] @ to_before
+        h = states[-1]
+        g = {"O": flat.T @ d, "o": np.ones(len(d), kind) @ d, "E": np.zeros_like(self.E), "R": states[:-1].reshape(-1, HIDDEN).T @ db.reshape(-1, 3 * HIDDEN)}
+        order = np.argsort(x, axis=None, kind="stable")
+        classes, first = np.unique(x.ravel()[order], return_index=True)
+        g["E"][classes] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], first)
         return h, g, loss
 
 
-def fit(share: np.ndarray, documents: list[np.ndarray], epochs: int = 2, rows: int = 64, rate: float = 0.01) -> Network:
-    """Truncated backpropagation over windows of WINDOW tokens; documents of like length run side by side."""
-    net = Network.drawn(share)
-    names = ("E", "R", "O", "o")
-    m, v = {k: np.zeros_like(getattr(net, k)) for k in names}, {k: np.zeros_like(getattr(net, k)) for k in names}
-    documents = sorted((d for d in documents if len(d)), key=len)
-    groups = [documents[i : i + rows] for i in range(0, len(documents), rows)]
-    rng, step = np.random.default_rng(2), 0
-    total = max(1, epochs * sum(-(-len(g[-1]) // WINDOW) for g in groups))
-    for _ in range(epochs):
-        for k in rng.permutation(len(groups)):
-            group = groups[k]
-            long = len(group[-1])
-            y = np.zeros((long, len(group)), np.int64)
-            live = np.zeros((long, len(group)), bool)
-            for j, d in enumerate(group):
-                y[: len(d), j], live[: len(d), j] = d, True
-            x = np.vstack([np.zeros((1, len(group)), np.int64), y[:-1]])
+NAMES = ("E", "R", "O", "o")
+
+
+@dataclass
+class Learner:
+    """A network in the making, with the moments of its gradients (Adam) and the steps taken."""
+
+    network: Network
+    first: dict[str, np.ndarray]
+    second: dict[str, np.ndarray]
+    steps: float = 0.0
+
+    @staticmethod
+    def begin(share: np.ndarray) -> Learner:
+        net = Network.drawn(share)
+        return Learner(net, *({k: np.zeros_like(getattr(net, k)) for k in NAMES} for _ in range(2)))
+
+    def flat(self) -> np.ndarray:
+        """All its numbers in one row, so that learners can be averaged."""
+        parts = [[getattr(self.network, k) for k in NAMES], self.first.values(), self.second.values(), [np.array(self.steps)]]
+        return np.concatenate([np.ravel(a).astype(float) for part in parts for a in part])
+
+    def filled(self, numbers: np.ndarray) -> Learner:
+        """A learner of the same shapes made of such a row."""
+        shapes = [getattr(self.network, k).shape for k in NAMES] * 3
+        cuts = np.cumsum([int(np.prod(s)) for s in shapes])
+        arrays = [a.reshape(s).astype(np.float32) for a, s in zip(np.split(numbers[:-1], cuts[:-1]), shapes, strict=True)]
+        n = len(NAMES)
+        return Learner(Network(*arrays[:n]), dict(zip(NAMES, arrays[n : 2 * n])), dict(zip(NAMES, arrays[2 * n :])), float(numbers[-1]))
+
+    def move(self, g: dict[str, np.ndarray], rate: float) -> None:
+        size = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
+        self.steps += 1
+        for k in NAMES:
+            a, m, v = g[k] * min(1.0, 1.0 / (size + 1e-9)), self.first[k], self.second[k]
+            m += np.float32(0.1) * (a - m)
+            v += np.float32(0.001) * (a * a - v)
+            getattr(self.network, k)[...] -= (rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-8)).astype(np.float32)
+
+    def learn(self, documents: list[np.ndarray], done: float = 0.0, share: float = 1.0, rows: int = ROWS) -> None:
+        """One pass over whole documents, each with its end: windows of WINDOW tokens, documents of like length side by side.
+
+        ``done`` of all learning lies behind and these documents are ``share`` of it; the rate falls by nine tenths over the whole.
+        """
+        # Equal lengths in the order of their tokens: the same documents give the same network in whatever order they come.
+        documents = sorted((d for d in documents if len(d)), key=lambda d: (len(d), d.tobytes()))
+        groups = [documents[i : i + rows] for i in range(0, len(documents), rows)]
+        total, seen = max(1, sum(len(d) for d in documents)), 0
+        for k in np.random.default_rng(2).permutation(len(groups)):
+            group = groups[k][::-1]
+            sizes = np.array([len(d) for d in group])
             h = np.zeros((len(group), HIDDEN), np.float32)
-            for at in range(0, long, WINDOW):
-                cut = slice(at, at + WINDOW)
-                h, g, _ = net.window_gradient(x[cut], y[cut], live[cut], h)
-                size = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
-                step += 1
-                now = rate * (1 - 0.9 * step / total)
-                for name in names:
-                    a = g[name] * min(1.0, 1.0 / (size + 1e-9))
-                    m[name] = 0.9 * m[name] + 0.1 * a
-                    v[name] = 0.999 * v[name] + 0.001 * a * a
-                    getattr(net, name)[...] -= now * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.999**step)) + 1e-8)
-    return net
+            for at in range(0, sizes[0], WINDOW):
+                n = int(np.searchsorted(-sizes, -at, "left"))  # those longer than at
+                long = min(WINDOW, int(sizes[0]) - at)
+                y, x = np.zeros((2, long, n), np.int64)
+                live = np.arange(at, at + long)[:, None] < sizes[:n]
+                for j in range(n):
+                    own = group[j][at : at + long]
+                    y[: len(own), j] = own
+                    x[1:, j] = y[:-1, j]
+                    x[0, j] = group[j][at - 1] if at else 0
+                h, g, _ = self.network.window_gradient(x, y, live, h[:n])
+                self.move(g, RATE * (1 - 0.9 * (done + share * seen / total)))
+                seen += int(live.sum())
+
+
+def fit(share: np.ndarray, sequences: DataFrame, rounds: int = ROUNDS, passes: int = 1) -> Network:
+    """The network fitted on all rows of ``sequences`` (stored: round, group, classes as bytes), each learned from in every pass."""
+    learner = Learner.begin(share)
+    for k in range(passes * rounds):
+        learner = learner.filled(averaged(learner, sequences.filter(F.col("round") == k % rounds), k / (passes * rounds), 1 / (passes * rounds)))
+    return learner.network
+
+
+def averaged(learner: Learner, sequences: DataFrame, done: float, share: float) -> np.ndarray:
+    """What ``learner`` becomes in each group, averaged over groups by their tokens. One number a place reaches the driver, however many groups there are."""
+    start = learner.flat()
+
+    def learned(table: pa.Table) -> pa.Table:
+        own = learner.filled(start)
+        documents = [np.frombuffer(c.as_buffer(), np.uint8) for c in table["classes"].combine_chunks()]
+        own.learn(documents, done, share)
+        n = float(sum(len(d) for d in documents))
+        return pa.table({"place": pa.array(np.arange(len(start), dtype=np.int32)), "weighted": pa.array(own.flat() * n), "tokens": pa.array(np.full(len(start), n))})
+
+    each = sequences.groupBy("group").applyInArrow(learned, "place int, weighted double, tokens double")
+    got = each.groupBy("place").agg((F.sum("weighted") / F.sum("tokens")).alias("x")).toArrow()
+    out = start.copy()  # a round without documents leaves it as it is
+    out[got["place"].to_numpy()] = got["x"].to_numpy()
+    return out
 
 
 @dataclass
@@ -219,7 +309,7 @@ def corpus_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return rows.groupBy("hash").agg(F.min("class").alias("class"), F.sum("n").alias("n"))
 
 
-def train(training: DataFrame, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot_words: int = HOT_WORDS, sample_docs: int = SAMPLE_DOCS, sample_tokens: int = SAMPLE_TOKENS) -> Model:
+def train(training: DataFrame, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot_words: int = HOT_WORDS, rounds: int = ROUNDS, group_tokens: int = GROUP_TOKENS) -> Model:
     """The model of ``training`` documents, ``counts`` being their stored corpus_counts."""
     n_docs = training.count()
     hot = counts.orderBy(F.desc("n"), "hash").limit(hot_words).toArrow()
@@ -244,7 +334,6 @@ def train(training: DataFrame, counts: DataFrame, id_column: str = "doc_id", tex
     model = Model(Network.drawn(share), hashes[order], classes[order], np.log10(hot_counts[order] + 0.5), sizes, float(np.log10(total + 0.5 * (distinct + 1))), total, n_docs)
     if not n_docs:
         return model
-    part = F.xxhash64(F.lit("sample"), F.col(id_column).cast("string")).bitwiseAND(F.lit((1 << 30) - 1)) < int(min(1.0, sample_docs / n_docs) * (1 << 30))
     shared = training.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("binary")
@@ -253,11 +342,15 @@ def train(training: DataFrame, counts: DataFrame, id_column: str = "doc_id", tex
             out = []
             for texts in blocks(batch):
                 cls, _, _, _, first = shared.value.look_up(texts)
-                out += [cls[i:j].astype(np.uint8).tobytes()[:sample_tokens] + (b"\0" if j - i <= sample_tokens else b"") for i, j in zip(first[:-1], first[1:], strict=True)]
+                out += [cls[i:j].astype(np.uint8).tobytes() + b"\0" for i, j in zip(first[:-1], first[1:], strict=True)]
             yield pa.array(out, pa.binary())
 
-    got = training.filter(part).select(class_sequence(text_of(text_column)).alias("c")).collect()
-    model.network = fit(share, [np.frombuffer(r["c"], np.uint8).astype(np.int64) for r in got])
+    # Dealt by row, so that copies of a document do not meet in one group.
+    row = F.xxhash64(F.col(id_column).cast("string"), F.monotonically_increasing_id())
+    groups = max(1, round(total / rounds / group_tokens))
+    passes = min(MOST_PASSES, -(-LEAST_TOKENS // total))
+    dealt = training.select(class_sequence(text_of(text_column)).alias("classes"), F.pmod(row, F.lit(rounds * groups)).alias("at"))
+    model.network = fit(share, stored(dealt.select((F.col("at") % rounds).alias("round"), F.floor(F.col("at") / rounds).alias("group"), "classes")), rounds, passes)
     return model
 
 
