@@ -43,9 +43,9 @@ def dense_key(df: DataFrame, by: Sequence[str], name: str, digits: int = 3) -> D
 def position_key(written: DataFrame, name: str) -> DataFrame:
     """Number the rows of a written Parquet table 1..n by file and position in it.
 
-    Use it on a table that will not be rewritten. File names come from the rows themselves, so none
-    reaches the driver; the table of where each file starts has one row per file and is joined
-    as Spark sees fit: broadcast if small, else by a shuffle whose large files adaptive execution splits.
+    Use it on a table that will not be rewritten. File names come from the rows themselves. The table of where
+    each file starts has one row per file, a few hundred bytes, and is sent to every task: joined by a shuffle, the rows of a
+    file would meet in one task, which would sort them all.
     """
     placed = written.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,7 +54,19 @@ def position_key(written: DataFrame, name: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    return placed.join(starts, "_file").select((F.col("_start") + F.col("_row") + 1).cast("long").alias(name), *written.columns)
+    return placed.join(F.broadcast(starts), "_file").select((F.col("_start") + F.col("_row") + 1).cast("long").alias(name), *written.columns)
+
+
+def key_range(keyed: DataFrame, name: str) -> DataFrame:
+    """One row: row_count, first_key, last_key and key_count, the number of different keys, of whole-number keys.
+
+    Different keys are counted as bits of 64-bit words, one group per word: of dense keys a task holds a group for 64 rows, not for each.
+    """
+    key = F.col(name).cast("long")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(`{name}`, 64) as int))")
+    words = keyed.groupBy(F.shiftright(key, 6).alias("_word")).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("low"), F.max(name).alias("high"), F.bit_or(bit).alias("bits"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return words.agg(count("n").alias("row_count"), F.min("low").alias("first_key"), F.max("high").alias("last_key"), count(F.bit_count("bits")).alias("key_count"))
 
 
 def resolve_key(rows: DataFrame, dimension: DataFrame, business_key: str, surrogate_key: str, how: str = "inner") -> DataFrame:
