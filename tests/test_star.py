@@ -126,3 +126,15 @@ def test_result_does_not_depend_on_partitioning(spark):
     for name in first:
         assert first[name].exceptAll(second[name]).isEmpty(), name
         assert second[name].exceptAll(first[name]).isEmpty(), name
+
+
+def test_gate_of_the_query_reads_stored_tables(spark):
+    """The fact is built once, not for each of the two times that the gate reads it."""
+    import __spark_entry__ as entry
+    from standins import Given
+
+    from tierstar.plans import gold
+
+    gate = entry.QUERIES["gold_gate"](Given(spark, "/root/testdata/sf0.001"))
+    assert "Join" not in gate._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(gate.collect()) == sorted(gold.gate(entry._star(Given(spark, "/root/testdata/sf0.001"))).collect())
