@@ -132,3 +132,21 @@ def test_history_in_any_order_of_arrival(spark):
             found, kept = (df.cache() for df in apply_changes(found, kept, points(spark, *lots[k]), "k", ["v"]))
         assert rows(found.select("k", "v", "valid_from", "valid_to", "is_current"), "k", "valid_from") == want
         assert kept.count() == 7
+
+
+def test_kept_parts_are_computed_once_and_change_nothing(spark):
+    kept = partials.Measures("k", ("x",), "m")
+    of = lambda some: spark.createDataFrame(some, "k int, m string, x int").withColumn("x", F.col("x").cast("decimal(12,2)"))
+    before = of([(1, "a", 1), (1, "a", 2), (1, "b", None), (2, "c", 4), (None, "d", 5)])
+    gone, came = of([(1, "a", 1), (2, "c", 4), (None, "d", 5)]), of([(1, "e", 7), (3, "a", 8), (None, None, 9)])
+    seen = {}
+
+    def keep(name, df):
+        seen[name] = seen.get(name, 0) + 1
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    state = partials.start(before, kept)
+    one, other = partials.advance(state, gone, came, kept), partials.advance(state, gone, came, kept, keep)
+    assert seen == {"changed": 1, "paired": 1, "delta": 1}
+    for a, b in ((one.totals, other.totals), (one.members, other.members)):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))

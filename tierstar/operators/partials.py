@@ -8,7 +8,7 @@ state may be stored, read back and advanced by any later run.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -78,26 +78,28 @@ def _counted(lines: Column, what: str) -> Column:
     return F.when(lines < 0, F.raise_error(F.lit(f"more rows of a {what} left than its state holds")).cast("long")).otherwise(lines)
 
 
-def advance(state: State, gone: DataFrame, came: DataFrame, kept: Measures) -> State:
+def advance(state: State, gone: DataFrame, came: DataFrame, kept: Measures, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> State:
     """The state after some rows went and some came, from these rows and the states of their keys alone.
 
     Give every row that changed in both tables, as it was and as it is. Keys without rows leave the state.
+    ``keep`` stores what several results are made of (by name), aggregated already; without it each computes it anew.
     """
     rows = signed(gone, came)
     delta = _totals(rows, kept)
     if kept.member is not None:
-        changed = _members(rows, kept).withColumnRenamed("lines", "_change")
+        changed = keep("changed", _members(rows, kept).withColumnRenamed("lines", "_change"))
         still, touched = _split(state.members, changed, [kept.key, kept.member])
         was = touched.withColumnsRenamed({kept.key: "_k", kept.member: "_m", "lines": "_was"})
         paired = changed.join(was, F.col(kept.key).eqNullSafe(F.col("_k")) & (F.col(kept.member) == F.col("_m")), "left")
         before = F.coalesce("_was", F.lit(0))
         after = _counted(before + F.col("_change"), f"{kept.member} of a {kept.key}")
-        paired = paired.select(kept.key, kept.member, after.alias("lines"), ((before + F.col("_change") > 0).cast("long") - (before > 0).cast("long")).alias("members"))
+        paired = keep("paired", paired.select(kept.key, kept.member, after.alias("lines"), ((before + F.col("_change") > 0).cast("long") - (before > 0).cast("long")).alias("members")))
         members = union_all([still.select(kept.key, kept.member, "lines"), paired.filter(F.col("lines") > 0).select(kept.key, kept.member, "lines")])
         step = paired.groupBy(F.col(kept.key).alias("_k")).agg(F.sum("members").alias("members"))
         delta = delta.join(step, F.col(kept.key).eqNullSafe(F.col("_k")), "left").drop("_k").withColumn("members", F.coalesce("members", F.lit(0).cast("long")))
     else:
         members = None
+    delta = keep("delta", delta)
     columns = state.totals.columns
     still, touched = _split(state.totals, delta, [kept.key])
     added = union_all([touched.select(*columns), delta.select(*columns)]).groupBy(kept.key)

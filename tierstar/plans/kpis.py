@@ -76,7 +76,8 @@ def refresh_kpis(store: LayerStore, run: RunInfo, gone: DataFrame, came: DataFra
     star, states = store.read("gold") | {t.name: t.df for t in replaced}, store.read(LAYER)
     staged = []
     for name, kept in KPIS.items():
-        state = partials.advance(State(states[f"{name}_totals"], states.get(f"{name}_members")), gone, came, kept)
+        keep = lambda part, df, name=name: store.stage(run, "scratch", f"{name}_{part}", df).df
+        state = partials.advance(State(states[f"{name}_totals"], states.get(f"{name}_members")), gone, came, kept, keep)
         staged += _stage(store, run, name, state, star)
     fresh = [*replaced, *[t for t in staged if t.name in KPIS]]
     store.publish_layers(run, {LAYER: staged, "gold": [*fresh, *store.carried("gold", [t.name for t in fresh])]}, after=seen)
