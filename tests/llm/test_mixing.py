@@ -113,3 +113,15 @@ def test_an_id_gives_one_whole_text_to_the_fit(spark):
     got = {r["__id"]: (r["label"], r["__text"]) for r in labelled_texts(docs, chosen, "label", 160).collect()}
     assert set(got) == {1, 2, 4} and got[1][1] in ("a b", "c d") and got[2] == (0, "") and got[4] == (1, "y" * 9)
     assert labelled_texts(docs, chosen, "label", 160).count() == 3
+
+
+def test_features_reach_the_driver_as_arrays(spark, monkeypatch):
+    """Four bytes a feature: as rows of Python numbers they took the driver's memory. Ids keep their order, labels their rows."""
+    docs = spark.createDataFrame([(i, f"w{i} common " + "x " * i) for i in (11, 2, 30, 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(11, 1, 0), (2, 0, 0), (30, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = []
+    monkeypatch.setattr(mixing, "fit", lambda documents, domain, weight: got.append((documents, domain)) or "fitted")
+    assert mixing.train(docs, labels) == "fitted"
+    documents, domain = got[0]
+    assert [d.dtype for d in documents] == [np.int32] * 4 and domain.tolist() == [0, 0, 2, 1]  # by id as text: 1, 11, 2, 30
+    assert [len(d) for d in documents] == [5] * 4

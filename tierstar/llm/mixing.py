@@ -73,7 +73,7 @@ def fit(documents: list[np.ndarray], domain: np.ndarray, weight: np.ndarray, epo
     share = np.array([weight[domain == d].sum() for d in range(k)]) / weight.sum()
     often = np.bincount(np.concatenate(documents), minlength=BUCKETS)
     used = np.flatnonzero(often >= least)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     rows = [(p := place[d])[p >= 0] for d in documents]
     w, bias = np.zeros((len(used) + 1, k)), np.log(share + 1e-9)
@@ -122,13 +122,16 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         chosen = some if chosen is None else chosen.union(some)
     rows = labelled_texts(docs, chosen, "__domain", TRAIN_CHARS, id_column, text_column)
     # In one order whatever task ends first, so that the same table gives the same classifier.
-    got = sorted(rows.select("__id", "__domain", _buckets(F.col("__text")).alias("b")).collect(), key=lambda r: str(r["__id"]))
-    domain = np.array([r["__domain"] for r in got], int)
+    # As Arrow arrays, four bytes a bucket: rows of Python numbers would take ten times that of the driver's memory.
+    table = rows.select("__id", "__domain", _buckets(F.col("__text")).alias("b")).toArrow().combine_chunks()
+    got = sorted(range(len(table)), key=lambda i, ids=table["__id"].to_pylist(): str(ids[i]))
+    domain = table["__domain"].to_numpy()[got].astype(int)
     if not len(got):
         return Softmax(np.zeros((BUCKETS, len(DOMAINS)), np.float32), np.log((share + 1) / (share + 1).sum()))
     seen = np.bincount(domain, minlength=len(DOMAINS))
     weight = (share / share.sum() / np.maximum(1, seen) * len(got))[domain]
-    return fit([np.asarray(r["b"]) for r in got], domain, weight)
+    buckets = table["b"].combine_chunks()
+    return fit([buckets[i].values.to_numpy() for i in got], domain, weight)
 
 
 def memberships(docs: DataFrame, model: Softmax, text_column: str = "text") -> Column:
