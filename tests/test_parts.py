@@ -76,3 +76,21 @@ def test_rows_are_observed_in_the_write(spark, tmp_path):
     empty, lines, least = store.stage_observed(RunInfo(), "silver", "e", df.limit(0), rules, ["v"])
     assert empty.row_count == 0 and least == {"v": None} and rows(lines.select("passed")) == [(True,), (True,)]
     assert empty.df.count() == 0
+
+
+def test_whole_rows_move_once_for_a_unique_rule_and_its_references(spark):
+    df = table(spark, k=pa.array([1, 1, 2, 3, None, 4], pa.int64()), line=pa.array([1, 1, 1, 1, 1, None], pa.int32()), v=["wide"] * 6)
+    parents = {"parents": table(spark, id=pa.array([1, 2, 4], pa.int64())), "texts": table(spark, id=["1", "3", "4"])}
+    unique = [quality.Unique(2, "key", "t", ("k", "line"))]
+    references = [quality.Reference(3, "parent", "t", "k", "parents", "id"), quality.Reference(5, "text", "t", "k", "texts", "id", True)]
+    tagged = quarantine.tag(df, [], unique, references, parents)
+    assert rows(tagged.select("k", "broken"), "k", "line") == [(None, [3]), (1, [2]), (1, [2]), (2, [5]), (3, [3]), (4, [])]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = quarantine.tag(df, [], unique, references, parents)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    # One join of whole rows, by the unique key; the references are asked for keys.
+    assert sum("LeftOuter" in line for line in joins) == 1 and all("LeftOuter" in line or "LeftAnti" in line or "LeftSemi" in line for line in joins)
