@@ -11,7 +11,11 @@ from tierstar.operators.aggregates import amount_or_zero
 
 
 def order_line_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Every order line with the names its keys stand for."""
+    """Every order line with the names its keys stand for.
+
+    Each shuffle carries what was joined before it, so short names are joined first, and the calendar, which is small enough
+    to be sent to every task, last.
+    """
     dates = star["dim_date"].select(
         F.col("date_key").alias("order_date_key"),
         F.col("full_date").alias("order_date"),
@@ -21,10 +25,10 @@ def order_line_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
     )
     return (
         star["fact_orders"]
-        .join(dates, "order_date_key")
-        .join(star["dim_customers"], "customer_key")
         .join(star["dim_products"], "product_key")
         .join(star["dim_sellers"], "seller_key")
+        .join(star["dim_customers"], "customer_key")
+        .join(dates, "order_date_key")
         .select(
             "order_id",
             "order_item_id",
