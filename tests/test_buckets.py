@@ -70,3 +70,18 @@ def test_null_and_frequent_keys_stay_beside(spark, tmp_path):
     assert got["none"].light.count() == got["none"].beside.count() == 0
     log = {r.table_name: r.row_count for r in store.manifest().collect()}
     assert (log["a"], log["a_beside"], log["b"], log["b_beside"]) == (1, 5, 2, 1)
+
+
+def test_marked_rows_are_stored_once_beyond_few_frequent_keys(spark, tmp_path, monkeypatch):
+    a = spark.createDataFrame([("x", 1), ("x", 2), ("x", 3), ("y", 4), (None, 5)], "k string, v int")
+    found = {}
+    for limit in (0, 1):
+        monkeypatch.setattr("tierstar.sources.buckets.FEW_FREQUENT", limit)
+        store, run = LayerStore(spark, str(tmp_path / str(limit))), RunInfo()
+        store.publish(run, "silver", stage_buckets(store, run, "silver", {"a": a}, "k", 2, 2))
+        got = read_buckets(store, "silver", "k")["a"]
+        assert got.light.columns == got.beside.columns == ["k", "v"]
+        marked = tmp_path / str(limit) / "scratch" / "runs" / run.run_id / "silver_a_marked"
+        found[limit] = (rows(got.light), rows(got.beside, "v"), marked.exists())
+    assert found[0] == ([("y", 4)], [("x", 1), ("x", 2), ("x", 3), (None, 5)], True)
+    assert found[1] == (*found[0][:2], False)

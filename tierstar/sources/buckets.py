@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tierstar.operators.aggregates import union_all
 from tierstar.sources.store import LayerStore, RunInfo, Staged
 
+#: Up to so many frequent keys a table is read once more for the rows beside its buckets instead of being stored marked.
+FEW_FREQUENT = 100_000
 #: Ending of the name of the table that holds the rows kept beside the buckets.
 BESIDE = "_beside"
 BUCKETS = "buckets"
@@ -48,12 +50,16 @@ def stage_buckets(
     """Write tables of one key that are to be joined on it: each in ``buckets`` files, and its frequent keys beside them.
 
     Choose ``buckets`` so that a bucket of the largest table fits a task (some 128 MB); all tables must have the same number.
+    Beyond a few frequent keys, which are joined by a shuffle, rows are marked by one join, stored, and parted from there.
     """
-    frequent = store.stage(run, "scratch", f"{layer}_frequent_{key}", frequent_keys(tables, key, rows_per_key)).df
+    frequent = store.stage(run, "scratch", f"{layer}_frequent_{key}", frequent_keys(tables, key, rows_per_key))
+    marks = frequent.df.withColumn("_frequent", F.lit(True))
     staged = []
     for name, df in tables.items():
-        known = df.filter(F.col(key).isNotNull())
-        light = known.join(frequent, key, "left_anti")
+        marked = df.filter(F.col(key).isNotNull()).join(marks, key, "left")
+        if frequent.row_count > FEW_FREQUENT:
+            marked = store.stage(run, "scratch", f"{layer}_{name}_marked", marked).df
+        light = marked.filter(F.col("_frequent").isNull())
         columns = [F.col(c).alias(c, metadata={BUCKETS: buckets}) if c == key else F.col(c) for c in df.columns]
         path = f"{store.root}/{layer}/runs/{run.run_id}/{name}"
         # Dealt as the buckets are, so that every bucket is one file.
@@ -61,8 +67,8 @@ def stage_buckets(
         writer.option("path", path).saveAsTable(_catalog_name(path))
         written = store.spark.table(_catalog_name(path))
         staged.append(Staged(name, path, written.count(), written))
-        beside = known.join(frequent, key, "left_semi").unionByName(df.filter(F.col(key).isNull()))
-        staged.append(store.stage(run, layer, name + BESIDE, beside.select(*df.columns)))
+        beside = marked.filter("_frequent").select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
+        staged.append(store.stage(run, layer, name + BESIDE, beside))
     return staged
 
 
