@@ -79,10 +79,10 @@ def test_unions_and_counts(spark):
     assert rows(row_counts({"a": a, "b": b}), "table_name") == [("a", 3), ("b", 2)]
 
 
-def test_line_view_carries_short_names_first(star):
+def test_line_view_keeps_orders_together_and_joins_the_calendar_last(star):
     from tierstar.plans import views
 
     plan = views.order_line_metrics(star)._jdf.queryExecution().optimizedPlan().toString()
     keys = [next(k for k in ("order_date_key", "customer_key", "product_key", "seller_key") if k in line) for line in plan.splitlines() if "Join Inner" in line]
     # From the last join down.
-    assert keys == ["order_date_key", "customer_key", "seller_key", "product_key"]
+    assert keys == ["order_date_key", "seller_key", "product_key", "customer_key"]
