@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -119,3 +120,17 @@ def test_equal_rows_keep_their_runs_once(spark):
     docs = spark.createDataFrame([(7, text)] * 2000 + [(8, "other " + text[:300])], "doc_id long, text string")
     got = remove_repeats(docs).select("doc_id", "n_bytes", F.size("spans").alias("n"), F.length("kept").alias("kept")).groupBy("doc_id", "n_bytes", "n", "kept").count().collect()
     assert sorted((r.doc_id, r.n_bytes, r.n, r.kept, r["count"]) for r in got) == [(7, 700, 1, 0, 2000), (8, 306, 1, 6, 1)]
+
+
+def test_texts_are_shuffled_once(spark, hard_texts, tmp_path):
+    """Also with anchors whose windows are compared by fingerprints."""
+    spark.createDataFrame([(i, t) for i, t in enumerate(hard_texts)], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = remove_repeats(spark.read.parquet(str(tmp_path / "docs")), sorted_contexts=2)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(re.findall(r"FileScan parquet \[doc_id#\d+L?,text#", plan)) == 1 and "ReusedExchange" in plan

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstar.llm.common import numbered, same_row, stored
+from tierstar.llm.common import same_row, stored, text_of
 from tierstar.llm.textarrays import BLOCK_BYTES, Texts, blocks, prefix_hash, range_hash
 
 LENGTH, ANCHOR = 200, 40
@@ -44,6 +44,9 @@ BEFORE = LENGTH - ANCHOR
 WIDTH = BEFORE + LENGTH
 #: Different contexts of one anchor that are sorted together, and contexts of a collection.
 SORTED_CONTEXTS, COLLECTION = 16_384, 20_000
+#: Columns that tell a row. The id has a name of its own: where the optimizer drops its renaming in one branch of a query only, Spark takes the
+#: branches for different ones and shuffles all texts for each.
+KEYS = ("_id", "_fp")
 _CODES = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -127,7 +130,7 @@ def _place_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for row, anchor, context, at, _, _, first, last in anchors(batch.column(2)):
             row = pa.array(row)
             numbers = [pa.array(x.astype(np.int64) if x.dtype != np.uint64 else x.view(np.int64)) for x in (anchor, context, at, first, last)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *numbers], ["doc_id", "_fp", "anchor", "context", "at", "first", "last"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *numbers], ["_id", "_fp", "anchor", "context", "at", "first", "last"])
 
 
 def repeats_by_column(contexts: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -176,7 +179,7 @@ def _sort_collection(table: pa.Table) -> pa.Table:
     place = at[:, None] - BEFORE + np.arange(found.shape[1])
     row, low, high = _runs(found & single[:, None] & (place >= first[:, None]) & (place <= last[:, None]))
     take = pa.array(row)
-    return pa.table({"doc_id": table.column("doc_id").take(take), "_fp": table.column("_fp").take(take), "first": at[row] - BEFORE + low, "last": at[row] - BEFORE + high})
+    return pa.table({"_id": table.column("_id").take(take), "_fp": table.column("_fp").take(take), "first": at[row] - BEFORE + low, "last": at[row] - BEFORE + high})
 
 
 def _window_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,23 +195,23 @@ def _window_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 one.append(int.from_bytes(digest[:8], "little", signed=True))
                 two.append(int.from_bytes(digest[8:], "little", signed=True))
         take = pa.array(row, pa.int64())
-        kept = [batch.column(c).take(take) for c in ("doc_id", "_fp", "single")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(place, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["doc_id", "_fp", "single", "first", "one", "two"])
+        kept = [batch.column(c).take(take) for c in ("_id", "_fp", "single")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(place, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["_id", "_fp", "single", "first", "one", "two"])
 
 
 def repeated_windows(rows: DataFrame, sorted_contexts: int = SORTED_CONTEXTS, collection: int = COLLECTION) -> DataFrame:
-    """Runs of repeated windows of ``rows`` (doc_id, _text, _fp): doc_id, _fp, first, last (places where windows start)."""
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+    """Runs of repeated windows of ``rows`` (_id, _text, _fp): _id, _fp, first, last (places where windows start)."""
+    id_type = rows.schema["_id"].dataType.simpleString()
     counted = rows.select("_text").mapInArrow(_count_anchors, "anchor long, context long")
     counts = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
     shared = counts.filter(F.col("n") > 1).select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
-    placed = rows.select("doc_id", "_fp", "_text").mapInArrow(_place_anchors, f"doc_id {id_type}, _fp long, anchor long, context long, at long, first long, last long")
+    placed = rows.select("_id", "_fp", "_text").mapInArrow(_place_anchors, f"_id {id_type}, _fp long, anchor long, context long, at long, first long, last long")
     found = stored(placed.join(shared, "anchor"))
-    span = ["doc_id", "_fp", "first", "last"]
+    span = ["_id", "_fp", "first", "last"]
     alike = found.filter(~F.col("mixed")).select(*span)
 
     mixed = found.filter("mixed")
-    one = F.struct("doc_id", "_fp", "at", "first", "last")
+    one = F.struct("_id", "_fp", "at", "first", "last")
     kinds = stored(mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")))
     many = kinds.filter(F.col("n") > 1).select("anchor", "context")
     copied = mixed.join(many, ["anchor", "context"], "left_semi").select(*span)
@@ -220,24 +223,24 @@ def repeated_windows(rows: DataFrame, sorted_contexts: int = SORTED_CONTEXTS, co
         kinds = stored(kinds.join(large.withColumn("large", F.lit(True)), "anchor", "left"))
     else:
         kinds = kinds.withColumn("large", F.lit(None).cast("boolean"))
-    wanted = kinds.select("one.doc_id", "one._fp", F.struct("anchor", (F.col("n") == 1).alias("single"), "large", "one.at", "one.first", "one.last").alias("c"))
-    wanted = wanted.groupBy("doc_id", "_fp").agg(F.collect_list("c").alias("cs"))
+    wanted = kinds.select("one._id", "one._fp", F.struct("anchor", (F.col("n") == 1).alias("single"), "large", "one.at", "one.first", "one.last").alias("c"))
+    wanted = wanted.groupBy("_id", "_fp").agg(F.collect_list("c").alias("cs"))
     # Rows equal in id and text stand for each other: one of them gives the bytes.
-    with_bytes = rows.join(wanted, same_row(rows, wanted)).select(rows["doc_id"], rows["_fp"], F.col("_text").cast("binary").alias("bytes"), "cs")
+    with_bytes = rows.join(wanted, same_row(rows, wanted, KEYS)).select(rows["_id"], rows["_fp"], F.col("_text").cast("binary").alias("bytes"), "cs")
     begin = lambda c: F.greatest(c["at"] - BEFORE, F.lit(0))
     cut = F.transform("cs", lambda c: F.struct(c.alias("c"), F.substring(F.col("bytes"), (begin(c) + 1).cast("int"), (c["at"] + LENGTH - begin(c)).cast("int")).alias("bytes")))
-    each = with_bytes.select("doc_id", "_fp", F.explode(cut).alias("x")).select("doc_id", "_fp", "x.c.*", "x.bytes")
+    each = with_bytes.select("_id", "_fp", F.explode(cut).alias("x")).select("_id", "_fp", "x.c.*", "x.bytes")
     contexts = each.withColumn("left", F.least(F.col("at"), F.lit(BEFORE)))
     buckets = max(1, -(-n_kinds // collection))
     small = contexts.filter(F.col("large").isNull()).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    sorted_runs = small.groupBy("bucket").applyInArrow(_sort_collection, f"doc_id {id_type}, _fp long, first long, last long")
+    sorted_runs = small.groupBy("bucket").applyInArrow(_sort_collection, f"_id {id_type}, _fp long, first long, last long")
     parts = [alike, copied, sorted_runs]
     if n_large:
-        # Not stored: in one query with the rest, the documents are shuffled once for all that needs them.
-        prints = contexts.filter("large").select("doc_id", "_fp", "single", "at", "first", "last", "left", "bytes")
-        prints = prints.mapInArrow(_window_prints, f"doc_id {id_type}, _fp long, single boolean, first long, one long, two long")
+        # Not stored: in one query with the rest, the documents are shuffled once for all that needs them (see KEYS).
+        prints = contexts.filter("large").select("_id", "_fp", "single", "at", "first", "last", "left", "bytes")
+        prints = prints.mapInArrow(_window_prints, f"_id {id_type}, _fp long, single boolean, first long, one long, two long")
         again = prints.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("one", "two")
-        parts.append(prints.filter("single").join(again, ["one", "two"], "left_semi").select("doc_id", "_fp", "first", F.col("first").alias("last")))
+        parts.append(prints.filter("single").join(again, ["one", "two"], "left_semi").select("_id", "_fp", "first", F.col("first").alias("last")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -269,11 +272,11 @@ def _cut_out(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sorted_contexts: int = SORTED_CONTEXTS, collection: int = COLLECTION) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (maximal removed runs, start and end), kept (the remaining bytes)."""
-    rows = numbered(docs, id_column, text_column)
+    rows = docs.select(F.col(id_column).alias("_id"), text_of(text_column).alias("_text")).withColumn("_fp", F.xxhash64("_text"))
     # Rows equal in id and text have the same runs: kept once, or each of them would get those of all.
-    runs = repeated_windows(rows, sorted_contexts, collection).groupBy("doc_id", "_fp").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    joined = rows.join(runs, same_row(rows, runs), "left").select(rows["doc_id"], F.col("_text").cast("binary").alias("_bytes"), "runs")
+    runs = repeated_windows(rows, sorted_contexts, collection).groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    joined = rows.join(runs, same_row(rows, runs, KEYS), "left").select(rows["_id"], F.col("_text").cast("binary").alias("_bytes"), "runs")
     has = F.col("runs").isNotNull()
     cut = joined.withColumn("_cut", _cut_out(F.when(has, F.col("_bytes")), F.col("runs")))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return cut.select("doc_id", F.length("_bytes").cast("long").alias("n_bytes"), F.coalesce("_cut.spans", empty).alias("spans"), F.when(has, F.col("_cut.kept")).otherwise(F.col("_bytes")).alias("kept"))
+    return cut.select(F.col("_id").alias("doc_id"), F.length("_bytes").cast("long").alias("n_bytes"), F.coalesce("_cut.spans", empty).alias("spans"), F.when(has, F.col("_cut.kept")).otherwise(F.col("_bytes")).alias("kept"))
