@@ -1,4 +1,5 @@
 import re
+import resource
 from collections import Counter
 from zlib import crc32
 
@@ -107,3 +108,26 @@ def test_groups_are_averaged_by_tokens(spark):
     assert got == pytest.approx(wanted / tokens, rel=1e-5, abs=1e-7)
     nothing = spark.createDataFrame([], "round long, group long, classes binary")
     assert (lm.averaged(learner, nothing, 0.0, 1.0) == learner.flat()).all()
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(3)
+    few_leads = np.uint64(5) << np.uint64(60)
+    for hashes in (np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64)), np.unique(rng.integers(0, 300, 100, dtype=np.uint64) | few_leads), np.array([2**64 - 1], np.uint64)):
+        asked = np.concatenate([hashes, rng.integers(0, 1 << 64, 500, dtype=np.uint64), rng.integers(0, 300, 200, dtype=np.uint64) | few_leads, np.array([0, 2**64 - 1], np.uint64)])
+        place, there = lm.places(hashes, lm.begins(hashes), asked)
+        assert there.tolist() == np.isin(asked, hashes).tolist()
+        assert (hashes[place[there]] == asked[there]).all() and place.max() < len(hashes)
+
+
+def test_learning_keeps_its_memory():
+    """Temporaries are not handed back to the system between the windows, which would clear their pages each time."""
+    net = lm.Network.drawn(np.full(lm.N_CLASSES, 1 / lm.N_CLASSES))
+    x = np.random.default_rng(1).integers(0, lm.N_CLASSES, (lm.WINDOW, lm.ROWS))
+    learn = lambda n: [net.window_gradient(x, x, x >= 0, np.zeros((lm.ROWS, lm.HIDDEN), np.float32)) for _ in range(n)] and None
+    for _ in range(5):
+        learn(1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    for _ in range(20):
+        learn(1)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 20 * 200

@@ -138,7 +138,13 @@ class Network:
         d[cells, target] -= weight
         dh_out = (d @ self.O.T).reshape(steps, rows, HIDDEN)
         z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-        by_n, by_z, by_r = (1 - z) * (1 - new * new), (states[:-1] - new) * z * (1 - z), back * r * (1 - r)
+        # (1 - z) * (1 - new * new), (states[:-1] - new) * z * (1 - z), back * r * (1 - r)
+        by_n, by_z, by_r, rest = new * new, states[:-1] - new, back * r, 1 - z
+        np.subtract(1, by_n, out=by_n)
+        by_n *= rest
+        by_z *= z
+        by_z *= rest
+        by_r *= np.subtract(1, r, out=rest)
         dh = np.zeros_like(h)
         da = np.empty((steps, rows, 3 * HIDDEN), kind)
         db = np.empty_like(da)
@@ -151,7 +157,8 @@ class Network:
             one[:, 2 * HIDDEN :] = dn
             db[t, :, : 2 * HIDDEN] = one[:, : 2 * HIDDEN]
             np.multiply(dn, r[t], out=db[t, :, 2 * HIDDEN :])
-            dh = dh * z[t] + db[t] @ to_before
+            dh *= z[t]
+            dh += db[t] @ to_before
         h = states[-1]
         g = {"O": flat.T @ d, "o": np.ones(len(d), kind) @ d, "E": np.zeros_like(self.E), "R": states[:-1].reshape(-1, HIDDEN).T @ db.reshape(-1, 3 * HIDDEN)}
         order = np.argsort(x, axis=None, kind="stable")
@@ -253,6 +260,33 @@ def averaged(learner: Learner, sequences: DataFrame, done: float, share: float)
     return out
 
 
+#: Leading bits of a hash by which its place among the hot words is looked up.
+LEADING = 19
+
+
+def begins(hashes: np.ndarray) -> np.ndarray:
+    """Where, in hashes in order, those of each LEADING bits begin (and the end)."""
+    return np.searchsorted(hashes >> np.uint64(64 - LEADING), np.arange((1 << LEADING) + 1, dtype=np.uint64)).astype(np.int32)
+
+
+def places(hashes: np.ndarray, begin: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``hashes`` (different ones, in order) hold each of ``h``, and whether they do; any place where not.
+
+    Hashes of the same leading bits are few, so a word is found in one or two looks instead of a search through all.
+    """
+    lead = (h >> np.uint64(64 - LEADING)).astype(np.int64)
+    place, end = begin[lead], begin[lead + 1]
+    there = np.zeros(len(h), bool)
+    left = np.flatnonzero(place < end)
+    while len(left):
+        hit = hashes[place[left]] == h[left]
+        there[left[hit]] = True
+        left = left[~hit]
+        place[left] += 1
+        left = left[place[left] < end[left]]
+    return np.minimum(place, len(hashes) - 1), there
+
+
 @dataclass
 class Model:
     """The network, hot words (hashes in order, their classes and log10(count + 0.5)), and log10 sizes of classes and corpus."""
@@ -266,14 +300,16 @@ class Model:
     train_tokens: int
     train_docs: int
 
+    def __post_init__(self) -> None:
+        self.begins = begins(self.hashes)
+
     def look_up(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Classes and hashes of all words, places in the hot table, which are there, and the first word of each text."""
         starts, ends, first = texts.words()
         h = texts.word_hashes(starts, ends)
         if not len(self.hashes):
             return spelling(texts, starts, ends), h, np.zeros(len(h), int), np.zeros(len(h), bool), first
-        place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        there = self.hashes[place] == h
+        place, there = places(self.hashes, self.begins, h)
         return np.where(there, self.classes[place], spelling(texts, starts, ends)), h, place, there, first
 
     def class_log10(self, documents: list[np.ndarray]) -> np.ndarray:

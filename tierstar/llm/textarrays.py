@@ -24,6 +24,12 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _CODES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)[_LOWER]
 _LIBC = ctypes.CDLL(None)
+#: Bytes of an array that is taken from the heap, and of free heap that is kept. With less, temporaries of a megabyte are handed back
+#: to the system and asked for again at every step, which then clears their pages each time.
+HEAP_ARRAY, HEAP_KEPT = 4 << 20, 32 << 20
+if hasattr(_LIBC, "mallopt"):
+    _LIBC.mallopt(-3, HEAP_ARRAY)  # M_MMAP_THRESHOLD
+    _LIBC.mallopt(-1, HEAP_KEPT)  # M_TRIM_THRESHOLD
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
