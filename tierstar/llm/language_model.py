@@ -39,8 +39,8 @@ RATE = 0.01
 LEAST_TOKENS, MOST_PASSES = 1 << 21, 4
 SPELLED = 12 + 5 * 4
 N_CLASSES = 1 + OWN_CLASS + SPELLED
-#: Rows of the output layer that are computed at a time.
-OUTPUT_ROWS = 16_384
+#: Documents that are scored side by side, and rows of the output layer that are computed at a time.
+SIDE_BY_SIDE, OUTPUT_ROWS = 512, 2_048
 
 
 def spelling(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -92,38 +92,52 @@ class Network:
         draw = lambda *s: (rng.standard_normal(s) * 0.3 / np.sqrt(HIDDEN) * 3).astype(np.float32)
         return Network(draw(N_CLASSES, 3 * HIDDEN), draw(HIDDEN, 3 * HIDDEN), draw(HIDDEN, N_CLASSES), np.log(share + 1e-6).astype(np.float32))
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def step(self, x: np.ndarray, h: np.ndarray) -> np.ndarray:
         a, b = self.E[x], h @ self.R
-        zr = 1 / (1 + np.exp(-(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])))
+        zr = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * b[:, 2 * HIDDEN :])
-        return n + z * (h - n), (x, h, z, r, n, b[:, 2 * HIDDEN :])
-
-    def log_softmax(self, h: np.ndarray) -> np.ndarray:
-        y = h @ self.O + self.o
-        y -= y.max(1, keepdims=True)
-        return y - np.log(np.exp(y).sum(1, keepdims=True))
+        n = r * b[:, 2 * HIDDEN :]
+        n += a[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return out
+
+    def log_softmax(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The log probability of class y[i] in state h[i]."""
+        d = h @ self.O
+        d += self.o
+        d -= d.max(1, keepdims=True)
+        hit = d[np.arange(len(y)), y]
+        np.exp(d, out=d)
+        return hit - np.log(d.sum(1))
 
     def window_gradient(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], float]:
         """State after a window of (steps, rows) classes, gradients of the mean log loss of the live cells, and its sum."""
         steps, rows, kind = *x.shape, self.E.dtype
-        states, gates, new, back = (np.empty((steps + i, rows, k * HIDDEN), kind) for i, k in ((1, 1), (0, 2), (0, 1), (0, 1)))
-        states[0], given = h, self.E[x]
+        states, gates, new, given_back = (np.empty((steps + i, rows, k * HIDDEN), kind) for i, k in ((1, 1), (0, 2), (0, 1), (0, 3)))
+        # The gates' weights with the other sign, which their exponential takes.
+        sign = np.repeat(np.array([-1, 1], kind), (2 * HIDDEN, HIDDEN))
+        states[0], given, recurrent = h, (self.E * sign)[x], self.R * sign
         for t in range(steps):
-            b = states[t] @ self.R
+            b = np.matmul(states[t], recurrent, out=given_back[t])
             zr, n, out = gates[t], new[t], states[t + 1]
             np.add(given[t, :, : 2 * HIDDEN], b[:, : 2 * HIDDEN], out=zr)
-            np.negative(zr, out=zr)
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            back[t] = b[:, 2 * HIDDEN :]
-            np.multiply(zr[:, HIDDEN:], back[t], out=n)
+            np.multiply(zr[:, HIDDEN:], b[:, 2 * HIDDEN :], out=n)
             n += given[t, :, 2 * HIDDEN :]
             np.tanh(n, out=n)
             np.subtract(states[t], n, out=out)
             out *= zr[:, :HIDDEN]
             out += n
+        back = given_back[:, :, 2 * HIDDEN :]
         flat, target, on = states[1:].reshape(-1, HIDDEN), y.ravel(), live.ravel()
         cells = np.arange(len(target))
         d = flat @ self.O
@@ -146,24 +160,25 @@ class Network:
         by_z *= rest
         by_r *= np.subtract(1, r, out=rest)
         dh = np.zeros_like(h)
-        da = np.empty((steps, rows, 3 * HIDDEN), kind)
-        db = np.empty_like(da)
+        db = np.empty((steps, rows, 3 * HIDDEN), kind)
+        dn = np.empty_like(new)
         to_before = np.ascontiguousarray(self.R.T)
         for t in range(steps - 1, -1, -1):
             dh += dh_out[t]
-            one, dn = da[t], dh * by_n[t]
+            one, own = db[t], np.multiply(dh, by_n[t], out=dn[t])
             np.multiply(dh, by_z[t], out=one[:, :HIDDEN])
-            np.multiply(dn, by_r[t], out=one[:, HIDDEN : 2 * HIDDEN])
-            one[:, 2 * HIDDEN :] = dn
-            db[t, :, : 2 * HIDDEN] = one[:, : 2 * HIDDEN]
-            np.multiply(dn, r[t], out=db[t, :, 2 * HIDDEN :])
+            np.multiply(own, by_r[t], out=one[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(own, r[t], out=one[:, 2 * HIDDEN :])
             dh *= z[t]
-            dh += db[t] @ to_before
+            dh += one @ to_before
         h = states[-1]
         g = {"O": flat.T @ d, "o": np.ones(len(d), kind) @ d, "E": np.zeros_like(self.E), "R": states[:-1].reshape(-1, HIDDEN).T @ db.reshape(-1, 3 * HIDDEN)}
-        order = np.argsort(x, axis=None, kind="stable")
-        classes, first = np.unique(x.ravel()[order], return_index=True)
-        g["E"][classes] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], first)
+        # What is given differs from what comes back in the new state only.
+        da = db
+        da[:, :, 2 * HIDDEN :] = dn
+        order = np.argsort(x.astype(np.uint8), axis=None, kind="stable")
+        n = np.bincount(x.ravel(), minlength=N_CLASSES)
+        g["E"][n > 0] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], (np.cumsum(n) - n)[n > 0])
         return h, g, loss
 
 
@@ -218,17 +233,14 @@ class Learner:
         for k in np.random.default_rng(2).permutation(len(groups)):
             group = groups[k][::-1]
             sizes = np.array([len(d) for d in group])
+            flat, begin = np.concatenate(group), np.cumsum(sizes) - sizes
             h = np.zeros((len(group), HIDDEN), np.float32)
             for at in range(0, sizes[0], WINDOW):
                 n = int(np.searchsorted(-sizes, -at, "left"))  # those longer than at
-                long = min(WINDOW, int(sizes[0]) - at)
-                y, x = np.zeros((2, long, n), np.int64)
-                live = np.arange(at, at + long)[:, None] < sizes[:n]
-                for j in range(n):
-                    own = group[j][at : at + long]
-                    y[: len(own), j] = own
-                    x[1:, j] = y[:-1, j]
-                    x[0, j] = group[j][at - 1] if at else 0
+                steps = np.arange(at, min(at + WINDOW, int(sizes[0])))[:, None]
+                live = steps < sizes[:n]
+                y = flat[np.minimum(begin[:n] + steps, len(flat) - 1)].astype(np.int64) * live
+                x = np.concatenate([flat[begin[:n] + at - 1][None].astype(np.int64) * (at > 0), y[:-1]])
                 h, g, _ = self.network.window_gradient(x, y, live, h[:n])
                 self.move(g, RATE * (1 - 0.9 * (done + share * seen / total)))
                 seen += int(live.sum())
@@ -313,30 +325,36 @@ class Model:
         return np.where(there, self.classes[place], spelling(texts, starts, ends)), h, place, there, first
 
     def class_log10(self, documents: list[np.ndarray]) -> np.ndarray:
-        """log10 P of the class sequences, each with its end token; all documents run side by side."""
+        """log10 P of the class sequences, each with its end token."""
         order = np.argsort([-len(d) for d in documents], kind="stable")
-        sizes = np.array([len(documents[i]) for i in order])
+        back = np.empty(len(order))
+        # As many side by side as the processor's cache holds, of like length.
+        for i in range(0, len(order), SIDE_BY_SIDE):
+            own = order[i : i + SIDE_BY_SIDE]
+            back[own] = self._side_by_side([documents[k] for k in own]) / np.log(10)
+        return back
+
+    def _side_by_side(self, documents: list[np.ndarray]) -> np.ndarray:
+        """log P of class sequences, from long to short."""
+        sizes = np.array([len(d) for d in documents])
         begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        flat = np.concatenate([documents[i] for i in order])
-        out = np.zeros(len(order))
-        h = np.zeros((len(order), HIDDEN), np.float32)
+        flat = np.concatenate(documents)
+        out = np.zeros(len(documents))
+        h = np.zeros((len(documents), HIDDEN), np.float32)
         kept, targets, live, held = [], [], [], 0
         for t in range(sizes[0]):
             n = int(np.searchsorted(-sizes, -t, "left"))  # those longer than t
             x = flat[begin[:n] + t - 1] if t else np.zeros(n, np.int64)
-            h = self.network.step(x, h[:n])[0]
+            h = self.network.step(x, h[:n])
             kept.append(h)
             targets.append(flat[begin[:n] + t])
             live.append(n)
             held += n
             if held >= OUTPUT_ROWS or t == sizes[0] - 1:
-                y = np.concatenate(targets)
-                p = self.network.log_softmax(np.concatenate(kept))[np.arange(len(y)), y].astype(float)
+                p = self.network.log_softmax(np.concatenate(kept), np.concatenate(targets)).astype(float)
                 out[: live[0]] += np.bincount(np.concatenate([np.arange(k) for k in live]), p, live[0])
                 kept, targets, live, held = [], [], [], 0
-        back = np.empty(len(order))
-        back[order] = out / np.log(10)
-        return back
+        return out
 
 
 def corpus_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
