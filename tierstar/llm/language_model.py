@@ -278,7 +278,7 @@ LEADING = 19
 
 def begins(hashes: np.ndarray) -> np.ndarray:
     """Where, in hashes in order, those of each LEADING bits begin (and the end)."""
-    return np.searchsorted(hashes >> np.uint64(64 - LEADING), np.arange((1 << LEADING) + 1, dtype=np.uint64)).astype(np.int32)
+    return np.searchsorted(np.asarray(hashes, np.uint64) >> np.uint64(64 - LEADING), np.arange((1 << LEADING) + 1, dtype=np.uint64)).astype(np.int32)
 
 
 def places(hashes: np.ndarray, begin: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
