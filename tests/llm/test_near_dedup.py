@@ -125,3 +125,16 @@ def test_contracted_components(spark, shape):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.component for r in contracted_components(df).collect()}
     assert got == {r.node: r.component for r in components(df).collect()} and (shape != "path" or set(got.values()) == {0})
+
+
+def test_components_compute_their_edges_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long").mapInArrow(counted, "a long, b long")
+    assert {r.node: r.component for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7}
+    assert seen.value == 3

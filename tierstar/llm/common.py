@@ -74,7 +74,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Each round every node takes the smallest label among its neighbours and itself, then the label
     of that label. Rounds end when nothing changes; only counts reach the driver.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    # One row made two, not a union, for which Spark would compute the edges twice.
+    either = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stored(edges.select(F.explode(either).alias("_edge")).select("_edge.a", "_edge.b").distinct())
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
     for _ in range(max_rounds):
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low"))
