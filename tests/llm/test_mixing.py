@@ -125,3 +125,20 @@ def test_features_reach_the_driver_as_arrays(spark, monkeypatch):
     documents, domain = got[0]
     assert [d.dtype for d in documents] == [np.int32] * 4 and domain.tolist() == [0, 0, 2, 1]  # by id as text: 1, 11, 2, 30
     assert [len(d) for d in documents] == [5] * 4
+
+
+def test_steps_are_one_plan_whatever_their_numbers(spark):
+    """Numbers of a step inside Spark's expressions made other code for the driver to compile, for each step."""
+    from tierstar.llm.common import stored
+
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([2, 1, 1], 300)
+    n = rng.integers(1, 900, 300)
+    judged = spark.createDataFrame([(int(m), *map(float, q)) for m, q in zip(n, p, strict=True)], "n_tokens long, p_clean double, p_toxic double, p_low double")
+    judged = stored(judged.coalesce(1))
+    generated = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_GENERATED_CLASS_BYTECODE_SIZE()
+    pulls = mixing.fit_rates(judged, TARGETS, steps=2)
+    before = generated.getCount()
+    more = mixing.fit_rates(judged, TARGETS, steps=9)
+    assert len(pulls) == 2 < len(more) == 9 and np.array_equal(more[:2], pulls)
+    assert generated.getCount() == before

@@ -180,26 +180,51 @@ def targets(now: np.ndarray, weights: dict[str, float] | None = None, relative:
     return share * now.sum()
 
 
+def _summed(judged: DataFrame, pulls: list[np.ndarray], started: bool = False) -> tuple[float, np.ndarray, np.ndarray]:
+    """Of rows whose rate is above 0 after ``pulls``: half the sum of squared rates, the expected tokens by domain, and the Gram matrix.
+
+    Rates begin at 1, or at the column __rate. They are worked out in tasks, in the arithmetic of ``rate_of``: as expressions of Spark the numbers of a
+    step would be part of its generated code, so that the driver would compile other code for every step.
+    """
+    k = range(len(DOMAINS))
+    names = ["r", *[f"s{i}" for i in k], *[f"g{i}{j}" for i in k for j in k]]
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, *p = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(1 + len(DOMAINS)))
+            parts = np.stack([n * x for x in p])
+            rate = batch.column(1 + len(DOMAINS)).to_numpy(zero_copy_only=False) if started else np.ones(len(n))
+            for pull in pulls:
+                down = np.zeros(len(n))
+                for part, x in zip(parts, pull, strict=True):
+                    down = down + part * x
+                rate = np.maximum(0.0, rate - down)
+            parts, rate = parts[:, rate > 0], rate[rate > 0]
+            out = [(rate * rate).sum() / 2, *(rate * parts).sum(1), *[(parts[i] * parts[j]).sum() for i in k for j in k]]
+            yield pa.RecordBatch.from_arrays([pa.array([float(x)]) for x in out], names)
+
+    columns = ["n_tokens", *[f"p_{d}" for d in DOMAINS], *["__rate"] * started]
+    by_batch = judged.select(*columns).mapInArrow(summed, ", ".join(f"{c} double" for c in names))
+    got = by_batch.agg(*[F.sum(c).alias(c) for c in names]).first()
+    sums = np.array([got[c] or 0.0 for c in names])
+    return float(sums[0]), sums[1 : 1 + len(DOMAINS)], sums[1 + len(DOMAINS) :].reshape(len(DOMAINS), -1)
+
+
 def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relative: dict[str, float] | None = None, steps: int = 40, tolerance: float = 1e-7) -> list[np.ndarray]:
     """At most ``steps`` plain gradient steps towards the targets, a number for each domain; ``settle`` does the rest.
 
     The steps end when the error, measured in the metric, no longer shrinks: what is left then cannot be met by any rates.
     """
-    parts = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS]
-    k = range(len(DOMAINS))
-    gram = judged.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k], *[F.sum(parts[i]).alias(f"s{i}") for i in k]).first()
-    now = np.array([gram[f"s{i}"] or 0.0 for i in k])
+    _, now, gram = _summed(judged, [])
     if not now.sum():
         return []
     target = targets(now, weights, relative)
     # A domain without tokens cannot be raised: the pseudo-inverse leaves it alone.
-    metric = np.linalg.pinv(np.array([[gram[f"g{i}{j}"] for j in k] for i in k]), rcond=1e-9, hermitian=True)
+    metric = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     pulls: list[np.ndarray] = []
-    last = np.inf
+    last, reached = np.inf, now
     for _ in range(steps):
-        rate = rate_of(pulls)
-        got = judged.agg(*[F.sum(rate * parts[i]).alias(f"s{i}") for i in k]).first()
-        error = np.array([got[f"s{i}"] for i in k]) - target
+        error = reached - target
         pull = metric @ error
         if np.abs(error).max() <= tolerance * now.sum() or error @ pull > 0.999 * last:
             break
@@ -207,6 +232,7 @@ def fit_rates(judged: DataFrame, weights: dict[str, float] | None = None, relati
         if last <= 0:
             break
         pulls.append(pull)
+        reached = _summed(judged, pulls)[1]
     return pulls
 
 
@@ -218,24 +244,18 @@ def settle(judged: DataFrame, pulls: list[np.ndarray], target: np.ndarray, passe
     ones within what the posteriors span (one point if they are all alike); a small penalty keeps the pull finite where no
     nonnegative rates meet these, and the steps end when the error has not shrunk by a hundredth for some passes. The error returned is that of the targets as given.
     """
-    parts, k = [F.col("n_tokens") * F.col(f"p_{d}") for d in DOMAINS], range(len(DOMAINS))
     started = stored(judged.select("n_tokens", *[f"p_{d}" for d in DOMAINS], rate_of(pulls).alias("__rate")))
 
     def reachable(gram: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         return gram @ np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ wanted
 
     def look(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        rate = F.greatest(F.lit(0.0), F.col("__rate") - sum((parts[i] * F.lit(float(pull[i])) for i in k), F.lit(0.0)))
-        live = started.withColumn("__now", rate).filter("__now > 0")
-        sums = [F.sum(F.col("__now") * F.col("__now")).alias("r"), *[F.sum(F.col("__now") * parts[i]).alias(f"s{i}") for i in k]]
-        got = live.agg(*sums, *[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k]).first()
-        error = np.array([got[f"s{i}"] or 0.0 for i in k]) - goal
-        return (got["r"] or 0.0) / 2 + pull @ goal, error, np.array([[got[f"g{i}{j}"] or 0.0 for j in k] for i in k])
+        half, sums, gram = _summed(started, [pull], started=True)
+        return half + pull @ goal, sums - goal, gram
 
     # The dual, value(pull) = sum of rate^2 / 2 + pull x target, is convex with the gradient -error.
     pull = np.zeros(len(DOMAINS))
-    whole = started.agg(*[F.sum(parts[i] * parts[j]).alias(f"g{i}{j}") for i in k for j in k]).first()
-    goal = reachable(np.array([[whole[f"g{i}{j}"] or 0.0 for j in k] for i in k]), target)
+    goal = reachable(_summed(judged, [])[2], target)
     value, error, gram = look(pull)
     total = target.sum()
     least, idle = np.abs(error).max(), 0
@@ -275,9 +295,9 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     judged = docs.select(*[F.col(c) for c in names], memberships(docs, train(docs, labels, id_column, text_column), text_column).alias("__judged"))
     table = stored(judged.select("__judged.*"))
     pulls, left = fit_rates(table, weights, relative), 0.0
-    sums = table.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]).first()
-    if any(sums):
-        pulls, left = settle(table, pulls, targets(np.array([sums[d] for d in DOMAINS]), weights, relative))
+    now = _summed(table, [])[1]
+    if now.any():
+        pulls, left = settle(table, pulls, targets(now, weights, relative))
         if left > REACHED:
             warnings.warn(f"mixing: targets are missed by up to {left:.6f} of all tokens", stacklevel=2)
     rate = rate_of(pulls, lambda name: F.col("__judged")[name])
