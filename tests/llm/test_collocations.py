@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -77,6 +78,40 @@ def test_nothing_frequent_and_empty_tables(spark):
     assert found(spark, [], shards=1) == []
 
 
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_rare_phrases_leave_a_task_as_hashes():
+    """A row for each size and range of hashes instead of one for each phrase and block of text; sums over shards are those of the phrases."""
+    texts = [" ".join(f"w{k % 900}" for k in range(s, s + 4000)) for s in (0, 50, 7000)]
+    full = np.full(collocations.SLOTS // 64, ~np.uint64(0))
+    batch = lambda t: pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([t]), pa.array([4000], pa.int32())], ["lang", "words", "own"])
+    scan = collocations._scanned(Sent((full, full)), True, 2, 4)
+    rows = pa.Table.from_batches(scan(iter([batch(t) for t in texts])))
+    assert rows.num_rows <= 2 * 4
+    n = Counter()
+    for r in rows.to_pylist():
+        low, counts = np.frombuffer(r["low"], np.uint32), collocations._unpacked(r["few"], r["many"])
+        assert len(low) == len(counts) and np.all(low[1:] > low[:-1])
+        n[r["size"]] += counts.sum()
+        assert set(counts) <= {12, 13, 14, 15}
+    assert n == {1: 12000, 2: 11997}
+
+
+def test_counts_of_255_and_more():
+    n = np.array([1, 254, 255, 256, 10**12])
+    assert collocations._unpacked(*collocations._packed(n)).tolist() == n.tolist()
+
+
+def test_thresholds_are_reached_within_a_cycle():
+    rows = lambda kind, size, low, n: (7, kind, size, np.array(low, np.uint32).tobytes(), *collocations._packed(np.array(n)))
+    given = [rows(-1, 1, [3, 9], [300, 1]), rows(-1, 1, [9], [2]), rows(0, 1, [9, 11], [4, 90]), rows(0, 1, [9], [3]), rows(1, 1, [3], [])]
+    out = collocations._joined(10)(pa.Table.from_arrays(collocations._hash_rows(given), collocations._NAMES)).to_pylist()
+    assert [(r["kind"], np.frombuffer(r["low"], np.uint32).tolist(), collocations._unpacked(r["few"], r["many"]).tolist() if r["few"] else []) for r in out] == [(0, [3, 9], [300, 3]), (1, [9, 11], [])]
+
+
 @pytest.mark.parametrize("cut", [1, 2, 100])
 def test_rows_of_long_texts_overlap(cut):
     texts = next(blocks(pa.array(["a b, c d e", "", "f"])))

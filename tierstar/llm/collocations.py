@@ -8,8 +8,10 @@ each shard once, and its count is exact. The scans end when no phrase is active:
 before one pass for every length is over.
 
 A scan decides by two bitmaps of a fixed size (phrases that have reached the threshold, and those that have done so
-within the last cycle) which windows may be active, counts them per block of text and sums them by phrase; a join of these sums
-with the table of phrases that have reached the threshold then decides exactly. So only the bitmaps are broadcast.
+within the last cycle) which windows are active, and counts them by hash: tasks hand on sorted hashes with their counts, which are summed by
+range of the hash and added to those of the scans before, a cycle of scans at a time. Every such sum holds each shard once, so what the bitmaps or equal
+hashes let through in excess can only make more phrases reach the threshold, never fewer, and is left out at last: when no phrase is
+active any more, the phrases that have reached it are counted once by their text. So only bitmaps are broadcast, and rare phrases never move as text.
 
 Scores are whole numbers computed in decimals of 38 digits. Null texts are empty, a null language is ``und``; repeated
 rows count as often as they occur; a table without frequent phrases gives an empty result; other columns are ignored.
@@ -20,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from tierstar.llm.textarrays import Texts, blocks, mix, prefix_hash, range_hash
 from tierstar.llm.textarrays import _CODES as CODES
 
 SHARDS, LONGEST, LEAST, TOP, ABSORBED = 3, 5, 100, 2000, 100
-#: Bits of a bitmap, words of one row of a shard, bytes that are counted at once.
+#: Bits of a bitmap, words of one row of a shard, bytes that are counted at once by their text.
 SLOTS, ROW_WORDS, SCAN_BYTES = 1 << 24, 1 << 15, 1 << 21
+#: Windows that a task holds before it sums them, ranges of hashes at least, words of the corpus for each range.
+HELD, BUCKETS, BUCKET_WORDS = 1 << 22, 32, 1 << 21
 
 _BLANK, _BREAK = 1, 2
 _KINDS = np.zeros(256, np.uint8)
@@ -85,7 +88,7 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
 def _rows_of_words(longest: int, row_words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in blocks(batch.column(2), SCAN_BYTES):
+            for texts in blocks(batch.column(2)):
                 rows = list(pieces(texts, longest, row_words))
                 if rows:
                     at = pa.array([texts.first + t for t, _, _ in rows])
@@ -108,61 +111,163 @@ def _held(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _counted(bitmaps, words_too: bool, longest: int):
-    """Counts of the windows that may be active, summed per block of text."""
+def _windows(texts: Texts, salt: np.ndarray, own: np.ndarray, reached: np.ndarray, fresh: np.ndarray | None, longest: int, words_too: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By size the active windows: size, hashes, rows, starts and ends. Without ``fresh`` those that have reached the threshold themselves."""
+    starts, ends, first = texts.words()
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    mine = np.arange(len(row)) - first[row] < own[row]
+    piece = np.cumsum(np.append(True, (row[1:] != row[:-1]) | (texts.data[ends[:-1]] == 10))) if len(row) else row
+    sums = prefix_hash(CODES[texts.data])
+    at = np.arange(len(row))
+    was, new = (np.zeros(len(row), bool) for _ in range(2))
+    for size in range(1, longest + 1):
+        if size > 1:
+            # Both parts have reached the threshold; one of them within the last cycle.
+            at = np.flatnonzero(was[:-1] & was[1:])
+            at = at[at + size <= len(row)]
+            at = at[piece[at] == piece[at + size - 1]]
+            active = mine[at] & (new[at] | new[at + 1])
+        else:
+            active = mine & words_too
+        if not len(at):
+            return
+        h = mix(range_hash(sums, starts[at], ends[at + size - 1]) + salt[row[at]])
+        if size < longest or fresh is None:
+            was, new = (np.zeros(len(row), bool) for _ in range(2))
+            was[at] = held = _held(reached, h)
+            if fresh is None:
+                active = mine[at] & held
+            else:
+                new[at] = _held(fresh, h)
+        if active.any():
+            one = at[active]
+            yield size, h[active], row[one], starts[one], ends[one + size - 1]
+
+
+def _packed(n: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts as a byte each, those of 255 and more in full behind them."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype(np.int64).tobytes()
+
+
+def _unpacked(few: bytes, many: bytes) -> np.ndarray:
+    n = np.frombuffer(few, np.uint8).astype(np.int64)
+    n[n == 255] = np.frombuffer(many, np.int64)
+    return n
+
+
+#: Sorted lower halves of hashes of one size in one range of hashes, their counts; kind: 0 a scan's sums, 1 what has reached the threshold.
+HASHES = "bucket int, kind int, size int, low binary, few binary, many binary"
+
+
+def _hash_rows(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
+
+
+_NAMES = ["bucket", "kind", "size", "low", "few", "many"]
+
+
+def _scanned(bitmaps, words_too: bool, longest: int, buckets: int):
+    """Counts of the windows that may be active by hash, summed per task as far as ``HELD`` windows go; kind is -1."""
+
+    def handed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for size, each in enumerate(held):
+            if each:
+                h = np.concatenate(each)
+                each.clear()
+                # The range of the hash, from its upper half, and its lower half.
+                h = ((h >> np.uint64(32)) * np.uint64(buckets)) & np.uint64(0xFFFFFFFF << 32) | h & np.uint64(0xFFFFFFFF)
+                h.sort()
+                begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                n, h = np.diff(begin, append=len(h)), h[begin]
+                low, bucket = h.astype(np.uint32), (h >> np.uint64(32)).astype(np.int32)
+                cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(h))
+                rows = [(int(bucket[i]), -1, size, low[i:j].tobytes(), *_packed(n[i:j])) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(_hash_rows(rows), _NAMES)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached, fresh = bitmaps.value
+        held: list[list[np.ndarray]] = [[] for _ in range(longest + 1)]
+        n = 0
+        for batch in batches:
+            salts = _salts(batch.column(0))
+            for texts in blocks(batch.column(1)):
+                rows = slice(texts.first, texts.first + len(texts))
+                for size, h, *_ in _windows(texts, salts[rows], batch.column(2).to_numpy()[rows], reached, fresh, longest, words_too):
+                    held[size].append(h)
+                    n += len(h)
+                if n > HELD:
+                    yield from handed(held)
+                    n = 0
+        yield from handed(held)
+
+    return scan
+
+
+def _summed(low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(low)
+    low, n = low[order], n[order]
+    begin = np.flatnonzero(np.append(True, low[1:] != low[:-1])) if len(low) else np.zeros(0, int)
+    return low[begin], np.add.reduceat(n, begin) if len(low) else n
+
+
+def _joined(least: int):
+    """Of one range of hashes: this scan's sums, and what reaches the threshold with it in the scans of the last cycle."""
+
+    def join(table: pa.Table) -> pa.Table:
+        found = [x for batch in table.to_batches() for x in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True)]
+        out = []
+        for size in sorted({x[2] for x in found}):
+            kinds = {k: [x for x in found if x[1] == k and x[2] == size] for k in (-1, 0, 1)}
+            if not kinds[-1]:
+                continue
+            low = {k: np.concatenate([np.frombuffer(x[3], np.uint32) for x in rows] or [np.zeros(0, np.uint32)]) for k, rows in kinds.items()}
+            n = {k: np.concatenate([_unpacked(*x[4:]) for x in rows] or [np.zeros(0, np.int64)]) for k, rows in kinds.items() if k < 1}
+            now = _summed(low[-1], n[-1])
+            out.append((found[0][0], 0, size, now[0].tobytes(), *_packed(now[1])))
+            cycle = _summed(np.concatenate([now[0], low[0]]), np.concatenate([now[1], n[0]])) if kinds[0] else now
+            new = cycle[0][cycle[1] >= least]
+            new = new[~np.isin(new, low[1])]
+            if len(new):
+                out.append((found[0][0], 1, size, new.tobytes(), b"", b""))
+        return pa.Table.from_arrays(_hash_rows(out), _NAMES)
+
+    return join
+
+
+def _texts(bitmap, longest: int):
+    """Phrases that may have reached the threshold, counted per block of text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached, fresh = bitmaps.value
         for batch in batches:
             salts = _salts(batch.column(0))
             for texts in blocks(batch.column(1), SCAN_BYTES):
                 rows = slice(texts.first, texts.first + len(texts))
-                salt, own = salts[rows], batch.column(2).to_numpy()[rows]
-                starts, ends, first = texts.words()
-                row = np.repeat(np.arange(len(texts)), np.diff(first))
-                mine = np.arange(len(row)) - first[row] < own[row]
-                piece = np.cumsum(np.append(True, (row[1:] != row[:-1]) | (texts.data[ends[:-1]] == 10))) if len(row) else row
-                sums = prefix_hash(CODES[texts.data])
-                at = np.arange(len(row))
-                was, new = (np.zeros(len(row), bool) for _ in range(2))
-                for size in range(1, longest + 1):
-                    if size > 1:
-                        # Both parts have reached the threshold; one of them within the last cycle.
-                        at = np.flatnonzero(was[:-1] & was[1:])
-                        at = at[at + size <= len(row)]
-                        at = at[piece[at] == piece[at + size - 1]]
-                        active = mine[at] & (new[at] | new[at + 1])
-                    else:
-                        active = mine & words_too
-                    h = mix(range_hash(sums, starts[at], ends[at + size - 1]) + salt[row[at]])
-                    was, new = (np.zeros(len(row), bool) for _ in range(2))
-                    was[at], new[at] = _held(reached, h), _held(fresh, h)
-                    if active.any():
-                        _, one, n = np.unique(h[active], return_index=True, return_counts=True)
-                        one = at[active][one]
-                        phrases = _strings(texts.data, starts[one], ends[one + size - 1])
-                        langs = batch.column(0).take(pa.array(texts.first + row[one]))
-                        yield pa.RecordBatch.from_arrays([langs, phrases, pa.array(np.full(len(one), size, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "size", "n"])
+                for size, h, row, starts, ends in _windows(texts, salts[rows], batch.column(2).to_numpy()[rows], bitmap.value, None, longest):
+                    order = np.argsort(h)
+                    h = h[order]
+                    begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                    one, n = order[begin], np.diff(begin, append=len(h))
+                    langs = batch.column(0).take(pa.array(texts.first + row[one]))
+                    yield pa.RecordBatch.from_arrays([langs, _strings(texts.data, starts[one], ends[one]), pa.array(np.full(len(one), size, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "size", "n"])
 
     return count
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bits that phrases set: word of the bitmap, bits."""
+    """The bits that hashes set: word of the bitmap, bits."""
     for batch in batches:
-        salts = _salts(batch.column(0))
-        for texts in blocks(batch.column(1), SCAN_BYTES):
-            h = mix(range_hash(prefix_hash(CODES[texts.data]), texts.offsets[:-1], texts.offsets[1:]) + salts[texts.first : texts.first + len(texts)])
-            slot = h & np.uint64(SLOTS - 1)
+        low = [np.frombuffer(x, np.uint32) for x in batch.column(0).to_pylist()]
+        if low:
+            slot = np.concatenate(low).astype(np.uint64) & np.uint64(SLOTS - 1)
             word, inverse = np.unique(slot >> np.uint64(6), return_inverse=True)
             bits = np.zeros(len(word), np.uint64)
             np.bitwise_or.at(bits, inverse, np.uint64(1) << (slot & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(bits.view(np.int64))], ["word", "bits"])
 
 
-def _bitmap(phrases: DataFrame) -> np.ndarray:
-    """The bitmap of phrases; at most ``SLOTS`` / 64 rows reach the driver."""
-    rows = phrases.select("lang", "phrase").mapInArrow(_bits, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bitmap of hashes; at most ``SLOTS`` / 64 rows reach the driver."""
+    rows = hashes.select("low").mapInArrow(_bits, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(SLOTS // 64, np.uint64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
@@ -173,54 +278,40 @@ def count_phrases(docs: DataFrame, text_column: str = "text", lang_column: str =
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang")
     rows = docs.select((F.monotonically_increasing_id() % shards).cast("int").alias("shard"), lang, text_of(text_column).alias("text"))
-    dealt, met, longer, marks = (shared_path(spark) for _ in range(4))
+    dealt, met = (shared_path(spark) for _ in range(2))
     rows.mapInArrow(_rows_of_words(longest, row_words), "shard int, lang string, words string, own int").write.partitionBy("shard").parquet(dealt)
     words = spark.read.schema("lang string, words string, own int, shard int").parquet(dealt)
+    totals = stored(words.groupBy("lang").agg(F.sum("own").alias("words")))
+    buckets = max(BUCKETS, (totals.agg(F.sum("words")).first()[0] or 0) // BUCKET_WORDS)
 
-    def read(root: str, steps: range) -> DataFrame:
-        return spark.read.schema(COUNTS).parquet(*[f"{root}/step={s}" for s in steps])
+    def read(steps: range, kind: int) -> DataFrame:
+        found = spark.read.schema(f"{HASHES}, step int").parquet(met)
+        return found.filter(F.col("step").between(steps[0], steps[-1]) & (F.col("kind") == kind)).select(*_NAMES)
 
     bitmaps: list[np.ndarray] = []
     none = np.zeros(SLOTS // 64, np.uint64)
-    single: DataFrame | None = None
     step = last = 0  # The empty phrase has reached the threshold before the first scan.
     while step < last + shards:
         step += 1
         both = spark.sparkContext.broadcast((np.bitwise_or.reduce([none, *bitmaps]), np.bitwise_or.reduce([none, *bitmaps[-shards:]])))
         shard = words.filter(F.col("shard") == (step - 1) % shards).select("lang", "words", "own")
-        counted = shard.mapInArrow(_counted(both, step <= shards, longest), COUNTS).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-        counted.write.parquet(f"{met}/step={step}")
-        both.unpersist()
-        parts = []
+        known = shard.mapInArrow(_scanned(both, step <= shards, longest, buckets), HASHES)
         if step > 1:
-            reached = spark.read.schema("lang string, phrase string, size int, at int").parquet(marks)
-            some = read(met, range(step, step + 1)).filter(F.col("size") > 1)
-            some = some.withColumn("_first", F.expr("substring_index(phrase, ' ', size - 1)")).withColumn("_last", F.expr("substring_index(phrase, ' ', 1 - size)"))
-            firsts = reached.select("lang", F.col("phrase").alias("_first"), F.col("at").alias("_one"))
-            lasts = reached.select("lang", F.col("phrase").alias("_last"), F.col("at").alias("_two"))
-            active = some.join(firsts, ["lang", "_first"]).join(lasts, ["lang", "_last"]).filter(F.greatest("_one", "_two") >= step - shards)
-            active.select("lang", "phrase", "size", "n").write.parquet(f"{longer}/step={step}")
             # What reaches the threshold now has been counted in the last scans only.
-            parts.append(read(longer, range(max(2, step - shards + 1), step + 1)))
-        if step <= shards:
-            ones = read(met, range(1, step + 1)).filter(F.col("size") == 1)
-            # Before the cycle of single words ends, their rare counts are left aside: a word may be noticed later, at the end of the cycle at the latest.
-            parts.append(ones if step == shards else ones.filter(F.col("n") >= least // (4 * shards)))
-        total = reduce(DataFrame.unionByName, parts).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        if step == shards:
-            total = stored(total)
-            single = total.filter(F.col("size") == 1)
-        new = total.filter(F.col("size") < longest).select("lang", "phrase", "size")
-        if step > 1:
-            new = new.join(reached.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        new.write.parquet(f"{marks}/at={step}")
-        bitmaps.append(_bitmap(spark.read.schema("lang string, phrase string").parquet(f"{marks}/at={step}")))
+            known = known.unionAll(read(range(1, step), 1))
+            if shards > 1:
+                known = known.unionAll(read(range(max(1, step - shards + 1), step), 0))
+        known.groupBy("bucket").applyInArrow(_joined(least), HASHES).write.partitionBy("kind").parquet(f"{met}/step={step}")
+        both.unpersist()
+        bitmaps.append(_bitmap(read(range(step, step + 1), 1).filter(F.col("size") < longest)))
         if bitmaps[-1].any():
             last = step
-    total = single
-    if step > 1:
-        total = total.unionByName(read(longer, range(2, step + 1)).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-    return stored(total), stored(words.groupBy("lang").agg(F.sum("own").alias("words")))
+    longest_ones = _bitmap(read(range(1, step + 1), 1).filter(F.col("size") == longest))
+    reached = spark.sparkContext.broadcast(np.bitwise_or.reduce([longest_ones, *bitmaps]))
+    counted = words.select("lang", "words", "own").mapInArrow(_texts(reached, longest), COUNTS)
+    total = stored(counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    reached.unpersist()
+    return total, totals
 
 
 def score(a: str = "a", n: str = "n", l: str = "l", r: str = "r") -> Column:  # noqa: E741

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES, KEPT_BYTES = 1 << 19, (1 << 21) + 1
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -44,11 +44,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, n + 1 at least; those of ordinary blocks are kept."""
-    size = max(n + 1, BLOCK_BYTES + 1)
+    """Powers of the hash base and of its inverse, n + 1 at least; those of blocks up to ``KEPT_BYTES`` are kept."""
+    size = next((k + 1 for k in (BLOCK_BYTES, KEPT_BYTES) if n <= k), n + 1)
     if size not in _POWERS:
         made = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, b, np.uint64))]) for b in (_BASE, _INVERSE))
-        if size > BLOCK_BYTES + 1:
+        if size > KEPT_BYTES + 1:
             return made
         _POWERS[size] = made
     return _POWERS[size]
