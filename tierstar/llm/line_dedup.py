@@ -8,9 +8,10 @@ Lines with equal sets are one class from the start. Words are ordered by rarity:
 the most frequent ones come first, by hash, then the table from rare to frequent (any fixed order is exact; this one
 keeps lists short). A line posts its first |x| - ceil(4/5 |x|) + 1 words; two lines that match post a common
 word. Lines that meet at a word pass the length filter, the positional filter and a parity
-bitmap (its Hamming distance never exceeds the symmetric difference). What passes is not emitted pair by pair: each
+bitmap of 128 bits (its Hamming distance never exceeds the symmetric difference; with fewer bits long lines are taken for alike so often
+that most of them become one group). What passes is not emitted pair by pair: each
 task keeps a spanning forest, and the connected components of all forests are the groups of lines that may
-match. Each group is then verified on all its words by counting common words of all its pairs, and gives
+match. Postings move as arrays, one row for each bucket of lists and task, the words of a line once for each tile that holds it. Each group is then verified on all its words by counting common words of all its pairs, and gives
 one row per line: its links, and the first line that it matches.
 
 A posting list or group above a bound is dealt over tiles: its lines are split into chunks, and each pair of
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstar.llm.common import components, numbered, same_row, small_side, stored
+from tierstar.llm.common import contracted_components, numbered, same_row, small_side, stored
 from tierstar.llm.textarrays import Texts, blocks, mix
 
 FREQUENT = 1 << 17
@@ -39,9 +40,21 @@ FREQUENT = 1 << 17
 LIST_LINES, GROUP_LINES, BUCKET_ROWS = 40_000, 1_500, 150_000
 #: Words of a tile whose common ones are sought at once, and columns of a block of them.
 SLICE_WORDS, BLOCK_WORDS = 1 << 20, 1 << 11
+#: Postings that a task holds before it hands them on.
+HELD = 1 << 20
 _OTHER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _by_line(line: np.ndarray, key: np.ndarray, ties: np.ndarray, bits: int) -> np.ndarray:
+    """The order by line, then by keys of ``bits`` bits, then by ``ties``: one sort of packed numbers, unless such a number is not enough."""
+    own = int(line[-1] if len(line) else 0).bit_length()
+    over = max(0, own + bits - 64)
+    packed = line.astype(np.uint64) << np.uint64(bits - over) | key >> np.uint64(over) if own else key
+    order = np.argsort(packed)
+    packed, last = packed[order], ties[order]
+    return np.lexsort((ties, key, line)) if np.any((packed[1:] == packed[:-1]) & (last[1:] != last[:-1])) else order
+
+
 def line_words(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lines with words: text and line number, where their words begin (and the end), and the hashes of their different words."""
     starts, ends, first = texts.words()
@@ -49,7 +62,7 @@ def line_words(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     breaks = np.flatnonzero(texts.data == 10)
     line = np.searchsorted(breaks, starts) + text  # a new text is a new line as well
     h = texts.word_hashes(starts, ends)
-    order = np.lexsort((h, line))
+    order = _by_line(line, h, h, 64)
     line, h, text = line[order], h[order], text[order]
     new = np.ones(len(h), bool)
     new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
@@ -84,11 +97,65 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["hash", "n"])
 
 
-def _postings(frequent, tile_lines: int):
-    """Of every line, its prefix words as rows (list, one, bits, size_pos); lines that repeat in a batch post once."""
+#: Postings of one task in one bucket of lists, each an array: lower half of the list's hash, line, parity bits (two numbers), size and place of the word.
+POSTED = "bucket int, list binary, one binary, bits binary, size binary, pos binary"
+_PARTS = ["list", "one", "bits", "size", "pos"]
+
+
+def _handed(held: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
+    if held:
+        lists, one, bits, size, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+        bucket = (lists >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable") if buckets <= 1 << 16 else np.argsort(bucket)
+        bucket = bucket[order].astype(np.int32)
+        small = np.uint16 if size.max() < 1 << 16 else np.uint32
+        arrays = [x[order] for x in (lists.astype(np.uint32), one, bits, size.astype(small), pos.astype(small))]
+        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        parts = [pa.array([x[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in arrays]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), *parts], ["bucket", *_PARTS])
+
+
+def _received(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """The postings of a bucket: lists, lines, parity bits, sizes, places."""
+    rows = [x for batch in table.to_batches() for x in zip(*(batch.column(c).to_pylist() for c in _PARTS), strict=True)]
+    kinds = lambda x: (np.uint32, np.uint64, np.uint64, *[np.uint16 if 2 * len(x[4]) == len(x[0]) else np.uint32] * 2)
+    each = [[np.frombuffer(part, kind) for part, kind in zip(x, kinds(x), strict=True)] for x in rows]
+    lists, one, bits, size, pos = (np.concatenate(x) for x in zip(*each, strict=True))
+    return lists, one, bits.reshape(-1, 2), size.astype(np.int64), pos.astype(np.int64)
+
+
+def _slots(table: np.ndarray) -> np.ndarray:
+    """A hash table of the places of different hashes, -1 where none is: from the slot of its lower bits on, a hash is in the first free one."""
+    out = np.full(1 << max(4, (8 * len(table)).bit_length()), -1, np.int32)
+    left, slot = np.arange(len(table), dtype=np.int32), (table & np.uint64(len(out) - 1)).astype(np.int64)
+    while len(left):
+        free = out[slot] < 0
+        out[slot[free]] = left[free]
+        wait = out[slot] != left
+        left, slot = left[wait], (slot[wait] + 1) & (len(out) - 1)
+    return out
+
+
+def _places(slots: np.ndarray, table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The place of each hash in the table, -1 if it is not there."""
+    slot = (h & np.uint64(len(slots) - 1)).astype(np.int64)
+    at = slots[slot]
+    left = np.flatnonzero(at >= 0)
+    while len(left):
+        left = left[table[at[left]] != h[left]]
+        slot[left] = (slot[left] + 1) & (len(slots) - 1)
+        at[left] = slots[slot[left]]
+        left = left[at[left] >= 0]
+    return at
+
+
+def _postings(frequent, tile_lines: int, buckets: int):
+    """Of every line, its prefix words as postings by bucket; lines that repeat in a batch post once."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, places, counts = frequent.value
+        slots = _slots(table)
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             seen = np.zeros(0, np.uint64)
             for texts in blocks(batch.column(0)):
@@ -98,35 +165,42 @@ def _postings(frequent, tile_lines: int):
                     continue
                 fresh = np.zeros(len(one), bool)
                 fresh[np.unique(one, return_index=True)[1]] = True
-                fresh &= ~np.isin(one, seen)
-                seen = np.concatenate([seen, one[fresh]])
+                if len(seen):
+                    fresh &= seen[np.minimum(np.searchsorted(seen, one), len(seen) - 1)] != one
+                seen = np.sort(np.concatenate([seen, one[fresh]]))
                 size = np.diff(begin)
                 line = np.repeat(np.arange(len(one)), size)
-                at = np.minimum(np.searchsorted(table, h), max(0, len(table) - 1))
-                known = table[at] == h if len(table) else np.zeros(len(h), bool)
-                rank = np.where(known, (np.uint64(1) << np.uint64(63)) + places[at] if len(table) else np.uint64(0), h >> np.uint64(1))
-                # Parity of the words in each of 64 cells.
-                bit = np.uint64(1) << (mix(h) & np.uint64(63))
-                bits = np.bitwise_xor.reduceat(bit, begin[:-1])
-                order = np.lexsort((rank, line))
-                rank, lasting = rank[order], line[order]
-                pos = np.arange(len(rank)) - begin[:-1][lasting]
+                at = _places(slots, table, h)
+                known = at >= 0
+                rank = np.where(known, (np.uint64(1) << np.uint64(43)) + places[at] if len(table) else np.uint64(0), h >> np.uint64(21))
+                # Parity of the words in each of 128 cells.
+                cell = mix(h)
+                bit, upper = np.uint64(1) << (cell & np.uint64(63)), cell >> np.uint64(63) > 0
+                bits = np.stack([np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin[:-1]) for side in (upper, ~upper)], 1)
+                order = _by_line(line, rank, h, 44)
+                word, lasting = h[order], line[order]
+                pos = np.arange(len(word)) - begin[:-1][lasting]
                 prefix = size - -(-4 * size // 5) + 1
                 keep = (pos < prefix[lasting]) & fresh[lasting]
+                if not np.any(keep):
+                    continue
                 n = np.where(known, counts[at] if len(table) else 0, 0)[order]
-                words, lasting, pos, n = rank[keep], lasting[keep], pos[keep], n[keep]
+                words, lasting, pos, n = word[keep], lasting[keep], pos[keep], n[keep]
                 # The words of very many lines are dealt over tiles: the line goes to all pairs of chunks with its own.
                 chunks = 1 + n // tile_lines
-                copies = np.repeat(np.arange(len(words)), chunks)
-                other = np.arange(len(copies)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-                own = (one[lasting[copies]] % chunks[copies].astype(np.uint64)).astype(np.int64)
-                tile = np.minimum(own, other) * chunks[copies] + np.maximum(own, other)
+                copies, tile = np.arange(len(words)), np.zeros(1, int)
+                if np.any(chunks > 1):
+                    copies = np.repeat(copies, chunks)
+                    other = np.arange(len(copies)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+                    own = (one[lasting[copies]] % chunks[copies].astype(np.uint64)).astype(np.int64)
+                    tile = np.minimum(own, other) * chunks[copies] + np.maximum(own, other)
                 lists = mix(words[copies] + mix(tile.astype(np.uint64)))
                 who = lasting[copies]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.view(np.int64)), pa.array(one[who].view(np.int64)), pa.array(bits[who].view(np.int64)), pa.array(size[who].astype(np.int64) << 32 | pos[copies])],
-                    ["list", "one", "bits", "size_pos"],
-                )
+                held.append((lists, one[who], bits[who], size[who], pos[copies]))
+                if sum(len(x[0]) for x in held) > HELD:
+                    yield from _handed(held, buckets)
+                    held = []
+        yield from _handed(held, buckets)
 
     return post
 
@@ -144,8 +218,9 @@ def candidates(lists: np.ndarray, one: np.ndarray, bits: np.ndarray, size: np.nd
         i, j = i[near], j[near]
         least = -(-4 * (size[i] + size[j]) // 9)
         ok = (1 + np.minimum(size[i] - pos[i], size[j] - pos[j]) - 1 >= least) & (one[i] != one[j])
-        ok &= np.bitwise_count(bits[i] ^ bits[j]) <= size[i] + size[j] - 2 * least
-        yield i[ok], j[ok]
+        a, b, most = i[ok], j[ok], (size[i] + size[j] - 2 * least)[ok]
+        ok = np.bitwise_count(bits[a] ^ bits[b]).sum(1) <= most
+        yield a[ok], b[ok]
 
 
 def forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -163,8 +238,7 @@ def forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    lists, one, bits = (table.column(c).to_numpy().view(np.uint64) for c in ("list", "one", "bits"))
-    size, pos = table.column("size_pos").to_numpy() >> 32, table.column("size_pos").to_numpy() & 0xFFFFFFFF
+    lists, one, bits, size, pos = _received(table)
     order = np.lexsort((one, size, lists))
     lists, one, bits, size, pos = (x[order] for x in (lists, one, bits, size, pos))
     # The same line from two tasks is one row.
@@ -186,16 +260,20 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"a": name[tied].view(np.int64), "b": name[label[tied]].view(np.int64)})
 
 
+_WANTED = {"component": "long", "one": "long", "two": "long", "rank": "long", "chunks": "int"}
+
+
 def _wanted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the wanted lines of documents: text, wanted (line, component, one, two)."""
+    """The words of the wanted lines of documents: text, wanted (line and what is known of it)."""
+    kinds = [pa.int64() if kind == "long" else pa.int32() for kind in _WANTED.values()]
     for batch in batches:
         wanted = batch.column(1).to_pylist()
         for texts in blocks(batch.column(0)):
             text, number, begin, h = line_words(texts)
             at = {(t, n): k for k, (t, n) in enumerate(zip(text.tolist(), number.tolist(), strict=True))}
-            out = [(x["component"], x["one"], x["two"], h[begin[k] : begin[k + 1]].tobytes()) for t in range(len(texts)) for x in wanted[texts.first + t] for k in [at[(t, x["line"])]]]
+            out = [(*(x[c] for c in _WANTED), h[begin[k] : begin[k + 1]].tobytes()) for t in range(len(texts)) for x in wanted[texts.first + t] for k in [at[(t, x["line"])]]]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["component", "one", "two", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate([*kinds, pa.binary()])], [*_WANTED, "words"])
 
 
 def matching(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -226,8 +304,11 @@ def _verify(table: pa.Table) -> pa.Table:
     words = table.column("words").combine_chunks()
     place = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
     data = np.frombuffer(words.buffers()[2], np.uint8) if place[-1] else np.zeros(0, np.uint8)
-    order = np.lexsort((high, low, group))
+    order = np.lexsort((two, one, high, low, group))
     tile = np.stack([group[order], low[order], high[order]], 1)
+    # A line of a document that occurs twice comes twice.
+    new = np.append(True, np.any(tile[1:] != tile[:-1], axis=1) | (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))[: len(order)]
+    order, tile = order[new], tile[new]
     cut = np.append(np.flatnonzero(np.any(np.diff(tile, axis=0, prepend=tile[:1] - 1), axis=1)), len(order))
     ones, twos, links, firsts = [], [], [], []
     for i, j in zip(cut[:-1], cut[1:], strict=True):
@@ -256,42 +337,45 @@ def _frequent(spark: SparkSession, counts: DataFrame, limit: int):
     return spark.sparkContext.broadcast((h[order], (len(h) - order).astype(np.uint64), n[order]))
 
 
+def _groups(rows: DataFrame, n_lines: int, list_lines: int) -> DataFrame:
+    """Lines that may match, by group: one, component. Nothing of the postings is held on to, so that their files can go."""
+    counts = rows.select("_text").mapInArrow(_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    buckets = max(1, n_lines * 10 // BUCKET_ROWS)
+    posted = rows.select("_text").mapInArrow(_postings(_frequent(rows.sparkSession, counts, FREQUENT), list_lines, buckets), POSTED)
+    edges = stored(posted.groupBy("bucket").applyInArrow(_meet, "a long, b long"))
+    return stored(contracted_components(edges).withColumnsRenamed({"node": "one"}))
+
+
 def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", list_lines: int = LIST_LINES, group_lines: int = GROUP_LINES) -> DataFrame:
     """One row per line with words: doc_id, _fp, line, links (other sets it matches), removed (an earlier line matches), first_doc (of the earliest match or itself)."""
     rows = numbered(docs, id_column, text_column)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    spark = docs.sparkSession
     lines = stored(rows.select("doc_id", "_fp", "_text").mapInArrow(_lines, f"doc_id {id_type}, _fp long, line int, one long, two long"))
     place = F.struct("doc_id", "_fp", "line")
-    kinds = lines.groupBy("one", "two").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n"))
-
-    frequent = _frequent(spark, rows.select("_text").mapInArrow(_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")), FREQUENT)
-    posted = rows.select("_text").mapInArrow(_postings(frequent, list_lines), "list long, one long, bits long, size_pos long")
-    buckets = max(1, lines.count() * 10 // BUCKET_ROWS)
-    met = posted.withColumn("bucket", F.pmod("list", F.lit(buckets))).groupBy("bucket").applyInArrow(_meet, "a long, b long")
-    groups = components(met).withColumnsRenamed({"node": "one"})
-
-    # The first lines of the classes in such groups, with their words, and their rank in the order of lines within the group.
-    chosen = stored(kinds.join(groups, "one").select("component", "one", "two", "at"))
-    sizes = chosen.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_lines)
-    by_doc = chosen.groupBy("at.doc_id", "at._fp").agg(F.collect_list(F.struct("at.line", "component", "one", "two")).alias("wanted"))
-    by_doc = small_side(by_doc, chosen.count())
-    texts = rows.join(by_doc, same_row(rows, by_doc)).select("_text", "wanted").mapInArrow(_wanted_words, "component long, one long, two long, words binary")
-    # A line's rank need only order lines: ids of classes written in the order of their first lines.
-    ranked = stored(chosen.orderBy("at").select("one", "two").withColumn("rank", F.monotonically_increasing_id()))
-    full = texts.dropDuplicates(["one", "two"]).join(ranked, ["one", "two"]).join(sizes, "component", "left")
-    chunks = F.coalesce(F.ceil(F.col("n") / group_lines), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64("one"), chunks).cast("int")
-    tiles = full.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    kinds = stored(lines.groupBy("one", "two").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")))
+    groups = _groups(rows, lines.count(), list_lines)
+
+    # The first lines of the classes in such groups, and their rank in the order of lines: it need only order them.
+    near = kinds.join(small_side(groups, groups.count()), "one").select("component", "one", "two", "at")
+    chosen = stored(near.orderBy("at").withColumn("rank", F.monotonically_increasing_id()))
+    many = chosen.count()
+    sizes = chosen.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_lines)
+    sizes = stored(sizes.select("component", F.ceil(F.col("_n") / group_lines).cast("int").alias("chunks")))
+    known = chosen.join(small_side(sizes, sizes.count()), "component", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    by_doc = known.groupBy("at.doc_id", "at._fp").agg(F.collect_list(F.struct("at.line", *_WANTED)).alias("wanted"))
+    by_doc = small_side(by_doc, many)
+    wanted = ", ".join(f"{c} {kind}" for c, kind in _WANTED.items())
+    texts = rows.join(by_doc, same_row(rows, by_doc)).select("_text", "wanted").mapInArrow(_wanted_words, f"{wanted}, words binary")
+    own = F.pmod(F.xxhash64("one"), F.col("chunks")).cast("int")
+    tiles = texts.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tiles = tiles.select("component", "one", "two", "rank", "words", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     # Lines as often as tiles hold them.
-    held = chosen.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.ceil(F.col("n") / group_lines))).first()[0]
-    spread = max(1, int(held or 0) // 1_000)
+    spread = max(1, int(known.agg(F.sum("chunks")).first()[0] or 0) // 1_000)
     tiles = tiles.withColumn("bucket", F.pmod(F.xxhash64("component", "low", "high"), F.lit(spread)))
     verified = tiles.groupBy("bucket").applyInArrow(_verify, "one long, two long, links long, first long")
-    links = verified.groupBy("one", "two").agg(F.sum("links").alias("links"), F.min("first").alias("rank"))
-    first_of = ranked.join(chosen.select("one", "two", "at"), ["one", "two"]).select("rank", F.col("at").alias("match"))
-    links = links.join(first_of, "rank", "left").select("one", "two", "links", "match")
+    links = stored(verified.groupBy("one", "two").agg(F.sum("links").alias("links"), F.min("first").alias("rank")))
+    first_of = small_side(chosen.select("rank", F.col("at").alias("match")), many)
+    links = small_side(links.join(first_of, "rank", "left").select("one", "two", "links", "match"), many)
 
     info = stored(kinds.join(links, ["one", "two"], "left").filter((F.col("n") > 1) | F.col("links").isNotNull()).select("one", "two", "at", "links", "match"))
     earliest = F.least("at", F.coalesce("match", "at"))
@@ -300,7 +384,8 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def _by_document(lines: DataFrame) -> DataFrame:
-    return lines.dropDuplicates(["doc_id", "_fp", "line"]).groupBy("doc_id", "_fp").agg(
+    # Dealt by document once, for both.
+    return lines.repartition("doc_id", "_fp").dropDuplicates(["doc_id", "_fp", "line"]).groupBy("doc_id", "_fp").agg(
         F.sum("links").alias("links"), F.min("first_doc").alias("first_doc"), F.collect_list(F.when(F.col("removed"), F.col("line"))).alias("gone")
     )
 
